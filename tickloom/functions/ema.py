@@ -85,8 +85,9 @@ class Macd:
 def running_ema(value: Column, span: int, position: Column, window) -> Column:
     """EMA from the zero state, along ``window`` (an ordered window starting at position 0).
 
-    ``position`` is null on rows that do not count.
+    ``position`` is null on rows that do not count. Growing and shrinking weights are powers
+    of the same number, so that its rounding cancels out.
     """
     a = decay(span)
-    total = F.sum(value * F.pow(F.lit(1.0 / a), position)).over(window)
+    total = F.sum(value * F.pow(F.lit(a), -position)).over(window)
     return F.lit(1.0 - a) * F.pow(F.lit(a), position) * total
