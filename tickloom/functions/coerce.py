@@ -4,40 +4,43 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom import fixed_values as fixed
 
 
-def _numeric_text(value: Column) -> Column:
-    """Trimmed text that reads as a decimal float literal, null for what only Spark accepts.
+# What Spark's cast takes but a plain float literal does not: type suffixes and hexadecimal
+# floats; and digit groups that are not joined by single underscores.
+NOT_A_NUMBER = r"(?i)[0-9.][df]\s*$|x|^_|__|_$|[^0-9]_|_[^0-9]"
 
-    Spark's cast also takes a type suffix (``1d``) and hexadecimal floats; a plain float
-    literal has neither, but may group digits with single underscores.
-    """
-    text = F.trim(value.cast("string"))
-    lowered = F.lower(text)
-    foreign = (F.right(lowered, F.lit(1)).isin("d", "f") & ~F.endswith(lowered, F.lit("inf"))) | F.contains(
-        lowered, F.lit("x")
-    )
-    grouped = F.when(text.rlike(r"^_|__|_$|[^0-9]_|_[^0-9]"), F.lit(None)).otherwise(F.replace(text, F.lit("_")))
-    return F.when(foreign, F.lit(None)).when(F.contains(text, F.lit("_")), grouped).otherwise(text)
+
+def number(value: Column, text: bool = True) -> Column:
+    """A double, or null for what is no number; ``text=False`` says the column is numeric already."""
+    if not text:
+        return value.cast("double")
+    value = value.cast("string")
+    unusual = F.when(~value.rlike(NOT_A_NUMBER), F.translate(value, "_", "").try_cast("double"))
+    # Most texts have none of these letters and take one cheap test and one cast.
+    return F.when(value.rlike("[_dDfFxX]"), unusual).otherwise(value.try_cast("double"))
 
 
-def to_double(value: Column, default: float = 0.0) -> Column:
-    """Null and unparsable values become ``default``; ``nan`` and ``inf`` texts are kept."""
-    return F.coalesce(_numeric_text(value).try_cast("double"), F.lit(float(default)))
+def to_double(value: Column, default: float = 0.0, text: bool = True) -> Column:
+    """Null and unparsable values become ``default``; ``nan`` and ``inf`` texts are kept.
+
+    ``text=False`` says that the column is numeric already.
+    """
+    return F.coalesce(number(value, text), F.lit(float(default)))
 
 
-def to_bigint(value: Column, default: int = 0) -> Column:
+def to_bigint(value: Column, default: int = 0, text: bool = True) -> Column:
     """Read as a double, truncate toward zero; null, unparsable, NaN or out of range -> default."""
-    return F.coalesce(_numeric_text(value).try_cast("double").try_cast("bigint"), F.lit(default).cast("bigint"))
+    return F.coalesce(number(value, text).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
-def bigint_out_of_range(value: Column) -> Column:
-    """True for a number (not NaN) that no bigint can hold, such as ``inf`` or ``1e30``."""
-    number = _numeric_text(value).try_cast("double")
-    return F.coalesce(number.isNotNull() & ~F.isnan(number) & number.try_cast("bigint").isNull(), F.lit(False))
+def beyond_bigint(value: Column) -> Column:
+    """True for a double (not NaN) that no bigint can hold, such as ``inf`` or ``1e30``."""
+    limit = float(2**63)
+    return F.coalesce((value < -limit) | ((value >= limit) & (value <= float("inf"))), F.lit(False))
 
 
 def to_iso_text(value: Column) -> Column:
@@ -79,6 +82,16 @@ def date_parts(time: Column) -> list[Column]:
     return [F.coalesce(F.date_format(time, fmt), F.lit("unknown")).alias(name) for name, fmt in parts.items()]
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row, however often later steps refer to them.
+
+    A plain projection is merged into later filters and projections, which repeats its
+    expressions there; inline() keeps them as columns of their own.
+    """
+    derived = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(derived)))
+
+
 def all_of(conditions) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 

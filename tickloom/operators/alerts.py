@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom import fixed_values as fixed, schemas
-from tickloom.functions.coerce import all_of, any_of, asset_class_of_source, to_double
+from tickloom.functions.coerce import all_of, any_of, asset_class_of_source, once, to_double
 from tickloom.functions.text import alert_text
 
 # Up to this many rules become literals of the query; more are joined as a table.
@@ -107,34 +107,29 @@ def _no_hits() -> list[Column]:
     return [F.lit(None).cast(kind).alias(name) for name, kind in zip(HIT_COLUMNS, kinds)]
 
 
-def _joined(ticks: DataFrame, rules: DataFrame, entries: Column, asset_class: Column) -> DataFrame:
+def _joined(ticks: DataFrame, rules: DataFrame, lookups: DataFrame) -> DataFrame:
     """Rules as a table: an equality join on (asset class or *, symbol or *, field).
 
-    ``entries`` is an array of (f, v), the tick's fields and their values. Each tick looks
-    up four scopes per field instead of every rule. No broadcast is forced: Spark picks one
-    when the table is small and splits skewed scopes when it is not.
+    ``lookups`` is the ticks repeated per field and scope, with ``_field``, ``_value``,
+    ``_class`` and ``_scope``: four lookups per field instead of one per rule. No broadcast
+    is forced: Spark picks one when the table is small and splits skewed scopes when not.
     """
-    scoped = (
-        ticks.withColumn("_field", F.explode(F.filter(entries, lambda x: x["v"].isNotNull())))
-        .withColumn("_class", F.explode(F.array_distinct(F.array(asset_class, F.lit("*")))))
-        .withColumn("_scope", F.explode(F.array_distinct(F.array(F.coalesce("symbol", F.lit("*")), F.lit("*")))))
-    )
     named = ["rule_id", "source", "symbol", "field", "operator", "threshold", "message"]
     rule = rules.select(*[F.col(name).alias(f"_r_{name}") for name in named])
     same = (
         (F.col("_class") == F.col("_r_source"))
         & (F.col("_scope") == F.col("_r_symbol"))
-        & (F.col("_field.f") == F.col("_r_field"))
+        & (F.col("_field") == F.col("_r_field"))
     )
-    met = threshold_met(F.col("_r_operator"), F.col("_field.v"), F.col("_r_threshold"))
-    return scoped.join(rule, same & met).select(
+    met = threshold_met(F.col("_r_operator"), F.col("_value"), F.col("_r_threshold"))
+    return lookups.join(rule, same & met).select(
         *ticks.columns,
         F.col("_r_rule_id").alias("rule_id"),
         F.col("_r_message").alias("message"),
         F.col("_r_field").alias("matched_field"),
         F.col("_r_operator").alias("operator"),
         F.col("_r_threshold").alias("threshold"),
-        F.col("_field.v").alias("matched_value"),
+        F.col("_value").alias("matched_value"),
     )
 
 
@@ -157,17 +152,35 @@ def evaluate_rules(
     valid = validate_rules(rules)
     head = valid.orderBy("rule_id").limit(compile_limit + 1).collect()
     if len(head) <= compile_limit:
-        return _compiled(ticks, head, value_of, asset_class)
+        if "payload" not in ticks.columns:
+            return _compiled(ticks, head, value_of, asset_class)
+        # Read every field and the asset class once per tick, not once per rule.
+        names = {rule.field: f"_value_{i}" for i, rule in enumerate(head)}
+        values = {name: value_of(field) for field, name in names.items()}
+        prepared = once(ticks, _class=asset_class, **values)
+        hits = _compiled(prepared, head, lambda field: F.col(names[field]), F.col("_class"))
+        return hits.drop("_class", *names.values())
+    classes = [asset_class, F.lit("*")]
+    scopes = [F.col("symbol"), F.lit("*")]
     if "payload" in ticks.columns:
-        entries = F.transform(
-            F.map_entries("payload"),
-            lambda entry: F.struct(entry["key"].alias("f"), entry["value"].try_cast("double").alias("v")),
-        )
+        exploded = ticks.select("*", F.explode("payload").alias("_field", "_text"))
+        fields = once(exploded, _value=F.col("_text").try_cast("double"))
+        pairs = [F.struct(c.alias("_class"), s.alias("_scope")) for c in classes for s in scopes]
+        lookups = fields.filter(F.col("_value").isNotNull()).select("*", F.inline(F.array(*pairs)))
     else:
-        numeric = {"double", "float", "bigint", "int", "smallint", "tinyint"}
-        fields = [name for name, kind in ticks.dtypes if kind in numeric]
-        entries = F.array(*[F.struct(F.lit(f).alias("f"), value_of(f).alias("v")) for f in fields])
-    return _joined(ticks, valid, entries, asset_class)
+        # The rules' fields among the columns: at most one row per column.
+        used = valid.filter(F.col("field").isin(*ticks.columns)).select("field").distinct().collect()
+        parts = [
+            F.struct(
+                F.lit(row["field"]).alias("_field"), value_of(row["field"]).alias("_value"),
+                c.alias("_class"), s.alias("_scope"),
+            )
+            for row in used for c in classes for s in scopes
+        ]
+        if not parts:
+            return ticks.filter(F.lit(False)).select("*", *_no_hits())
+        lookups = ticks.select("*", F.inline(F.array(*parts)))
+    return _joined(ticks, valid, lookups)
 
 
 def with_alert_text(hits: DataFrame, timestamp: Column | None = None) -> DataFrame:

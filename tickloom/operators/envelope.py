@@ -26,16 +26,21 @@ def envelope_columns(
 
 def snapshot_payload(df: DataFrame, columns: dict[str, str]) -> Column:
     """Typed payload struct; a board without one of the columns yields that field's default."""
+    kinds = dict(board_types(df))
+
     def cell(field: str) -> Column:
         name = columns[field]
-        return F.col(name) if name in df.columns else F.lit(None).cast("string")
+        coerce = to_bigint if field in fixed.PAYLOAD_BIGINTS else to_double
+        value = F.col(name) if name in kinds else F.lit(None).cast("string")
+        return coerce(value, text=kinds.get(name, "string") == "string").alias(field)
 
-    return F.struct(
-        *[
-            (to_bigint if field in fixed.PAYLOAD_BIGINTS else to_double)(cell(field)).alias(field)
-            for field in columns
-        ]
-    )
+    return F.struct(*[cell(field) for field in columns])
+
+
+def board_types(df: DataFrame) -> list[tuple[str, str]]:
+    """Column types, with everything that is not a number read as text."""
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+    return [(name, kind if kind.startswith(numeric) else "string") for name, kind in df.dtypes]
 
 
 def normalise_stock_board(

@@ -5,12 +5,18 @@ Everything is a projection: no shuffle, no Python, the same code on a table and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom import fixed_values as fixed, schemas
 from tickloom.functions.coerce import (
+    any_of,
     asset_class_of_source,
-    bigint_out_of_range,
+    beyond_bigint,
+    number,
+    once,
     parse_iso,
     to_bigint,
     to_double,
@@ -19,62 +25,73 @@ from tickloom.functions.coerce import (
 GOOD, DEAD, IGNORED = "good", "dead", "ignored"
 
 
-def decode(messages: DataFrame, value: str = "value") -> DataFrame:
+def decode(messages: DataFrame, value: str = "value", payload_fields: list[str] | None = None) -> DataFrame:
     """Parse the JSON text into envelope columns, keeping the text as ``message``.
 
-    ``parse_error`` is null for a JSON object whose fields fit the envelope.
+    ``payload`` is a map of texts, or a struct of just ``payload_fields``, which is cheaper
+    to parse. ``parse_error`` is null for a JSON object whose fields fit the envelope.
     """
-    text = F.col(value).cast("string")
+    schema = schemas.ENVELOPE
+    if payload_fields:
+        fields = ", ".join(f"{name}: string" for name in payload_fields)
+        schema = schema.replace("map<string,string>", f"struct<{fields}>")
     corrupt = "parse_error"
-    schema = f"{schemas.ENVELOPE}, {corrupt} string"
-    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    parsed = F.from_json("message", f"{schema}, {corrupt} string", options)
     others = [name for name in messages.columns if name != value]
-    decoded = messages.select(*others, text.alias("message"), parsed.alias("_envelope"))
-    envelope = F.col("_envelope")
-    fields = ["event_type", "symbol", "exchange", "timestamp", "source", "payload"]
+    texts = messages.select(*others, F.col(value).cast("string").alias("message"))
+    # As in once(): each text is parsed one time. A null struct yields a row of nulls.
+    decoded = texts.select("*", F.inline(F.array(parsed)))
     # A blank text parses to nothing at all; only a JSON object lists keys.
-    not_object = envelope.isNull() | (envelope[corrupt].isNotNull() & F.json_object_keys("message").isNull())
-    return decoded.select(
-        *others,
-        "message",
-        *[envelope[name].alias(name) for name in fields],
-        F.when(not_object | F.col("message").isNull(), F.lit("malformed json"))
-        .when(envelope[corrupt].isNotNull(), F.lit("bad field type"))
-        .alias(corrupt),
+    blank = F.coalesce(F.trim("message"), F.lit("")) == ""
+    not_object = blank | (F.col(corrupt).isNotNull() & F.json_object_keys("message").isNull())
+    return decoded.withColumn(
+        corrupt,
+        F.when(not_object, F.lit("malformed json")).when(F.col(corrupt).isNotNull(), F.lit("bad field type")),
     )
 
 
-def snapshot_tick() -> list[Column]:
-    """Typed tick columns of a ``price.snapshot`` envelope."""
+def snapshot_values() -> dict[str, Column]:
+    """What both the fault and the tick of a ``price.snapshot`` need, evaluated once per row."""
     payload = F.col("payload")
-    doubles = {name: to_double(payload[name]).alias(name) for name in fixed.PAYLOAD_DOUBLES}
-    bigints = {name: to_bigint(payload[name]).alias(name) for name in fixed.PAYLOAD_BIGINTS}
-    first = {
-        "time": parse_iso(F.col("timestamp")).alias("time"),
-        "symbol": F.col("symbol"),
-        "exchange": F.coalesce("exchange", F.lit("")).alias("exchange"),
-    }
-    by_name = {**first, **doubles, **bigints}
-    return [by_name[name] for name in schemas.TICK_COLUMNS]
+    return {f"_{name}": number(payload[name]) for name in fixed.PAYLOAD_BIGINTS}
 
 
 def snapshot_fault() -> Column:
     """Why a ``price.snapshot`` envelope cannot become a tick; null when it can."""
-    payload, timestamp = F.col("payload"), F.col("timestamp")
+    beyond = any_of(beyond_bigint(F.col(f"_{name}")) for name in fixed.PAYLOAD_BIGINTS)
     return (
-        F.when(timestamp.isNull(), F.lit("missing timestamp"))
-        .when(parse_iso(timestamp).isNull(), F.lit("bad timestamp"))
+        F.when(F.col("timestamp").isNull(), F.lit("missing timestamp"))
+        .when(F.col("time").isNull(), F.lit("bad timestamp"))
         .when(F.col("symbol").isNull(), F.lit("missing symbol"))
-        .when(payload.isNull(), F.lit("missing payload"))
-        .when(
-            F.greatest(*[bigint_out_of_range(payload[name]) for name in fixed.PAYLOAD_BIGINTS], F.lit(False)),
-            F.lit("volume out of range"),
-        )
+        .when(F.col("payload").isNull(), F.lit("missing payload"))
+        .when(beyond, F.lit("volume out of range"))
     )
 
 
-# One entry per event type that is landed: (tick columns, fault column).
-EXTRACTORS = {fixed.PRICE_SNAPSHOT: (snapshot_tick, snapshot_fault)}
+def snapshot_tick() -> list[Column]:
+    """Typed tick columns of a ``price.snapshot`` envelope."""
+    payload = F.col("payload")
+    cells = {
+        "time": F.col("time"),
+        "symbol": F.col("symbol"),
+        "exchange": F.coalesce("exchange", F.lit("")),
+        **{name: to_double(payload[name]) for name in fixed.PAYLOAD_DOUBLES},
+        **{name: to_bigint(F.col(f"_{name}"), text=False) for name in fixed.PAYLOAD_BIGINTS},
+    }
+    return [cells[name].alias(name) for name in schemas.TICK_COLUMNS]
+
+
+class Extractor(NamedTuple):
+    """How one event type is landed: shared values, the fault, and the columns."""
+
+    values: Callable[[], dict[str, Column]]
+    fault: Callable[[], Column]
+    columns: Callable[[], list[Column]]
+
+
+# One entry per event type that is landed.
+EXTRACTORS = {fixed.PRICE_SNAPSHOT: Extractor(snapshot_values, snapshot_fault, snapshot_tick)}
 
 
 def of_type(envelopes: DataFrame, *event_types: str) -> DataFrame:
@@ -83,29 +100,28 @@ def of_type(envelopes: DataFrame, *event_types: str) -> DataFrame:
 
 
 def classify(envelopes: DataFrame) -> DataFrame:
-    """Add ``status`` (good, dead or ignored) and the dead-letter ``reason``."""
+    """Add the parsed ``time``, ``status`` (good, dead or ignored) and the dead-letter ``reason``."""
     known = F.coalesce(F.col("event_type").isin(*EXTRACTORS), F.lit(False))
-    unreadable = F.col("parse_error") == "malformed json"
     fault = F.lit(None).cast("string")
-    for event_type, (_, fault_of) in EXTRACTORS.items():
-        fault = F.when(F.col("event_type") == event_type, fault_of()).otherwise(fault)
-    reason = F.when(unreadable, F.col("parse_error")).when(known, F.coalesce("parse_error", fault))
-    status = (
-        F.when(F.col("reason").isNotNull(), F.lit(DEAD)).when(known, F.lit(GOOD)).otherwise(F.lit(IGNORED))
-    )
-    return envelopes.withColumn("reason", reason).withColumn("status", status)
+    values = {"time": parse_iso(F.col("timestamp"))}
+    for event_type, extractor in EXTRACTORS.items():
+        values |= extractor.values()
+        fault = F.when(F.col("event_type") == event_type, extractor.fault()).otherwise(fault)
+    error = F.col("parse_error")
+    reason = F.when(error == "malformed json", error).when(known, F.coalesce(error, fault))
+    status = F.when(F.col("reason").isNotNull(), F.lit(DEAD)).when(known, F.lit(GOOD)).otherwise(F.lit(IGNORED))
+    return once(once(envelopes, **values), reason=reason).withColumn("status", status)
 
 
 def ticks_of(classified: DataFrame, event_type: str = fixed.PRICE_SNAPSHOT, keep: tuple[str, ...] = ()) -> DataFrame:
     """Good rows of one event type as typed ticks plus ``asset_class`` and ``event_date``."""
-    columns_of, _ = EXTRACTORS[event_type]
     good = classified.filter((F.col("status") == GOOD) & (F.col("event_type") == event_type))
     source = F.coalesce("source", F.lit(""))
     return good.select(
         *keep,
-        *columns_of(),
+        *EXTRACTORS[event_type].columns(),
         asset_class_of_source(source).alias("asset_class"),
-        F.to_date(parse_iso(F.col("timestamp"))).alias("event_date"),
+        F.to_date("time").alias("event_date"),
     )
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom import fixed_values as fixed
-from tickloom.functions.coerce import asset_class_of_source, iso_text
+from tickloom.functions.coerce import asset_class_of_source, iso_text, once
 from tickloom.operators.bars import day_filter
 from tickloom.session import configure, materialise
 
@@ -36,23 +36,20 @@ def _pick(values: list[str], index: Column) -> Column:
 
 def instruments(rows: DataFrame) -> DataFrame:
     """Event columns plus the instrument they stand for; works on a stream."""
-    user, k = F.col("user_id"), F.get_json_object("props", "$.k").cast("bigint")
+    user = F.col("user_id")
     crypto = user % 4 == 0
-    return rows.select(
-        "event_id",
-        F.col("ts").cast("timestamp").alias("time"),
-        "event_type",
-        "value",
-        k.alias("k"),
-        crypto.alias("crypto"),
-        F.when(crypto, _pick(fixed.CRYPTO_SYMBOLS, F.floor(user / 4) % 4))
-        .otherwise(_pick(fixed.STOCK_SYMBOLS, user % 6))
-        .alias("symbol"),
-        F.when(crypto, F.upper(F.lit(fixed.CRYPTO_EXCHANGE))).otherwise(F.lit(fixed.STOCK_EXCHANGE)).alias("exchange"),
-        F.when(crypto, F.lit(fixed.CRYPTO_SOURCE_PREFIX + fixed.CRYPTO_EXCHANGE))
-        .otherwise(F.lit(fixed.DEFAULT_SOURCE))
-        .alias("source"),
-    )
+    return once(
+        rows.select("event_id", "event_type", "value", "ts", "user_id", "props"),
+        time=F.col("ts").cast("timestamp"),
+        k=F.get_json_object("props", "$.k").cast("bigint"),
+        symbol=F.when(crypto, _pick(fixed.CRYPTO_SYMBOLS, F.floor(user / 4) % 4)).otherwise(
+            _pick(fixed.STOCK_SYMBOLS, user % 6)
+        ),
+        exchange=F.when(crypto, F.upper(F.lit(fixed.CRYPTO_EXCHANGE))).otherwise(F.lit(fixed.STOCK_EXCHANGE)),
+        source=F.when(crypto, F.lit(fixed.CRYPTO_SOURCE_PREFIX + fixed.CRYPTO_EXCHANGE)).otherwise(
+            F.lit(fixed.DEFAULT_SOURCE)
+        ),
+    ).drop("ts", "user_id", "props")
 
 
 def quoted(rows: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tickloom.operators.extract import classify, dead_letters_of, decode, ticks_
 
 
 def classified(messages: DataFrame) -> DataFrame:
-    return classify(decode(messages))
+    return classify(decode(messages, payload_fields=fixed.PAYLOAD_DOUBLES + fixed.PAYLOAD_BIGINTS))
 
 
 def with_trigger(writer: DataStreamWriter, interval: str | None = fixed.LANDING_INTERVAL) -> DataStreamWriter:
