@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -41,6 +42,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return configure(spark)
 
 
+@functools.cache
+def _machine_folder() -> str:
+    return tempfile.mkdtemp(prefix="tickloom-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -52,9 +58,7 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    shared = tempfile.mkdtemp(prefix="tickloom-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    return _machine_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
