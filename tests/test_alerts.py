@@ -1,11 +1,13 @@
 import json
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom import fixed_values as fixed
 from tickloom.operators import alerts
+from tickloom.operators.cooldown import cooldown
 from tickloom.streaming import alerts as stream
 
 TICK = "symbol string, source string, payload map<string,string>"
@@ -157,6 +159,22 @@ def test_cooldown_stream_over_restarts(spark, tmp_path):
         assert sorted(found[symbol]) == greedy([start + timedelta(minutes=m) for m in ms], wait)
 
 
+@pytest.mark.parametrize("spacing, minutes, span_hours", [(7, 5, 6), (37, 60, 1), (600, 2, 24), (1, 0.5, 1)])
+def test_cooldown_table_against_a_greedy_pass(spark, spacing, minutes, span_hours):
+    """Sparse, dense and bursty keys; spans are much shorter than the series."""
+    rng = np.random.default_rng(spacing)
+    start = datetime(2024, 5, 10)
+    gaps = {"A": rng.exponential(spacing, 400), "B": np.full(400, spacing), "C": rng.choice([1, 40 * spacing], 400)}
+    times = {key: [start + timedelta(seconds=float(s)) for s in np.cumsum(gap)] for key, gap in gaps.items()}
+    rows = [(key, 1, time) for key, stamps in times.items() for time in [*stamps, stamps[0]]]
+    frame = spark.createDataFrame(rows, "symbol string, rule_id int, time timestamp")
+    found = {}
+    for row in cooldown(frame, minutes, span_us=span_hours * 3_600_000_000).collect():
+        found.setdefault(row["symbol"], []).append(row["time"])
+    for key, stamps in times.items():
+        assert sorted(found[key]) == greedy(stamps, timedelta(minutes=minutes))
+
+
 def test_stream_equals_table(spark, sf_dir, tmp_path):
     from tickloom.plans import views
 

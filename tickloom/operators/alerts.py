@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom import fixed_values as fixed, schemas
@@ -14,31 +16,26 @@ COMPILE_LIMIT = 256
 HIT_COLUMNS = ["rule_id", "message", "matched_field", "operator", "threshold", "matched_value"]
 
 
-def rules_table(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
-    """Rule dictionaries (default: the shipped set) as a table with ``rule_id`` in list order."""
-    rows = [
-        (i, r.get("source", "*"), r["symbol"], r["field"], r.get("operator"), float(r["threshold"]), r["message"])
-        for i, r in enumerate(fixed.ALERT_RULES if rules is None else rules, 1)
-    ]
-    return spark.createDataFrame(rows, f"rule_id int, {schemas.RULE}")
+RULE_ARRAY = "array<struct<" + ", ".join(field.replace(" ", ": ", 1) for field in schemas.RULE.split(", ")) + ">>"
 
 
-def load_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Read a JSON array of rules; ``rule_id`` follows the order in the file.
-
-    The file is one configuration document, so it is parsed as one value.
-    """
-    document = spark.read.text(path, wholetext=True)
-    rules = document.select(
-        F.posexplode(F.from_json("value", f"array<struct<{_as_struct(schemas.RULE)}>>")).alias("_at", "_rule")
-    )
+def _parsed(documents: DataFrame, value: str) -> DataFrame:
+    """JSON arrays of rules as rows; ``rule_id`` counts from 1 in the order of the array."""
+    rules = documents.select(F.posexplode(F.from_json(value, RULE_ARRAY)).alias("_at", "_rule"))
     return rules.select((F.col("_at") + 1).alias("rule_id"), "_rule.*").withColumn(
         "source", F.coalesce("source", F.lit("*"))
     )
 
 
-def _as_struct(ddl: str) -> str:
-    return ", ".join(f"{name}: {kind}" for name, kind in (field.split() for field in ddl.split(", ")))
+def rules_table(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
+    """Rule dictionaries (default: the shipped set) as a table."""
+    document = json.dumps(fixed.ALERT_RULES if rules is None else rules)
+    return _parsed(spark.range(1).select(F.lit(document).alias("value")), "value")
+
+
+def load_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Read a JSON array of rules; the file is one configuration document."""
+    return _parsed(spark.read.text(path, wholetext=True), "value")
 
 
 def operator_known() -> Column:
@@ -86,20 +83,23 @@ def _compiled(ticks: DataFrame, rules: list, value_of, asset_class: Column) -> D
     """Rules as literals: one filter that can reach the scan, then the hits of each kept tick."""
     if not rules:
         return ticks.filter(F.lit(False)).select("*", *_no_hits())
-    fires, hits = [], []
+    fires = []
     for rule in rules:
-        value = value_of(rule.field)
-        tests = [COMPARISONS[rule.operator](value, F.lit(rule.threshold))]
+        tests = [COMPARISONS[rule.operator](value_of(rule.field), rule.threshold)]
         if rule.source != "*":
             tests.append(asset_class == rule.source)
         if rule.symbol != "*":
             tests.append(F.col("symbol") == rule.symbol)
-        fired = all_of(tests)
-        fires.append(fired)
-        row = [F.lit(rule.rule_id), F.lit(rule.message), F.lit(rule.field), F.lit(rule.operator), F.lit(rule.threshold)]
-        hits.append(F.when(fired, F.struct(*[c.alias(n) for c, n in zip([*row, value], HIT_COLUMNS)])))
-    found = F.filter(F.array(*hits), lambda hit: hit.isNotNull())
-    return ticks.filter(any_of(fires)).select("*", F.explode(found).alias("_hit")).select(*ticks.columns, "_hit.*")
+        fires.append(all_of(tests))
+    found = F.array_compact(F.array(*[F.when(fired, i) for i, fired in enumerate(fires, 1)]))
+    # The rules again, as one constant array that a hit indexes.
+    constant = F.from_json(F.lit(json.dumps([rule.asDict() for rule in rules])), "array<struct<rule_id: int, " + RULE_ARRAY[13:])
+    hits = ticks.filter(any_of(fires)).select("*", F.explode(found).alias("_at"))
+    hits = hits.withColumn("_rule", F.element_at(constant, F.col("_at")))
+    rule = F.col("_rule")
+    value = F.coalesce(*[F.when(rule["field"] == field, value_of(field)) for field in dict.fromkeys(r.field for r in rules)])
+    cells = [rule["rule_id"], rule["message"], rule["field"], rule["operator"], rule["threshold"], value]
+    return hits.select(*ticks.columns, *[cell.alias(name) for cell, name in zip(cells, HIT_COLUMNS)])
 
 
 def _no_hits() -> list[Column]:

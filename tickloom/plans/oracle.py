@@ -360,5 +360,6 @@ SQL = {
     "stream_alerts": _hits(
         f'SELECT "key", rule_id, symbol, round(v, 4) AS matched_value, {ALERT_LINE} FROM hits', "snapshots", extra=", " + SENT
     ),
+    "alert_cooldown": _hits(COOLDOWN),
     "stream_cooldown": _hits(COOLDOWN),
 }

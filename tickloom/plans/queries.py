@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tickloom import fixed_values as fixed, schemas
 from tickloom.functions import coerce
 from tickloom.operators import alerts, bars, calendar, envelope, extract, incremental, indicators, quality, reports
+from tickloom.operators.cooldown import cooldown
 from tickloom.operators.series import latest_rows
 from tickloom.plans import jobs, views
 from tickloom.session import materialise, scratch_path
@@ -28,7 +29,7 @@ MIXED_RULES = [
     {"symbol": "VCB", "field": "volume", "operator": None, "threshold": 1.0, "message": "no operator"},
 ]
 BACKFILL = ("2024-01-10", "2024-01-16")
-AS_OF = "2024-01-31"
+COOLDOWN_MINUTES = 360
 
 
 def day(column: str = "time") -> Column:
@@ -195,6 +196,11 @@ def alerts_text(spark, sf_dir):
     return rows.select("key", "rule_id", "alert")
 
 
+def alert_cooldown(spark, sf_dir):
+    hits = alerts.evaluate_rules(views.ticks(spark, sf_dir), alerts.rules_table(spark))
+    return cooldown(hits, COOLDOWN_MINUTES).select("symbol", "rule_id", instant().alias("fired"))
+
+
 def rule_validation(spark, sf_dir):
     """Hits per rule of a set with invalid rules; the invalid ones are reported with no hits."""
     rules = alerts.rules_table(spark, MIXED_RULES)
@@ -420,9 +426,6 @@ def stream_alerts(spark, sf_dir):
     return rows.select("key", "rule_id", "symbol", *rounded(4, "matched_value"), "alert")
 
 
-COOLDOWN_MINUTES = 360
-
-
 def stream_cooldown(spark, sf_dir):
     ticks = views.quoted(views.instruments(views.streamed_events(spark, sf_dir)))
     hits = alerts.evaluate_rules(ticks.select(*views.TICK_FIELDS), alerts.rules_table(spark))
@@ -442,7 +445,7 @@ QUERIES = {
         rows_per_symbol, asset_classes,
         sma, bollinger, rsi14, prev_close_gain_loss, macd_series, macd_series_pandas, indicators_full,
         indicators_latest, macd_latest, latest_bar, indicators_incremental, indicator_lookup,
-        price_alerts, price_alerts_joined, alerts_text, rule_validation,
+        price_alerts, price_alerts_joined, alerts_text, alert_cooldown, rule_validation,
         normalise_stock, normalise_crypto, envelope_roundtrip, coerced_values, landing_ticks, dead_letter_split,
         event_routing, multi_topic_union,
         landed_day_scan, ohlcv_rerun, explicit_schema_write,

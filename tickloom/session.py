@@ -15,6 +15,9 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording a Python call site for every column expression costs milliseconds each,
+    # more than running a plan of a few hundred of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
