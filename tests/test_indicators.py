@@ -9,7 +9,7 @@ from tickloom.functions.ema import Macd
 from tickloom.operators import incremental, indicators, series
 from tickloom.schemas import INDICATOR_COLUMNS
 
-LENGTHS = {"A": 2500, "B": 1024, "C": 1025, "D": 13, "E": 14, "F": 25, "G": 26, "H": 199, "I": 200, "J": 1}
+LENGTHS = {"A": 4500, "B": 1999, "C": 2000, "D": 13, "E": 14, "F": 25, "G": 26, "H": 199, "I": 200, "J": 1}
 
 
 def closes(symbol, n, start="2000-01-01"):
@@ -76,7 +76,7 @@ def test_cuts_do_not_change_results(bars, wanted, days, block):
 
 
 def test_macd_blocks_of_other_lengths(bars, wanted, monkeypatch):
-    monkeypatch.setattr(Macd, "block_rows", lambda self: 60)
+    monkeypatch.setattr(Macd, "block_rows", lambda self: 577)
     for operator in (indicators.macd_series, indicators.macd_series_pandas):
         same(operator(bars, cell_seconds=30 * series.DAY).toPandas(), wanted, ["macd", "macd_signal", "macd_hist"])
 
@@ -87,12 +87,12 @@ def test_latest(bars, wanted):
 
 
 def test_other_spans(bars, history):
-    got = indicators.macd_series(bars, macd=Macd(5, 200, 3)).toPandas()
+    got = indicators.macd_series(bars, macd=Macd(8, 40, 13)).toPandas()
 
     def lines(group):
         close = group["close"]
-        line = close.ewm(span=5, adjust=False).mean() - close.ewm(span=200, adjust=False).mean()
-        signal = line.ewm(span=3, adjust=False).mean()
+        line = close.ewm(span=8, adjust=False).mean() - close.ewm(span=40, adjust=False).mean()
+        signal = line.ewm(span=13, adjust=False).mean()
         late = np.arange(1, len(close) + 1) < 26
         return group.assign(macd=line.mask(late), macd_signal=signal.mask(late), macd_hist=(line - signal).mask(late))
 
@@ -100,8 +100,8 @@ def test_other_spans(bars, history):
     same(got, want, ["macd", "macd_signal", "macd_hist"])
 
 
-@pytest.mark.parametrize("spans", [(1, 26, 9), (12, 26, 12), (9, 26, 9)])
-def test_spans_without_a_closed_form_are_refused(spans):
+@pytest.mark.parametrize("spans", [(1, 26, 9), (12, 26, 12), (9, 26, 9), (5, 200, 3)])
+def test_unsupported_spans_are_refused(spans):
     with pytest.raises(ValueError):
         Macd(*spans)
 

@@ -35,19 +35,22 @@ class Macd:
     signal: int = fixed.MACD_SIGNAL
 
     def __post_init__(self):
-        spans = [self.fast, self.slow, self.signal]
+        spans = self._spans()
         if min(spans) < 2 or self.signal in (self.fast, self.slow):
             raise ValueError("spans must be at least 2, and the signal span unlike the others")
+        if self.block_rows() < self.memory_rows():
+            raise ValueError("spans too far apart")
 
-    def block_rows(self) -> int:
-        """Rows per block: long enough to make halos cheap, short enough for a**-rows to fit a double."""
-        smallest = min(decay(span) for span in (self.fast, self.slow, self.signal))
-        return min(1024, int(575 / -math.log(smallest)))
+    def _spans(self) -> list[int]:
+        return [self.fast, self.slow, self.signal]
+
+    def memory_rows(self) -> int:
+        """Rows after which a start state weighs below 2**-64, less than a double can hold beside the rest."""
+        return math.ceil(64 * math.log(2) / -math.log(max(map(decay, self._spans()))))
 
-    def reach(self, rows: int) -> int:
-        """Number of earlier blocks whose weight is above 2**-200, far below a double's 53 bits."""
-        largest = max(decay(span) for span in (self.fast, self.slow, self.signal))
-        return max(1, math.ceil(200 * math.log(2) / (-math.log(largest) * rows)))
+    def block_rows(self) -> int:
+        """Rows per block such that the growing weights over a block and its halo stay below e**575."""
+        return int(575 / -math.log(min(map(decay, self._spans())))) - self.memory_rows()
 
     def _through_signal(self, span: int, rows: Column) -> Column:
         """Signal weight left by an EMA that decays freely from 1 over ``rows`` rows."""
@@ -83,10 +86,10 @@ class Macd:
 
 
 def running_ema(value: Column, span: int, position: Column, window) -> Column:
-    """EMA from the zero state, along ``window`` (an ordered window starting at position 0).
+    """EMA from the zero state, along ``window`` (an ordered running window starting at position 0).
 
-    ``position`` is null on rows that do not count. Growing and shrinking weights are powers
-    of the same number, so that its rounding cancels out.
+    Growing and shrinking weights are powers of the same number, so that its rounding
+    cancels out.
     """
     a = decay(span)
     total = F.sum(value * F.pow(F.lit(a), -position)).over(window)

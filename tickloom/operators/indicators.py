@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom import fixed_values as fixed
 from tickloom.functions.ema import Macd, running_ema
-from tickloom.operators.series import DAY, block_of, block_window, number_rows, with_halo
+from tickloom.operators.series import DAY, block_window, number_rows, with_halo
 
 # Rows before a block's first row that any rolling frame can reach.
 HALO = max(fixed.SMA_BARS) - 1
@@ -20,22 +19,35 @@ def when_enough(rows: int, value: Column) -> Column:
     return F.when(F.col("_n") >= rows, value)
 
 
-def with_sma(df: DataFrame, window, bars=tuple(fixed.SMA_BARS)) -> DataFrame:
-    return df.withColumns(
-        {f"sma{n}": when_enough(n, F.avg("close").over(window.rowsBetween(1 - n, 0))) for n in bars}
-    )
+def stacked(name: str, step: int, times: int, window) -> Column:
+    """Sum of ``name`` at this row and at the rows ``step, 2 * step, ...`` before: ``times`` terms."""
+    return sum([F.lag(name, step * i).over(window) for i in range(1, times)], F.col(name))
+
+
+def with_sums(df: DataFrame, window) -> DataFrame:
+    """Sums of the last 20, 50 and 200 closes as ``_sum20``, ``_sum50`` and ``_sum200``.
+
+    A frame of 200 rows would be added up anew for every row. Sums of ten closes are, and
+    the longer ones are stacked from those: nine look-ups instead of 270 additions. They
+    are null where the series is too short.
+    """
+    tens = df.withColumn("_sum10", F.sum("close").over(window.rowsBetween(-9, 0)))
+    fifties = tens.withColumns({"_sum20": stacked("_sum10", 10, 2, window), "_sum50": stacked("_sum10", 10, 5, window)})
+    return fifties.withColumn("_sum200", stacked("_sum50", 50, 4, window)).drop("_sum10")
+
+
+def with_sma(df: DataFrame) -> DataFrame:
+    """Moving averages, from ``with_sums``."""
+    return df.withColumns({f"sma{n}": when_enough(n, F.col(f"_sum{n}") / n) for n in fixed.SMA_BARS})
 
 
 def with_bollinger(df: DataFrame, window) -> DataFrame:
-    frame = window.rowsBetween(1 - fixed.BOLLINGER_BARS, 0)
-    measured = df.withColumns(
-        {"_mean": F.avg("close").over(frame), "_deviation": F.stddev_pop("close").over(frame)}
-    )
-    middle, spread = F.col("_mean"), fixed.BOLLINGER_WIDTH * F.col("_deviation")
+    """Bands around the moving average, from ``with_sums``."""
+    n = fixed.BOLLINGER_BARS
+    measured = df.withColumn("_deviation", F.stddev_pop("close").over(window.rowsBetween(1 - n, 0)))
+    middle, spread = F.col(f"_sum{n}") / n, fixed.BOLLINGER_WIDTH * F.col("_deviation")
     bands = {"bb_mid": middle, "bb_upper": middle + spread, "bb_lower": middle - spread}
-    return measured.withColumns(
-        {name: when_enough(fixed.BOLLINGER_BARS, band) for name, band in bands.items()}
-    ).drop("_mean", "_deviation")
+    return measured.withColumns({name: when_enough(n, band) for name, band in bands.items()}).drop("_deviation")
 
 
 def with_gain_loss(df: DataFrame, window) -> DataFrame:
@@ -65,7 +77,8 @@ def with_rsi(df: DataFrame, window) -> DataFrame:
 
 def with_rolling(df: DataFrame, window) -> DataFrame:
     """All indicators with a bounded look-back, on rows carrying ``_n``."""
-    return with_rsi(with_bollinger(with_sma(df, window), window), window)
+    averaged = with_bollinger(with_sma(with_sums(df, window)), window)
+    return with_rsi(averaged.drop(*[f"_sum{n}" for n in fixed.SMA_BARS]), window)
 
 
 def guarded_macd(fast: Column, slow: Column, signal: Column, rows: Column) -> dict[str, Column]:
@@ -74,57 +87,29 @@ def guarded_macd(fast: Column, slow: Column, signal: Column, rows: Column) -> di
     return {name: F.when(enough, line) for name, line in lines.items()}
 
 
-def _block_starts(numbered: DataFrame, keys: tuple[str, ...], macd: Macd, rows: int) -> DataFrame:
-    """EMA state at the start of every block: one row per (key, block)."""
-    block = block_of(rows)
-    age = (block + 1) * rows - F.col("_n")
-    sums = macd.sums(F.col("close"), age)
-    blocks = numbered.groupBy(*keys, block.alias("_block")).agg(
-        *[total.alias(name) for total, name in zip(sums, ["_f", "_s", "_g"])],
-        F.max(F.when(F.col("_n") == 1, F.col("close"))).alias("_first"),
-    )
-    order = Window.partitionBy(*keys).orderBy("_block")
-    first = F.max("_first").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    elapsed = F.col("_block") * rows
-    # From the start of the series: both EMAs begin at the first close, the signal at zero.
-    states = [macd.carried(first, first, F.lit(0.0), elapsed)]
-    for back in range(1, macd.reach(rows) + 1):
-        ended = [F.lag(name, back, 0.0).over(order) for name in ["_f", "_s", "_g"]]
-        states.append(macd.carried(*ended, F.lit((back - 1) * rows)))
-    start = [sum(parts[1:], parts[0]) for parts in zip(*states)]
-    return blocks.select(
-        *keys, "_block", *[part.alias(name) for part, name in zip(start, ["_fast0", "_slow0", "_signal0"])]
-    )
-
+def with_macd(df: DataFrame, window, macd: Macd) -> DataFrame:
+    """The MACD lines along ``window``, with both EMAs seeded by the first close in it.
 
-def with_macd(blocks: DataFrame, starts: DataFrame, keys: tuple[str, ...], macd: Macd, rows: int) -> DataFrame:
-    """Join each block with its starting state and add the MACD lines.
-
-    Both sides are distributed by (key, block); the starts are one row per block.
+    For the first block of a series that is the definition; later blocks start with a halo
+    of ``macd.memory_rows()`` rows, after which the seed no longer shows.
     """
-    window = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-    position = F.when(F.col("_own"), F.col("_n") - 1 - F.col("_block") * rows)
-    local = (
-        blocks.withColumn("_position", position)
-        .withColumns(
-            {
-                "_fast": running_ema(F.col("close"), macd.fast, F.col("_position"), window),
-                "_slow": running_ema(F.col("close"), macd.slow, F.col("_position"), window),
-            }
-        )
-        .withColumn(
-            "_signal", running_ema(F.col("_fast") - F.col("_slow"), macd.signal, F.col("_position"), window)
-        )
-        .filter("_own")
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    seeded = df.withColumns(
+        {"_at": F.col("_n") - F.first("_n").over(so_far), "_seed": F.first("close").over(so_far)}
+    )
+    averaged = seeded.withColumns(
+        {f"_ema{span}": running_ema(F.col("close"), span, F.col("_at"), so_far) for span in (macd.fast, macd.slow)}
     )
-    joined = local.join(starts, [*keys, "_block"])
-    carried = macd.carried(F.col("_fast0"), F.col("_slow0"), F.col("_signal0"), F.col("_position") + 1)
-    fast, slow, signal = [F.col(name) + part for name, part in zip(["_fast", "_slow", "_signal"], carried)]
-    return joined.withColumns(guarded_macd(fast, slow, signal, F.col("_n")))
+    fast, slow = F.col(f"_ema{macd.fast}"), F.col(f"_ema{macd.slow}")
+    smoothed = averaged.withColumn("_signal", running_ema(fast - slow, macd.signal, F.col("_at"), so_far))
+    seed = macd.carried(F.col("_seed"), F.col("_seed"), F.lit(0.0), F.col("_at") + 1)
+    states = [part + extra for part, extra in zip([fast, slow, F.col("_signal")], seed)]
+    summed = smoothed.withColumns(dict(zip(["_fast", "_slow", "_smooth"], states)))
+    return summed.withColumns(guarded_macd(F.col("_fast"), F.col("_slow"), F.col("_smooth"), F.col("_n")))
 
 
-def _visible(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*[name for name in df.columns if not name.startswith("_") or name in extra])
+def _visible(df: DataFrame) -> DataFrame:
+    return df.select(*[name for name in df.columns if not name.startswith("_")])
 
 
 def rolling_indicators(
@@ -151,10 +136,9 @@ def macd_series(
     macd: Macd = Macd(),
 ) -> DataFrame:
     """Every bar with the MACD lines."""
-    rows = macd.block_rows()
     numbered = number_rows(bars, keys, time, ties, cell_seconds)
-    starts = _block_starts(numbered, keys, macd, rows)
-    return _visible(with_macd(with_halo(numbered, rows, 0), starts, keys, macd, rows))
+    blocks = with_halo(numbered, macd.block_rows(), macd.memory_rows())
+    return _visible(with_macd(blocks, block_window(keys), macd).filter("_own"))
 
 
 def macd_series_pandas(
@@ -165,34 +149,23 @@ def macd_series_pandas(
     cell_seconds: int = DEFAULT_CELL,
     macd: Macd = Macd(),
 ) -> DataFrame:
-    """``macd_series`` with the recursion itself in a grouped-map pandas function.
+    """``macd_series`` as a grouped-map pandas function over blocks with their halo.
 
-    A group is one block, not one series; it is seeded with the EMA state at its start, so
-    its size is fixed however long the series grows.
+    A group is one block, not one series, so its size is fixed however long the series grows.
     """
-    rows = macd.block_rows()
     numbered = number_rows(bars, keys, time, ties, cell_seconds)
-    starts = _block_starts(numbered, keys, macd, rows)
-    blocks = numbered.withColumn("_block", block_of(rows)).join(starts, [*keys, "_block"])
+    blocks = with_halo(numbered, macd.block_rows(), macd.memory_rows())
     # The function captures plain values only, so workers need not have this package.
     columns, least = bars.columns, fixed.MACD_MIN_BARS
     fast, slow, smooth = macd.fast, macd.slow, macd.signal
 
-    def lines(pdf):
+    def lines(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_n")
-
-        def ema(values, start, span):
-            seeded = pd.concat([pd.Series([start]), values], ignore_index=True)
-            return seeded.ewm(span=span, adjust=False).mean().iloc[1:].to_numpy()
-
-        close = pdf["close"]
-        line = ema(close, pdf["_fast0"].iloc[0], fast) - ema(close, pdf["_slow0"].iloc[0], slow)
-        signal = ema(pd.Series(line), pdf["_signal0"].iloc[0], smooth)
-        shown = pdf["_n"].to_numpy() >= least
-        out = pdf[columns].copy()
-        for name, values in (("macd", line), ("macd_signal", signal), ("macd_hist", line - signal)):
-            out[name] = np.where(shown, values, None)
-        return out
+        line = pdf["close"].ewm(span=fast, adjust=False).mean() - pdf["close"].ewm(span=slow, adjust=False).mean()
+        signal = line.ewm(span=smooth, adjust=False).mean()
+        out = pdf[columns].assign(macd=line, macd_signal=signal, macd_hist=line - signal)
+        out.loc[pdf["_n"] < least, ["macd", "macd_signal", "macd_hist"]] = None
+        return out[pdf["_own"]]
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in bars.dtypes)
     return blocks.groupBy(*keys, "_block").applyInPandas(
@@ -210,15 +183,15 @@ def indicators(
 ) -> DataFrame:
     """Every bar with all ten indicator columns.
 
-    ``bars`` should be a stored table: it is scanned for the row counts, the block states
-    and the rows themselves. ``keys`` names what makes a series; the default interleaves
-    the exchanges of a symbol, ``("symbol", "exchange")`` keeps them apart.
+    ``bars`` should be a stored table: it is scanned once for the row counts and once for
+    the rows. ``keys`` names what makes a series; the default interleaves the exchanges of
+    a symbol, ``("symbol", "exchange")`` keeps them apart.
     """
-    rows = macd.block_rows()
     numbered = number_rows(bars, keys, time, ties, cell_seconds)
-    starts = _block_starts(numbered, keys, macd, rows)
-    rolled = with_rolling(with_halo(numbered, rows, HALO), block_window(keys))
-    return _visible(with_macd(rolled, starts, keys, macd, rows)).drop("prev_close", "gain", "loss")
+    blocks = with_halo(numbered, macd.block_rows(), max(HALO, macd.memory_rows()))
+    window = block_window(keys)
+    full = with_macd(with_rolling(blocks, window), window, macd).filter("_own")
+    return _visible(full).drop("prev_close", "gain", "loss")
 
 
 def latest_macd(numbered: DataFrame, keys: tuple[str, ...], macd: Macd = Macd()) -> DataFrame:
