@@ -26,19 +26,25 @@ def daily_digest(bars: DataFrame, top: int = 3, **series) -> DataFrame:
     Ranks break ties by symbol and exchange. Spark keeps no more than ``top`` rows per day
     and task before the shuffle.
     """
-    returns = with_returns(bars, **series)
-    boards = {
-        "gainers": (returns.filter("return_pct > 0"), F.col("return_pct"), F.col("return_pct").desc()),
-        "losers": (returns.filter("return_pct < 0"), F.col("return_pct"), F.col("return_pct").asc()),
-        "volume": (bars, F.col("volume").cast("double"), F.col("volume").desc()),
-    }
-    ranked = [
-        rows.withColumn("place", F.row_number().over(Window.partitionBy("time").orderBy(order, "symbol", "exchange")))
+    change, volume = F.col("return_pct"), F.col("volume").cast("double")
+
+    def entry(board: str, value, order):
+        return F.struct(F.lit(board).alias("board"), value.alias("value"), order.alias("_order"))
+
+    # Each bar enters up to three boards, so that the returns are computed once.
+    entries = F.array(
+        entry("gainers", F.when(change > 0, change), -change),
+        entry("losers", F.when(change < 0, change), change),
+        entry("volume", volume, -volume),
+    )
+    boards = with_returns(bars, **series).select("time", "symbol", "exchange", F.inline(entries))
+    best = Window.partitionBy("time", "board").orderBy("_order", "symbol", "exchange")
+    return (
+        boards.filter("value is not null")
+        .withColumn("place", F.row_number().over(best))
         .filter(F.col("place") <= top)
-        .select("time", F.lit(board).alias("board"), "place", "symbol", "exchange", value.alias("value"))
-        for board, (rows, value, order) in boards.items()
-    ]
-    return ranked[0].unionAll(ranked[1]).unionAll(ranked[2])
+        .select("time", "board", "place", "symbol", "exchange", "value")
+    )
 
 
 def screen(fundamentals: DataFrame, thresholds: list[dict]) -> DataFrame:

@@ -15,9 +15,6 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Recording a Python call site for every column expression costs milliseconds each,
-    # more than running a plan of a few hundred of them.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -37,6 +34,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Recording a Python call site for every column expression costs milliseconds each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME.items():
         builder = builder.config(key, value)
