@@ -149,6 +149,18 @@ def test_digest_over_one_day(spark):
     }
 
 
+def test_digest_job_equals_digest_of_all_days(spark, tmp_path):
+    store, out = str(tmp_path / "bars"), str(tmp_path / "digest")
+    daily = bars.ohlcv(ticks(spark, 4, ("A", "B", "C/USDT")).filter("symbol <> 'B' or time < '2024-01-03'")).drop("ticks")
+    moved = daily.withColumn("close", F.when(F.col("symbol") == "A", -F.day("time") + 50.0).otherwise(F.col("close")))
+    tables.write_days(moved, store)
+    jobs.run_digest(spark, store, out, "2024-01-04")
+    columns = ["time", "board", "place", "symbol", "exchange", "value"]
+    want = reports.daily_digest(moved).filter("time = '2024-01-04'").select(columns)
+    got = tables.read_table(spark, out).select(columns)
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count() > 0
+
+
 def test_volatility_windows(spark):
     frame = spark.createDataFrame(
         [(START, "A", 100.0), (START + timedelta(minutes=4), "A", 104.0), (START + timedelta(minutes=30), "A", 200.0)],

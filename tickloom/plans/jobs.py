@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tickloom import fixed_values as fixed
 from tickloom.operators import calendar, quality
-from tickloom.operators.bars import as_date, ohlcv, valid_bars
+from tickloom.operators.bars import as_date, day_filter, ohlcv, valid_bars
 from tickloom.operators.incremental import advance_state, indicator_state, snapshot
 from tickloom.operators.indicators import latest_indicators
 from tickloom.operators.reports import daily_digest, screen
+from tickloom.operators.series import latest_rows
 from tickloom.sources import tables
 from tickloom.streaming.landing import dead_letter_sink, tick_sink
 
@@ -73,9 +74,11 @@ def run_indicators_incremental(
 
 
 def run_digest(spark: SparkSession, bars_path: str, out_path: str, day, top: int = 3) -> None:
-    """Store the digest of one day. The bars before it only serve the previous close."""
-    bars = calendar.up_to(tables.read_table(spark, bars_path), day)
-    board = daily_digest(bars, top).filter(F.to_date("time") == F.lit(as_date(day)))
+    """Store the digest of one day, from its bars and each symbol's last bar before it."""
+    bars = tables.read_table(spark, bars_path)
+    before = calendar.up_to(bars, as_date(day) - timedelta(days=1))
+    relevant = latest_rows(before, ("symbol",), ties=("exchange",)).unionByName(day_filter(bars, day))
+    board = daily_digest(relevant, top).filter(F.to_date("time") == F.lit(as_date(day)))
     tables.write_snapshot(board, out_path, day)
 
 
