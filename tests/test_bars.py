@@ -109,9 +109,11 @@ def test_day_filter_reaches_the_scan(spark, sf_dir):
 
 def test_quality_gate(spark):
     df = ticks(spark, (1, "VCB", 5, 2), (2, "VCB", 6, 2))
-    report = quality_report(df, bars.ohlcv(df))
+    report = quality_report(bars.ohlcv(df, fault_counts=True))
     gate(report)
     assert {r["check"]: r["failed"] for r in report.collect()}["fewer than two ticks"] == 0
     bad = ticks(spark, (1, "VCB", 0, 2))
     with pytest.raises(ValueError, match="price not positive: 1 of 1"):
-        gate(quality_report(bad, bars.ohlcv(bad)))
+        gate(quality_report(bars.ohlcv(bad, fault_counts=True)))
+    empty = quality_report(bars.ohlcv(df.filter("false"), fault_counts=True))
+    assert {(r["rows"], r["failed"]) for r in empty.collect()} == {(0, 0)}

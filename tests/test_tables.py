@@ -68,6 +68,8 @@ def test_ohlcv_job(spark, tmp_path):
     assert (row["open"], row["high"], row["low"], row["close"], row["volume"]) == (102, 104, 102, 104, 30)
     with pytest.raises(ValueError, match="negative"):
         jobs.run_ohlcv(spark, raw, out, "2024-01-01", gate=True)
+    assert jobs.run_ohlcv(spark, raw, out, "2024-01-03", gate=True) == {"bars": 2, "dropped": 0}
+    assert tables.read_table(spark, out).count() == 6
 
 
 def test_indicator_jobs_agree_and_can_be_looked_up(spark, tmp_path):

@@ -42,6 +42,7 @@ def ohlcv(
     volume: str = "sum",
     unique_times: bool = False,
     dedupe: bool = False,
+    fault_counts: bool = False,
 ) -> DataFrame:
     """One bar per key and ``unit`` (a ``date_trunc`` unit).
 
@@ -52,7 +53,8 @@ def ohlcv(
     (or that those doing so agree on the price); the aggregate is then hash based and
     about three times faster, as no tick needs sorting.
     ``volume``: ``sum`` of tick volumes, or ``last`` / ``max`` for a feed that reports a
-    running total. ``dedupe`` first removes exact repeats of a tick.
+    running total. ``dedupe`` first removes exact repeats of a tick. ``fault_counts`` adds
+    the numbers of ticks with a price that is not positive and with a negative volume.
     """
     if volume not in VOLUME_MODES:
         raise ValueError(f"volume must be one of {VOLUME_MODES}, not {volume!r}")
@@ -74,6 +76,8 @@ def ohlcv(
         closing.alias("close"),
         volumes[volume].alias("volume"),
         F.count(F.lit(1)).alias("ticks"),
+        *([F.count_if(F.col("price") <= 0).alias("bad_prices")] if fault_counts else []),
+        *([F.count_if(F.col("volume") < 0).alias("bad_volumes")] if fault_counts else []),
     )
     if "asset_class" not in ticks.columns and "symbol" in keys:
         bars = bars.withColumn("asset_class", asset_class_of_symbol(F.col("symbol")))

@@ -1,4 +1,4 @@
-"""Quality gate over ticks and bars: one aggregate pass each, one row per check."""
+"""Quality gate over bars and the tick faults they count: one aggregate, one row per check."""
 
 from __future__ import annotations
 
@@ -6,39 +6,40 @@ from pyspark.sql import DataFrame, functions as F
 
 CRITICAL, WARNING = "critical", "warning"
 
-TICK_CHECKS = {
-    "price not positive": (CRITICAL, lambda: F.col("price") <= 0),
-    "negative volume": (CRITICAL, lambda: F.col("volume") < 0),
-}
-BAR_CHECKS = {
-    "high below low": (CRITICAL, lambda: F.col("high") < F.col("low")),
-    "close outside range": (WARNING, lambda: ~F.col("close").between(F.col("low"), F.col("high"))),
-    "open outside range": (WARNING, lambda: ~F.col("open").between(F.col("low"), F.col("high"))),
-    "negative bar volume": (CRITICAL, lambda: F.col("volume") < 0),
-    "fewer than two ticks": (WARNING, lambda: F.col("ticks") < 2),
+# Per check: severity, what is counted, and how many of it fail.
+CHECKS = {
+    "price not positive": (CRITICAL, "ticks", lambda: F.sum("bad_prices")),
+    "negative volume": (CRITICAL, "ticks", lambda: F.sum("bad_volumes")),
+    "high below low": (CRITICAL, "bars", lambda: F.count_if(F.col("high") < F.col("low"))),
+    "close outside range": (WARNING, "bars", lambda: F.count_if(~F.col("close").between(F.col("low"), F.col("high")))),
+    "open outside range": (WARNING, "bars", lambda: F.count_if(~F.col("open").between(F.col("low"), F.col("high")))),
+    "negative bar volume": (CRITICAL, "bars", lambda: F.count_if(F.col("volume") < 0)),
+    "fewer than two ticks": (WARNING, "bars", lambda: F.count_if(F.col("ticks") < 2)),
 }
 
 
-def _report(df: DataFrame, checks: dict) -> DataFrame:
-    counts = [F.count_if(fails()).alias(name) for name, (_, fails) in checks.items()]
-    totals = df.agg(F.count(F.lit(1)).alias("_rows"), *counts)
+def quality_report(bars: DataFrame) -> DataFrame:
+    """``check, severity, rows, failed`` for every check.
+
+    ``bars`` come from ``ohlcv(..., fault_counts=True)``, so the ticks are read only once.
+    """
+    totals = bars.agg(
+        F.coalesce(F.sum("ticks"), F.lit(0)).alias("ticks"),
+        F.count(F.lit(1)).alias("bars"),
+        *[F.coalesce(failed(), F.lit(0)).alias(name) for name, (_, _, failed) in CHECKS.items()],
+    )
     lines = [
         F.struct(
             F.lit(name).alias("check"),
             F.lit(severity).alias("severity"),
-            F.col("_rows").alias("rows"),
+            F.col(counted).alias("rows"),
             F.col(f"`{name}`").alias("failed"),
         )
-        for name, (severity, _) in checks.items()
+        for name, (severity, counted, _) in CHECKS.items()
     ]
     return totals.select(F.inline(F.array(*lines)))
 
 
-def quality_report(ticks: DataFrame, bars: DataFrame) -> DataFrame:
-    """``check, severity, rows, failed`` for every check; ``bars`` come with their ``ticks`` count."""
-    return _report(ticks, TICK_CHECKS).unionAll(_report(bars, BAR_CHECKS))
-
-
 def gate(report: DataFrame) -> None:
     """Raise when a critical check failed. The report has a fixed handful of rows."""
     broken = report.filter((F.col("severity") == CRITICAL) & (F.col("failed") > 0)).collect()

@@ -13,6 +13,7 @@ from tickloom.operators.incremental import advance_state, indicator_state, snaps
 from tickloom.operators.indicators import latest_indicators
 from tickloom.operators.reports import daily_digest, screen
 from tickloom.operators.series import latest_rows
+from tickloom.session import materialise
 from tickloom.sources import tables
 from tickloom.streaming.landing import dead_letter_sink, tick_sink
 
@@ -40,11 +41,13 @@ def run_ohlcv(
     ticks = tables.read_days(spark, raw_path, first, last, fmt=fmt)
     if ticks.isEmpty():
         return None
-    bars = ohlcv(ticks, **options)
+    bars = ohlcv(ticks, fault_counts=gate, **options)
     if gate:
-        quality.gate(quality.quality_report(ticks, bars))
+        # Kept aside for the gate and the write, so that the ticks are aggregated once.
+        bars = materialise(bars, "gated-bars")
+        quality.gate(quality.quality_report(bars))
     counts = Observation("bars")
-    tables.write_days(valid_bars(bars, counts).drop("ticks"), bars_path, layout)
+    tables.write_days(valid_bars(bars, counts).drop("ticks", "bad_prices", "bad_volumes"), bars_path, layout)
     return counts.get
 
 

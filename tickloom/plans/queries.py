@@ -73,8 +73,7 @@ def ohlcv_backfill(spark, sf_dir):
 
 
 def quality_report(spark, sf_dir):
-    ticks = views.faulty_ticks(spark, sf_dir)
-    return quality.quality_report(ticks, bars.ohlcv(ticks))
+    return quality.quality_report(bars.ohlcv(views.faulty_ticks(spark, sf_dir), fault_counts=True))
 
 
 def rows_per_symbol(spark, sf_dir):
