@@ -25,17 +25,24 @@ def table_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written once to the shared checkpoint folder; a lost executor costs nothing that was written.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`, which driver and executors share.
 
-    The folder is the session's `spark.checkpoint.dir`. Only where that is unset and Spark runs inside this process (as
-    in tests) a folder of this machine is taken; on a cluster the setting is required.
+    Only where it is unset and Spark runs inside this process (as in tests) is a folder of this machine taken; on a
+    cluster the setting is required.
     """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` written once to the shared folder; a lost executor costs nothing that was written."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
