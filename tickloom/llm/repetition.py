@@ -198,7 +198,7 @@ def oracle(limits: Limits = Limits()) -> str:
     n AS (SELECT doc_id, {near.format(flag="r3", less=2)} AS c3, {near.format(flag="rk", less=k - 1)} AS ck FROM f),
     c AS (SELECT doc_id, sum(c3) AS n3, sum(ck) AS nk FROM n GROUP BY doc_id),
     gl AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, md5(array_to_string(words[i:i + {long - 1}], ' ')) AS h
-        FROM w JOIN t USING (doc_id) WHERE i + {long - 1} <= len(words)) GROUP BY doc_id, h HAVING count(*) > 1),
+        FROM w JOIN t USING (doc_id) WHERE i + {long - 1} <= len(words) AND doc_id IN (SELECT doc_id FROM c WHERE nk >= {long})) GROUP BY doc_id, h HAVING count(*) > 1),
     l AS (SELECT doc_id, sum(c - 1) AS n FROM (SELECT doc_id, line, count(*) AS c
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id, line) GROUP BY doc_id),
     m AS (SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
