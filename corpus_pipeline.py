@@ -9,8 +9,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import packing, repetition
+from tickloom.llm import line_templates, packing, repetition, simhash
 from tickloom.llm.common import shared_folder
 from tickloom.llm.queries import TOKENIZER
 
@@ -20,12 +21,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repetition.keep_good(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines of recurring templates."""
+    out = line_templates.dedup(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    return out.select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return simhash.keep_one(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids with their sequence and the place there."""
     return packing.pack(docs, TOKENIZER, with_ids=True)
 
 
-STAGES = [("quality_rules", quality), ("packing", pack)]
+STAGES = [("quality_rules", quality), ("line_dedup", lines), ("simhash_near_dedup", near_copies), ("packing", pack)]
 
 ORACLE_SQL = None
 
