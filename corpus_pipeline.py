@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_templates, packing, repetition, simhash
+from tickloom.llm import line_templates, packing, pii, repetition, simhash
 from tickloom.llm.common import shared_folder
 from tickloom.llm.queries import TOKENIZER
 
@@ -32,12 +32,18 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    out = pii.redact(docs, pii.train(docs)).withColumn("n_chars", F.char_length("text").cast("long"))
+    return out.select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids with their sequence and the place there."""
     return packing.pack(docs, TOKENIZER, with_ids=True)
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("simhash_near_dedup", near_copies), ("packing", pack)]
+STAGES = [("quality_rules", quality), ("line_dedup", lines), ("simhash_near_dedup", near_copies), ("pii", private), ("packing", pack)]
 
 ORACLE_SQL = None
 

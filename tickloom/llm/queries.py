@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, line_templates, packing, repetition, simhash
+from tickloom.llm import bpe, line_templates, packing, pii, repetition, simhash
 from tickloom.llm.common import table_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,10 +31,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table_of(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table_of(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table_of(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_line_templates, op2_repetition, op3_packing, op7_simhash, op10_bpe)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_line_templates, op2_repetition, op3_packing, op7_simhash, op9_pii, op10_bpe)}
 
 SQL: dict[str, str] = {"op1_line_templates": line_templates.oracle(), "op2_repetition": repetition.oracle()}
