@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, licenses, line_templates, packing, pii, repetition, simhash
+from tickloom.llm import bpe, licenses, line_templates, minhash, packing, pii, repetition, simhash
 from tickloom.llm.common import table_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table_of(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table_of(spark, sf_dir, "documents"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table_of(spark, sf_dir, "documents"))
 
@@ -43,6 +47,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table_of(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_line_templates, op2_repetition, op3_packing, op5_licenses, op7_simhash, op9_pii, op10_bpe)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_line_templates, op2_repetition, op3_packing, op4_minhash, op5_licenses, op7_simhash, op9_pii, op10_bpe)}
 
 SQL: dict[str, str] = {"op1_line_templates": line_templates.oracle(), "op2_repetition": repetition.oracle(), "op5_licenses": licenses.oracle()}
