@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, licenses, line_templates, minhash, packing, pii, repetition, simhash
+from tickloom.llm import bpe, hostrank, licenses, line_templates, minhash, packing, pii, preferences, repetition, simhash
 from tickloom.llm.common import table_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,10 +35,18 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table_of(spark, sf_dir, "documents"))
 
 
+def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.report(table_of(spark, sf_dir, "conversations"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table_of(spark, sf_dir, "documents"))
 
 
+def op8_hostrank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrank.report(table_of(spark, sf_dir, "pages"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table_of(spark, sf_dir, "documents"))
 
@@ -47,6 +55,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table_of(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_line_templates, op2_repetition, op3_packing, op4_minhash, op5_licenses, op7_simhash, op9_pii, op10_bpe)}
-
-SQL: dict[str, str] = {"op1_line_templates": line_templates.oracle(), "op2_repetition": repetition.oracle(), "op5_licenses": licenses.oracle()}
+QUERIES: dict[str, Query] = {
+    q.__name__: q
+    for q in (
+        op1_line_templates, op2_repetition, op3_packing, op4_minhash, op5_licenses,
+        op6_preferences, op7_simhash, op8_hostrank, op9_pii, op10_bpe,
+    )
+}
+
+#: The others are tested against brute force, an exact round trip or held-out labels.
+SQL: dict[str, str] = {
+    "op1_line_templates": line_templates.oracle(),
+    "op2_repetition": repetition.oracle(),
+    "op5_licenses": licenses.oracle(),
+    "op6_preferences": preferences.oracle(),
+    "op8_hostrank": hostrank.oracle(),
+}
