@@ -10,9 +10,6 @@ from tickloom import fixed_values as fixed, schemas
 from tickloom.functions.coerce import all_of, any_of, asset_class_of_source, once, to_double
 from tickloom.functions.text import alert_text
 
-# Up to this many rules become literals of the query; more are joined as a table.
-COMPILE_LIMIT = 256
-
 HIT_COLUMNS = ["rule_id", "message", "matched_field", "operator", "threshold", "matched_value"]
 
 
@@ -20,8 +17,9 @@ RULE_ARRAY = "array<struct<" + ", ".join(field.replace(" ", ": ", 1) for field i
 
 
 def _parsed(documents: DataFrame, value: str) -> DataFrame:
-    """JSON arrays of rules as rows; ``rule_id`` counts from 1 in the order of the array."""
-    rules = documents.select(F.posexplode(F.from_json(value, RULE_ARRAY)).alias("_at", "_rule"))
+    """JSON arrays of rules as rows; ``rule_id`` counts from 1 in the order of the array. Broken JSON raises."""
+    document = F.from_json(value, RULE_ARRAY, {"mode": "FAILFAST"})
+    rules = documents.select(F.posexplode(document).alias("_at", "_rule"))
     return rules.select((F.col("_at") + 1).alias("rule_id"), "_rule.*").withColumn(
         "source", F.coalesce("source", F.lit("*"))
     )
@@ -38,28 +36,40 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
     return _parsed(spark.read.text(path, wholetext=True), "value")
 
 
-def operator_known() -> Column:
-    return F.coalesce(F.col("operator").isin(*fixed.RULE_OPERATORS), F.lit(False))
+def rule_usable() -> Column:
+    """A known operator, and a symbol, a field and a threshold."""
+    known = F.coalesce(F.col("operator").isin(*fixed.RULE_OPERATORS), F.lit(False))
+    return known & all_of(F.col(name).isNotNull() for name in ("symbol", "field", "threshold"))
 
 
 def validate_rules(rules: DataFrame) -> DataFrame:
-    """Rules with a known operator."""
-    return rules.filter(operator_known())
+    """Rules that can be evaluated."""
+    return rules.filter(rule_usable())
 
 
 def rejected_rules(rules: DataFrame) -> DataFrame:
     """Rules that ``validate_rules`` drops."""
-    return rules.filter(~operator_known())
+    return rules.filter(~rule_usable())
+
+
+def payload_text(df: DataFrame, payload: str = "payload"):
+    """Reads a field's text from a payload, a struct or a map; of a repeated key the last, as JSON parsers do."""
+    kind = df.schema[payload].dataType
+    if kind.typeName() == "struct":
+        return lambda field: F.col(payload)[field] if field in kind.names else F.lit(None).cast("string")
+    named = lambda field: F.filter(F.map_entries(payload), lambda entry: entry["key"] == field)
+    return lambda field: F.try_element_at(named(field), F.lit(-1))["value"]
 
 
-def payload_value(payload: str = "payload"):
-    """Reads a field of a text payload; absent or non-numeric texts are null."""
-    return lambda field: F.col(payload)[field].try_cast("double")
+def payload_value(df: DataFrame, payload: str = "payload"):
+    """Reads a field of a payload as a number; absent or non-numeric texts are null."""
+    text = payload_text(df, payload)
+    return lambda field: text(field).try_cast("double")
 
 
 def column_value(df: DataFrame):
-    """Reads a field from a column of that name; null when the table has none."""
-    return lambda field: (F.col(field) if field in df.columns else F.lit(None)).cast("double")
+    """Reads a field from a column of that name as a number; null when the table has none or it is no number."""
+    return lambda field: (F.col(field) if field in df.columns else F.lit(None)).try_cast("double")
 
 
 # Comparisons by operator. NaN sorts above every number in Spark, hence the upper bound:
@@ -79,118 +89,89 @@ def threshold_met(operator: Column, value: Column, threshold: Column) -> Column:
     return F.coalesce(*cases, F.lit(False))
 
 
-def _compiled(ticks: DataFrame, rules: list, value_of, asset_class: Column) -> DataFrame:
-    """Rules as literals: one filter that can reach the scan, then the hits of each kept tick."""
-    if not rules:
-        return ticks.filter(F.lit(False)).select("*", *_no_hits())
-    fires = []
-    for rule in rules:
-        tests = [COMPARISONS[rule.operator](value_of(rule.field), rule.threshold)]
-        if rule.source != "*":
-            tests.append(asset_class == rule.source)
-        if rule.symbol != "*":
-            tests.append(F.col("symbol") == rule.symbol)
-        fires.append(all_of(tests))
-    found = F.array_compact(F.array(*[F.when(fired, i) for i, fired in enumerate(fires, 1)]))
-    # The rules again, as one constant array that a hit indexes.
-    constant = F.from_json(F.lit(json.dumps([rule.asDict() for rule in rules])), "array<struct<rule_id: int, " + RULE_ARRAY[13:])
-    hits = ticks.filter(any_of(fires)).select("*", F.explode(found).alias("_at"))
-    hits = hits.withColumn("_rule", F.element_at(constant, F.col("_at")))
-    rule = F.col("_rule")
-    value = F.coalesce(*[F.when(rule["field"] == field, value_of(field)) for field in dict.fromkeys(r.field for r in rules)])
-    cells = [rule["rule_id"], rule["message"], rule["field"], rule["operator"], rule["threshold"], value]
-    return hits.select(*ticks.columns, *[cell.alias(name) for cell, name in zip(cells, HIT_COLUMNS)])
-
-
 def _no_hits() -> list[Column]:
     kinds = ["int", "string", "string", "string", "double", "double"]
     return [F.lit(None).cast(kind).alias(name) for name, kind in zip(HIT_COLUMNS, kinds)]
 
 
-def _joined(ticks: DataFrame, rules: DataFrame, lookups: DataFrame) -> DataFrame:
-    """Rules as a table: an equality join on (asset class or *, symbol or *, field).
+def _may_fire(rules: list, value_of) -> Column:
+    """True for every tick that a rule fires on, and few others: for each field one range for each kind of comparison.
 
-    ``lookups`` is the ticks repeated per field and scope, with ``_field``, ``_value``,
-    ``_class`` and ``_scope``: four lookups per field instead of one per rule. No broadcast
-    is forced: Spark picks one when the table is small and splits skewed scopes when not.
+    Plain comparisons of columns, so that they reach the scan; their number is that of the fields, not of the rules.
     """
-    named = ["rule_id", "source", "symbol", "field", "operator", "threshold", "message"]
-    rule = rules.select(*[F.col(name).alias(f"_r_{name}") for name in named])
-    same = (
-        (F.col("_class") == F.col("_r_source"))
-        & (F.col("_scope") == F.col("_r_symbol"))
-        & (F.col("_field") == F.col("_r_field"))
-    )
-    met = threshold_met(F.col("_r_operator"), F.col("_value"), F.col("_r_threshold"))
-    return lookups.join(rule, same & met).select(
-        *ticks.columns,
-        F.col("_r_rule_id").alias("rule_id"),
-        F.col("_r_message").alias("message"),
-        F.col("_r_field").alias("matched_field"),
-        F.col("_r_operator").alias("operator"),
-        F.col("_r_threshold").alias("threshold"),
-        F.col("_value").alias("matched_value"),
-    )
-
-
-def evaluate_rules(
-    ticks: DataFrame, rules: DataFrame, value_of=None, compile_limit: int = COMPILE_LIMIT
-) -> DataFrame:
+    ranges = []
+    for field in dict.fromkeys(rule.field for rule in rules):
+        of = lambda *names: [r.threshold for r in rules if r.field == field and r.operator in names]  # noqa: E731, B023
+        value = value_of(field)
+        if below := of("<", "<="):
+            ranges.append(value <= max(below))
+        if above := of(">", ">="):
+            ranges.append((value >= min(above)) & (value <= float("inf")))
+        if same := of("=="):
+            ranges.append(value.between(min(same), max(same)))
+    return any_of(ranges)
+
+
+def evaluate_rules(ticks: DataFrame, rules: DataFrame, value_of=None) -> DataFrame:
     """Every (tick, rule) pair that fires: the tick's columns plus the rule's.
 
-    ``ticks`` carries ``symbol`` and ``source`` (or ``asset_class``). ``value_of`` maps a
-    field name to a Column; the default reads the ``payload`` map when there is one, else
-    columns. No state and no shuffle; works on streams in append mode.
+    ``ticks`` carries ``symbol`` and ``source`` (or ``asset_class``). ``value_of`` maps a field name to a Column; the
+    default reads the ``payload`` when there is one, else columns. The rules are one configuration document: they become
+    constants, those of one symbol under its name and those of all apart, so a tick looks at the rules of its symbol and
+    the general ones. No join, no state and no shuffle, whatever their number; works on streams in append mode.
     """
+    has_payload = "payload" in ticks.columns
     if value_of is None:
-        value_of = payload_value() if "payload" in ticks.columns else column_value(ticks)
+        value_of = payload_value(ticks) if has_payload else column_value(ticks)
     asset_class = (
         F.col("asset_class")
         if "asset_class" in ticks.columns
         else asset_class_of_source(F.coalesce("source", F.lit("")))
     )
-    valid = validate_rules(rules)
-    head = valid.orderBy("rule_id").limit(compile_limit + 1).collect()
-    if len(head) <= compile_limit:
-        if "payload" not in ticks.columns:
-            return _compiled(ticks, head, value_of, asset_class)
-        # Read every field and the asset class once per tick, not once per rule.
-        names = {rule.field: f"_value_{i}" for i, rule in enumerate(head)}
-        values = {name: value_of(field) for field, name in names.items()}
-        prepared = once(ticks, _class=asset_class, **values)
-        hits = _compiled(prepared, head, lambda field: F.col(names[field]), F.col("_class"))
-        return hits.drop("_class", *names.values())
-    classes = [asset_class, F.lit("*")]
-    scopes = [F.col("symbol"), F.lit("*")]
-    if "payload" in ticks.columns:
-        exploded = ticks.select("*", F.explode("payload").alias("_field", "_text"))
-        fields = once(exploded, _value=F.col("_text").try_cast("double"))
-        pairs = [F.struct(c.alias("_class"), s.alias("_scope")) for c in classes for s in scopes]
-        lookups = fields.filter(F.col("_value").isNotNull()).select("*", F.inline(F.array(*pairs)))
-    else:
-        # The rules' fields among the columns: at most one row per column.
-        used = valid.filter(F.col("field").isin(*ticks.columns)).select("field").distinct().collect()
-        parts = [
-            F.struct(
-                F.lit(row["field"]).alias("_field"), value_of(row["field"]).alias("_value"),
-                c.alias("_class"), s.alias("_scope"),
-            )
-            for row in used for c in classes for s in scopes
-        ]
-        if not parts:
-            return ticks.filter(F.lit(False)).select("*", *_no_hits())
-        lookups = ticks.select("*", F.inline(F.array(*parts)))
-    return _joined(ticks, valid, lookups)
+    table = validate_rules(rules).orderBy("rule_id").collect()
+    if not table:
+        return ticks.filter(F.lit(False)).select("*", *_no_hits())
+    fields = list(dict.fromkeys(rule.field for rule in table))
+    if not has_payload:
+        ticks = ticks.filter(_may_fire(table, value_of))
+    # Every field and the asset class are read once per tick, not once per rule.
+    prepared = once(ticks, _class=asset_class, _values=F.array(*[value_of(field) for field in fields]))
+    if has_payload:
+        prepared = prepared.filter(_may_fire(table, lambda field: F.col("_values")[fields.index(field)]))
+    kind = "array<struct<rule_id: int, at: int, " + RULE_ARRAY[13:]
+    general: list[dict] = []
+    by_symbol: dict[str, list[dict]] = {}
+    for rule in table:
+        own = general if rule.symbol == "*" else by_symbol.setdefault(rule.symbol, [])
+        own.append({**rule.asDict(), "at": fields.index(rule.field)})
+    constant = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)
+    candidates = constant(general, kind)
+    if by_symbol:
+        own = F.try_element_at(constant(by_symbol, f"map<string, {kind}>"), F.col("symbol"))
+        candidates = F.concat(candidates, F.coalesce(own, F.array().cast(kind)))
+    fires = lambda rule: (rule["source"].isin("*") | (rule["source"] == F.col("_class"))) & threshold_met(
+        rule["operator"], F.col("_values")[rule["at"]], rule["threshold"]
+    )
+    hits = prepared.select("*", F.explode(F.filter(candidates, lambda rule: F.coalesce(fires(rule), F.lit(False)))).alias("_rule"))
+    rule = F.col("_rule")
+    cells = [rule["rule_id"], rule["message"], rule["field"], rule["operator"], rule["threshold"], F.col("_values")[rule["at"]]]
+    return hits.select(*ticks.columns, *[cell.alias(name) for cell, name in zip(cells, HIT_COLUMNS)])
 
 
 def with_alert_text(hits: DataFrame, timestamp: Column | None = None) -> DataFrame:
     """Add ``alert``, the printable line. Payload ticks print the payload's own value text."""
     has_payload = "payload" in hits.columns
-    price, change = (
-        (to_double(F.col("payload")[name]) if has_payload else F.col(name).cast("double"))
-        for name in ("price", "pct_change")
-    )
-    value = F.col("payload")[F.col("matched_field")] if has_payload else F.col("matched_value").cast("string")
+    if has_payload:
+        text_of = payload_text(hits)
+        price, change = to_double(text_of("price")), to_double(text_of("pct_change"))
+        kind = hits.schema["payload"].dataType
+        if kind.typeName() == "struct":
+            value = F.coalesce(*[F.when(F.col("matched_field") == name, text_of(name)) for name in kind.names])
+        else:
+            value = text_of(F.col("matched_field"))
+    else:
+        price, change = F.col("price").cast("double"), F.col("pct_change").cast("double")
+        value = F.col("matched_value").cast("string")
     stamp = timestamp if timestamp is not None else (F.col("timestamp") if "timestamp" in hits.columns else
                                                      F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss"))
     text = alert_text(stamp, F.col("symbol"), F.col("message"), price, change, F.col("matched_field"), value)

@@ -27,6 +27,8 @@ def cooldown(
     A task holds the distinct alert times of one key in one span (at least 64 cooldowns
     long), never those of a whole key.
     """
+    if minutes <= 0:
+        raise ValueError("a cooldown takes more than 0 minutes")
     wait = int(minutes * 60_000_000)
     span = max(span_us, 64 * wait)
     names = list(keys)

@@ -12,13 +12,15 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom import fixed_values as fixed
 from tickloom.functions.coerce import parse_iso
-from tickloom.operators.alerts import evaluate_rules, with_alert_text
+from tickloom.operators.alerts import evaluate_rules, validate_rules, with_alert_text
 from tickloom.operators.extract import decode, of_type
 
 
 def alert_rows(messages: DataFrame, rules: DataFrame) -> DataFrame:
     """Messages -> one row per tick and firing rule, with the printable line. No state, no shuffle."""
-    snapshots = of_type(decode(messages), fixed.PRICE_SNAPSHOT)
+    # Only what the rules and the line read is parsed; of a repeated key the last value counts, as in landing.
+    fields = [row["field"] for row in validate_rules(rules).select("field").distinct().orderBy("field").collect()]
+    snapshots = of_type(decode(messages, payload_fields=[*dict.fromkeys([*fields, "price", "pct_change"])]), fixed.PRICE_SNAPSHOT)
     hits = evaluate_rules(snapshots.drop("parse_error", "message"), rules)
     payload = F.col("payload")
     return with_alert_text(hits).select(
@@ -43,10 +45,13 @@ def with_cooldown(
 ) -> DataFrame:
     """Of each key, only alerts at least ``minutes`` after the last one kept: the keys and ``time``.
 
-    State is one timestamp per key, removed once the watermark shows that the cooldown is
+    The watermark decides what counts: alerts later than ``lateness`` are dropped by the stream, and within a micro-batch
+    alerts are taken in time order, so an alert that arrives after a later one was kept is in its cooldown. State is one timestamp per key, removed once the watermark shows that the cooldown is
     over. Only the alert times of a key travel to its task, and the source's rate limit
     bounds how many a micro-batch holds.
     """
+    if minutes <= 0:
+        raise ValueError("a cooldown takes more than 0 minutes")
     wait_us = int(minutes * 60_000_000)
     times = alerts.select(*keys, "time").withWatermark("time", lateness)
     key_types = ", ".join(f"{name} {kind}" for name, kind in times.dtypes if name in keys)
