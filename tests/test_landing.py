@@ -8,8 +8,8 @@ from tickloom.operators import envelope, extract
 from tickloom.sources import messages as topics
 from tickloom.streaming import landing
 
-TS = "2024-05-10T08:00:00+00:00"
-FULL = {"price": 85000.0, "change": 500.0, "pct_change": 0.59, "volume": 1_000_000, "bid": 84900.0, "ask": 85100.0}
+TS = "2023-11-21T03:17:42+00:00"
+FULL = {"price": 61.75, "change": -0.25, "pct_change": -0.4, "volume": 7_300, "bid": 61.5, "ask": 62.125}
 
 
 def message(**changes):
@@ -63,9 +63,9 @@ def test_every_message_is_accounted_for(classified):
 
 def test_typed_tick(classified):
     tick = extract.ticks_of(classified, keep=("key",)).filter("key = 'full'").first()
-    assert tick["time"] == datetime(2024, 5, 10, 8)
+    assert tick["time"] == datetime(2023, 11, 21, 3, 17, 42)
     assert [tick[name] for name in ("symbol", "exchange", "price", "change", "pct_change", "volume", "bid", "ask")] == [
-        "VCB", "HOSE", 85000.0, 500.0, 0.59, 1_000_000, 84900.0, 85100.0]
+        "VCB", "HOSE", *FULL.values()]
     assert tick["asset_class"] == "stock"
     other = {row["key"]: row for row in extract.ticks_of(classified, keep=("key",)).collect()}
     assert other["no exchange"]["exchange"] == "" and other["no source"]["asset_class"] == "unknown"
@@ -134,7 +134,7 @@ def test_landing_stream_with_restart(spark, tmp_path):
     run()
     ticks = spark.read.parquet(raw)
     assert sorted((r["asset_class"], str(r["event_date"]), r["symbol"]) for r in ticks.collect()) == [
-        ("crypto", "2024-05-11", "BTC/USDT"), ("stock", "2024-05-10", "VCB")]
+        ("crypto", "2024-05-11", "BTC/USDT"), ("stock", "2023-11-21", "VCB")]
     reasons = spark.read.json(letters)
     assert sorted(r["reason"] for r in reasons.collect()) == ["malformed json", "missing symbol"]
 

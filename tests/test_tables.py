@@ -211,3 +211,72 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.read.parquet(at("screen")).count() == 2
     cli.main(["price-alerts", "--messages", at("messages"), "--checkpoint", at("a"), "--once"])
     assert len(config.load_json(spark, at("t.json"))) == 1
+
+
+def test_no_tick_is_lost_in_another_session_zone(spark, tmp_path):
+    """Two days are run one after the other; ticks lie on both sides of the zone's midnight."""
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "bars")
+    hours = [1, 16, 17, 18, 23]
+    stamps = [f"2024-01-0{d}T{h:02}:30:00Z" for d in (1, 2) for h in hours]
+    schema = "stamp string, symbol string, exchange string, price double, volume bigint, asset_class string"
+    rows = spark.createDataFrame([(t, "VCB", "X", 10.0 + i, 1, "stock") for i, t in enumerate(stamps)], schema)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
+    try:
+        tables.write_days(rows.withColumn("time", F.to_timestamp("stamp")).drop("stamp"), raw)
+        for day in ("2024-01-01", "2024-01-02"):
+            jobs.run_ohlcv(spark, raw, out, day)
+        found = tables.read_table(spark, out).select("event_date", F.unix_seconds("time").alias("s"), "open", "close", "volume").orderBy("s").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    begin = 1704067200
+    assert [tuple(r) for r in found] == [(date(2024, 1, 1), begin, 10.0, 14.0, 5), (date(2024, 1, 2), begin + 86400, 15.0, 19.0, 5)]
+
+
+def test_units_of_bars(spark):
+    frame = spark.createDataFrame([(datetime(2024, 5, 16, 13, 47, 9), "A", "X", 1.0, 1)], "time timestamp, symbol string, exchange string, price double, volume bigint")
+    starts = {"year": datetime(2024, 1, 1), "quarter": datetime(2024, 4, 1), "month": datetime(2024, 5, 1), "week": datetime(2024, 5, 13), "day": datetime(2024, 5, 16), "hour": datetime(2024, 5, 16, 13)}
+    for unit, start in starts.items():
+        row = bars.ohlcv(frame, unit=unit).select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("t")).first()
+        assert row["t"] == f"{start:%Y-%m-%d %H:%M:%S}", unit
+
+
+def test_up_to_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_days(ticks(spark, 5), path)
+    picked = calendar.up_to(tables.read_table(spark, path), "2024-01-03")
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert picked.select("event_date").distinct().count() == 3
+
+
+def test_incremental_job_needs_its_state(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    tables.write_days(bars.ohlcv(ticks(spark, 4)), path)
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    jobs.run_indicators_incremental(spark, path, state, out, "2024-01-02")
+    with pytest.raises(ValueError, match="no state of 2024-01-01"):
+        jobs.run_indicators_incremental(spark, path, state, out, "2024-01-03", since="2024-01-01")
+    jobs.run_indicators_incremental(spark, path, state, out, "2024-01-03", since="2024-01-02")
+
+
+def test_compaction_keeps_the_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for symbol in ("A", "B", "C"):
+        ticks(spark, 2, (symbol,)).withColumn("event_date", F.to_date("time")).write.mode("append").partitionBy("asset_class", "event_date").parquet(path)
+    before = sorted(map(str, tables.read_table(spark, path).select("time", "symbol", "price").collect()))
+    files = len([f for f in tables.read_table(spark, path).inputFiles()])
+    tables.compact_days(spark, path, "2024-01-01", "2024-01-02")
+    assert sorted(map(str, tables.read_table(spark, path).select("time", "symbol", "price").collect())) == before
+    assert len(tables.read_table(spark, path).inputFiles()) == 2 < files
+
+
+def test_bars_are_keyed_by_symbol_and_exchange(spark):
+    """Ticks of a day that were landed with several classes are one bar, of a known class."""
+    mixed = ticks(spark, 1, ("VCB",)).withColumn("asset_class", F.when(F.hour("time") == 2, "unknown").otherwise(F.col("asset_class")))
+    found = bars.ohlcv(mixed).collect()
+    assert [(r["asset_class"], r["volume"]) for r in found] == [("stock", 30)]
+
+
+def test_bars_without_a_finite_price_are_invalid(spark):
+    frame = ticks(spark, 1, ("A", "B")).withColumn("price", F.when((F.col("symbol") == "A") & (F.hour("time") == 2), float("nan")).otherwise(F.col("price")))
+    assert [r["symbol"] for r in bars.valid_bars(bars.ohlcv(frame)).collect()] == ["B"]

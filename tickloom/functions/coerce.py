@@ -76,10 +76,31 @@ def symbol_key(symbol: Column) -> Column:
     return F.replace(F.coalesce(symbol, F.lit(fixed.UNKNOWN_SYMBOL)), F.lit("/"), F.lit("-"))
 
 
+DAY_MICROS = 86_400_000_000
+
+
+def utc_date(time: Column) -> Column:
+    """The UTC day of a timestamp, whatever the session's zone; a date stays as it is."""
+    instant = F.floor(F.unix_micros(time.try_cast("timestamp")) / DAY_MICROS).cast("int")
+    return F.when(F.typeof(time) == "timestamp", F.date_from_unix_date(instant)).otherwise(time.try_cast("date"))
+
+
+def utc_trunc(unit: str, time: Column) -> Column:
+    """The start of the UTC ``unit`` (a ``date_trunc`` unit) that holds a timestamp, whatever the session's zone."""
+    sizes = {"day": DAY_MICROS, "hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000}
+    micros = F.unix_micros(time.cast("timestamp"))
+    if unit.lower() in sizes:
+        size = sizes[unit.lower()]
+        return F.timestamp_micros(F.floor(micros / size) * size)
+    first = F.trunc(F.date_from_unix_date(F.floor(micros / DAY_MICROS).cast("int")), unit)
+    return F.timestamp_micros(F.unix_date(first).cast("bigint") * DAY_MICROS)
+
+
 def date_parts(time: Column) -> list[Column]:
-    """Zero-padded ``year``, ``month`` and ``day`` texts, ``unknown`` for a null time."""
+    """Zero-padded ``year``, ``month`` and ``day`` texts of the UTC day, ``unknown`` for a null time."""
     parts = {"year": "yyyy", "month": "MM", "day": "dd"}
-    return [F.coalesce(F.date_format(time, fmt), F.lit("unknown")).alias(name) for name, fmt in parts.items()]
+    day = utc_date(time)
+    return [F.coalesce(F.date_format(day, fmt), F.lit("unknown")).alias(name) for name, fmt in parts.items()]
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:

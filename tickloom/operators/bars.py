@@ -6,8 +6,8 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from tickloom import schemas
-from tickloom.functions.coerce import all_of, asset_class_of_symbol
+from tickloom import fixed_values as fixed, schemas
+from tickloom.functions.coerce import all_of, asset_class_of_symbol, utc_trunc
 
 VOLUME_MODES = ("sum", "last", "max")
 
@@ -44,7 +44,7 @@ def ohlcv(
     dedupe: bool = False,
     fault_counts: bool = False,
 ) -> DataFrame:
-    """One bar per key and ``unit`` (a ``date_trunc`` unit).
+    """One bar per key and ``unit`` (a ``date_trunc`` unit), cut at UTC whatever the session's zone.
 
     Open is the price of the earliest tick, close that of the latest; among ticks of one
     instant open takes the lowest and close the highest price. Partial aggregation runs
@@ -68,8 +68,14 @@ def ohlcv(
         opening, closing = F.min(instant)["price"], F.max(instant)["price"]
         last_volume = F.max(F.struct("time", "volume"))["volume"]
     volumes = {"sum": F.sum("volume"), "max": F.max("volume"), "last": last_volume}
-    grouping = [*keys, *(["asset_class"] if "asset_class" in ticks.columns else [])]
-    bars = ticks.groupBy(*grouping, F.date_trunc(unit, "time").alias("time")).agg(
+    # The class is no part of the key: ticks of one series may be landed with several.
+    landed = "asset_class" in ticks.columns and "asset_class" not in keys
+    known = F.when(F.col("asset_class") != fixed.UNKNOWN_ASSET_CLASS, F.col("asset_class")) if landed else None
+    classes = [F.coalesce(F.min(known), F.min("asset_class")).alias("asset_class")] if landed else []
+    naive = ticks.schema["time"].dataType.typeName() == "timestamp_ntz"
+    start = F.date_trunc(unit, "time") if naive else utc_trunc(unit, F.col("time"))
+    bars = ticks.groupBy(*keys, start.alias("time")).agg(
+        *classes,
         opening.alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -86,9 +92,11 @@ def ohlcv(
 
 
 def bar_is_valid() -> Column:
-    """The bar invariants; a null anywhere makes the bar invalid."""
+    """The bar invariants; a null, NaN or infinite price makes the bar invalid."""
     high, low = F.col("high"), F.col("low")
+    finite = [F.abs(F.col(name)) < float("inf") for name in ("open", "high", "low", "close")]
     checks = [
+        *finite,
         high >= low,
         high >= F.greatest("open", "close"),
         low <= F.least("open", "close"),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom import fixed_values as fixed
+from tickloom.functions.coerce import utc_date
 from tickloom.operators.bars import as_date, day_filter
 
 
@@ -60,7 +61,7 @@ def freshness(calendar: DataFrame, ticks: DataFrame, bars: DataFrame) -> DataFra
     Each side is reduced to one row per day before the joins.
     """
     def per_day(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.to_date("time").alias("event_date")).agg(F.count(F.lit(1)).alias(name))
+        return df.groupBy(utc_date(F.col("time")).alias("event_date")).agg(F.count(F.lit(1)).alias(name))
 
     joined = calendar.join(per_day(ticks, "ticks"), "event_date", "left").join(
         per_day(bars, "bars"), "event_date", "left"
@@ -82,15 +83,23 @@ def look_back(df: DataFrame, as_of, days: int = fixed.INDICATOR_LOOKBACK_DAYS, t
     return day_filter(df, as_of - timedelta(days=days), as_of, time)
 
 
+def midnight(df: DataFrame, day: date, time: str) -> Column:
+    """The start of a UTC day as a literal of the time column's own type."""
+    kind = df.schema[time].dataType
+    if kind.typeName() == "timestamp":
+        return F.lit(datetime(day.year, day.month, day.day, tzinfo=timezone.utc))
+    return F.lit(day).cast(kind)
+
+
 def retained(df: DataFrame, as_of, days: int = fixed.RAW_RETENTION_DAYS, time: str = "time") -> DataFrame:
     """Rows no older than ``days`` days before ``as_of``."""
     start = as_date(as_of) - timedelta(days=days)
-    kind = df.schema[time].dataType
-    kept = df.filter(F.col(time) >= F.lit(start).cast(kind))
+    kept = df.filter(F.col(time) >= midnight(df, start, time))
     return kept.filter(F.col("event_date") >= F.lit(start)) if "event_date" in df.columns else kept
 
 
 def up_to(df: DataFrame, as_of, time: str = "time") -> DataFrame:
-    """Rows before the end of the day ``as_of``."""
-    end = as_date(as_of) + timedelta(days=1)
-    return df.filter(F.col(time) < F.lit(end).cast(df.schema[time].dataType))
+    """Rows before the end of the UTC day ``as_of``; a partitioned ``event_date`` is bounded too, which prunes directories."""
+    as_of = as_date(as_of)
+    kept = df.filter(F.col(time) < midnight(df, as_of + timedelta(days=1), time))
+    return kept.filter(F.col("event_date") <= F.lit(as_of)) if "event_date" in df.columns else kept

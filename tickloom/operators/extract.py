@@ -20,6 +20,7 @@ from tickloom.functions.coerce import (
     parse_iso,
     to_bigint,
     to_double,
+    utc_date,
 )
 
 GOOD, DEAD, IGNORED = "good", "dead", "ignored"
@@ -33,7 +34,7 @@ def decode(messages: DataFrame, value: str = "value", payload_fields: list[str]
     """
     schema = schemas.ENVELOPE
     if payload_fields:
-        fields = ", ".join(f"{name}: string" for name in payload_fields)
+        fields = ", ".join(f"`{name.replace('`', '``')}`: string" for name in payload_fields)
         schema = schema.replace("map<string,string>", f"struct<{fields}>")
     corrupt = "parse_error"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
@@ -121,15 +122,16 @@ def ticks_of(classified: DataFrame, event_type: str = fixed.PRICE_SNAPSHOT, keep
         *keep,
         *EXTRACTORS[event_type].columns(),
         asset_class_of_source(source).alias("asset_class"),
-        F.to_date("time").alias("event_date"),
+        utc_date(F.col("time")).alias("event_date"),
     )
 
 
 def dead_letters_of(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows that could not be landed, with the reason and the original message."""
+    """Rows that could not be landed, with the reason, the original message and when it was read."""
     return classified.filter(F.col("status") == DEAD).select(
         *keep,
         "reason",
         "message",
         F.coalesce("event_type", F.lit("unknown")).alias("event_type"),
+        F.current_timestamp().alias("ingest_ts"),
     )

@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tickloom import fixed_values as fixed
+from tickloom.functions.coerce import utc_date
 from tickloom.operators import calendar, quality
 from tickloom.operators.bars import as_date, day_filter, ohlcv, valid_bars
 from tickloom.operators.incremental import advance_state, indicator_state, snapshot
@@ -69,6 +70,8 @@ def run_indicators_incremental(
         state = indicator_state(calendar.up_to(bars, as_of), **options)
     else:
         old = tables.lookup(tables.read_table(spark, state_path), since).drop("as_of")
+        if old.isEmpty():
+            raise ValueError(f"no state of {since} in {state_path}")
         new = tables.read_days(spark, bars_path, as_date(since) + timedelta(days=1), as_of)
         state = advance_state(old, new, **options)
     tables.write_snapshot(state, state_path, as_of)
@@ -81,7 +84,7 @@ def run_digest(spark: SparkSession, bars_path: str, out_path: str, day, top: int
     bars = tables.read_table(spark, bars_path)
     before = calendar.up_to(bars, as_date(day) - timedelta(days=1))
     relevant = latest_rows(before, ("symbol",), ties=("exchange",)).unionByName(day_filter(bars, day))
-    board = daily_digest(relevant, top).filter(F.to_date("time") == F.lit(as_date(day)))
+    board = daily_digest(relevant, top).filter(utc_date(F.col("time")) == F.lit(as_date(day)))
     tables.write_snapshot(board, out_path, day)
 
 

@@ -26,4 +26,4 @@ RULE = (
     "source string, symbol string, field string, operator string, threshold double, message string"
 )
 
-DEAD_LETTER = "reason string, message string, event_type string"
+DEAD_LETTER = "reason string, message string, event_type string, ingest_ts timestamp"

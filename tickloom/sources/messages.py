@@ -9,7 +9,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom import fixed_values as fixed
 
@@ -53,11 +52,6 @@ def stream_messages(spark: SparkSession, path: str, max_files: int | None = None
     return reader.json(path)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One message text per line, without keys."""
-    return spark.read.text(path).select(F.lit(None).cast("string").alias("key"), "value")
-
-
 def union_topics(*topics: DataFrame) -> DataFrame:
     """Several topics as one; works on tables and on streams."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), topics)
@@ -66,25 +60,3 @@ def union_topics(*topics: DataFrame) -> DataFrame:
 def publish(messages: DataFrame, path: str) -> None:
     """Append ``key, value`` rows as JSON lines."""
     messages.select("key", "value").write.mode("append").json(path)
-
-
-def publish_topic(messages: DataFrame, servers: str, topic: str) -> None:
-    """Send ``key, value`` rows to a topic; the leader's acknowledgement is enough."""
-    (
-        messages.select("key", "value")
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("kafka.acks", "1")
-        .option("topic", topic)
-        .save()
-    )
-
-
-def publishing(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """A stream writer that appends ``key, value`` rows as JSON lines."""
-    return (
-        messages.select("key", "value")
-        .writeStream.format("json")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.functions.coerce import date_parts
+from tickloom.functions.coerce import date_parts, utc_date
 from tickloom.operators.bars import as_date, day_filter
+from tickloom.session import materialise
 
 DAY_LAYOUT = ("event_date",)
 YMD_LAYOUT = ("year", "month", "day")
@@ -20,7 +21,7 @@ def with_layout(df: DataFrame, layout: str = "day", time: str = "time") -> DataF
     """Add the partition columns of the layout, derived from the row's own UTC time."""
     if layout == "ymd":
         return df.select("*", *date_parts(F.col(time)))
-    return df.withColumn("event_date", F.to_date(time))
+    return df.withColumn("event_date", utc_date(F.col(time)))
 
 
 def write_days(
@@ -52,6 +53,17 @@ def write_days(
     )
 
 
+def compact_days(spark: SparkSession, path: str, first, last=None, layout: str = "day", **options) -> None:
+    """Rewrite the days ``first``..``last`` as few files each, which a landing stream has left as many small ones.
+
+    The rows are kept aside first, so a rewrite that fails loses nothing. Meant for days that nothing writes to any more.
+    """
+    days = read_days(spark, path, first, last, layout)
+    aside = materialise(days.drop(*[name for name in LAYOUTS[layout] if name in days.columns]), "compacted")
+    if not aside.isEmpty():
+        write_days(aside, path, layout, **options)
+
+
 def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a partitioned table; with a ``schema`` nothing is inferred from files."""
     reader = spark.read.format(fmt)

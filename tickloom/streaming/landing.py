@@ -55,10 +55,3 @@ def dead_letter_sink(
         .partitionBy("event_type")
     )
     return with_trigger(writer, interval)
-
-
-def land_batch(messages: DataFrame, ticks_path: str, letters_path: str, fmt: str = "parquet") -> None:
-    """The same landing for a table of messages."""
-    rows = classified(messages)
-    ticks_of(rows).write.mode("append").partitionBy("asset_class", "event_date").format(fmt).save(ticks_path)
-    dead_letters_of(rows).write.mode("append").partitionBy("event_type").json(letters_path)
