@@ -1,4 +1,5 @@
-from datetime import datetime
+import math
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -77,8 +78,33 @@ def test_cuts_do_not_change_results(bars, wanted, days, block):
 
 def test_macd_blocks_of_other_lengths(bars, wanted, monkeypatch):
     monkeypatch.setattr(Macd, "block_rows", lambda self: 577)
-    for operator in (indicators.macd_series, indicators.macd_series_pandas):
-        same(operator(bars, cell_seconds=30 * series.DAY).toPandas(), wanted, ["macd", "macd_signal", "macd_hist"])
+    same(indicators.macd_series(bars, cell_seconds=30 * series.DAY).toPandas(), wanted, ["macd", "macd_signal", "macd_hist"])
+
+
+@pytest.mark.parametrize("missing", [None, float("nan"), float("inf")])
+def test_bars_without_a_close_are_no_part_of_a_series(spark, missing):
+    """One such bar changes nothing in any variant, stored states included."""
+    start = datetime(2024, 1, 1)
+    closes = [100 + 7 * math.sin(i / 3) + i / 10 for i in range(120)]
+    schema = "symbol string, exchange string, time timestamp, close double"
+    whole = spark.createDataFrame([("A", "X", start + timedelta(days=i), c) for i, c in enumerate(closes)], schema)
+    broken = whole.union(spark.createDataFrame([("A", "X", start + timedelta(days=40, hours=1), missing), ("A", "X", start + timedelta(days=119, hours=1), missing)], schema))
+    line = pd.Series(closes).ewm(span=12, adjust=False).mean() - pd.Series(closes).ewm(span=26, adjust=False).mean()
+    for operator in (indicators.latest_indicators, indicators.latest_macd_of, lambda b: incremental.snapshot(incremental.indicator_state(b))):
+        got, want = operator(broken).first(), operator(whole).first()
+        assert got["macd"] == pytest.approx(line.iloc[-1])
+        numbers = [name for name, value in want.asDict().items() if isinstance(value, float)]
+        assert [got[n] for n in numbers] == pytest.approx([want[n] for n in numbers])
+    assert indicators.macd_series(broken).count() == 120
+
+
+def test_a_state_refuses_older_bars(spark):
+    schema = "symbol string, exchange string, time timestamp, close double"
+    rows = [("A", "X", datetime(2024, 1, 1) + timedelta(days=i), float(i)) for i in range(5)]
+    state = incremental.indicator_state(spark.createDataFrame(rows, schema))
+    with pytest.raises(Exception, match="not newer"):
+        incremental.advance_state(state, spark.createDataFrame(rows[4:], schema)).collect()
+    assert incremental.advance_state(state, spark.createDataFrame([("B", *rows[0][1:])], schema)).count() == 2
 
 
 def test_latest(bars, wanted):

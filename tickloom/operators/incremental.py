@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom import fixed_values as fixed
 from tickloom.functions.ema import Macd
-from tickloom.operators.indicators import DEFAULT_CELL, guarded_macd, rsi
-from tickloom.operators.series import number_rows
+from tickloom.operators.indicators import DEFAULT_CELL, guarded_macd, numbered_bars, rsi
 
 TAIL = max(fixed.SMA_BARS)
 
@@ -22,11 +21,12 @@ def _summary(bars: DataFrame, keys, time, ties, cell_seconds, macd: Macd) -> Dat
     The tail collects at most ``TAIL`` closes per key whatever the length of the series;
     it is a group-by of its own so that the sums stay a hash aggregate.
     """
-    numbered = number_rows(bars, keys, time, ties, cell_seconds)
+    numbered = numbered_bars(bars, keys, time, ties, cell_seconds)
     age = F.col("_total") - F.col("_n")
     totals = numbered.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.max(time).alias("_last"),
+        F.min(time).alias("_oldest"),
         F.max(F.when(F.col("_n") == 1, F.col("close"))).alias("_first"),
         *[total.alias(name) for total, name in zip(macd.sums(F.col("close"), age), ["_f", "_s", "_g"])],
     )
@@ -64,11 +64,14 @@ def advance_state(
     state: DataFrame, new_bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",),
     cell_seconds=DEFAULT_CELL, macd: Macd = Macd(),
 ) -> DataFrame:
-    """State after ``new_bars``, all newer than the state; keys may appear or rest.
+    """State after ``new_bars``; keys may appear or rest. Bars not newer than their key's state end the job with an error.
 
     Both sides hold one row per key at the join.
     """
     joined = state.join(_summary(new_bars, keys, time, ties, cell_seconds, macd), list(keys), "full")
+    too_old = F.lit("bars are not newer than the state of their series")
+    last = F.when(F.col("_oldest") <= F.col("last_time"), F.raise_error(too_old).cast(state.schema["last_time"].dataType))
+    last = last.otherwise(F.coalesce("_last", "last_time"))
     added = F.coalesce("_rows", F.lit(0))
     start = [F.coalesce("ema_fast", "_first"), F.coalesce("ema_slow", "_first"), F.coalesce("ema_signal", F.lit(0.0))]
     carried = macd.carried(*start, added)
@@ -76,7 +79,7 @@ def advance_state(
     empty = F.array().cast("array<double>")
     tail = F.concat(F.coalesce("tail", empty), F.coalesce("_tail", empty))
     rows = F.coalesce("bars", F.lit(0)) + added
-    return joined.select(*_state(rows, F.coalesce("_last", "last_time"), tail, *ema, keys))
+    return joined.select(*_state(rows, last, tail, *ema, keys))
 
 
 def _mean(values: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom import fixed_values as fixed
@@ -14,6 +13,12 @@ HALO = max(fixed.SMA_BARS) - 1
 DEFAULT_CELL = 512 * DAY
 
 
+def numbered_bars(bars: DataFrame, keys, time, ties, cell_seconds) -> DataFrame:
+    """Numbered rows of each series. A bar whose close is null, NaN or infinite is no part of it, here and everywhere."""
+    finite = bars.filter(F.coalesce(F.abs(F.col("close")) < float("inf"), F.lit(False)))
+    return number_rows(finite, keys, time, ties, cell_seconds)
+
+
 def when_enough(rows: int, value: Column) -> Column:
     """Null until the series has ``rows`` bars."""
     return F.when(F.col("_n") >= rows, value)
@@ -121,7 +126,7 @@ def rolling_indicators(
     block_rows: int = 1024,
 ) -> DataFrame:
     """Every bar with SMA, Bollinger and RSI columns, ``prev_close``, ``gain``, ``loss`` and ``bar_number``."""
-    numbered = number_rows(bars, keys, time, ties, cell_seconds)
+    numbered = numbered_bars(bars, keys, time, ties, cell_seconds)
     blocks = with_halo(numbered, block_rows, HALO)
     rolled = with_rolling(blocks, block_window(keys)).filter("_own")
     return _visible(rolled.withColumn("bar_number", F.col("_n")))
@@ -136,43 +141,11 @@ def macd_series(
     macd: Macd = Macd(),
 ) -> DataFrame:
     """Every bar with the MACD lines."""
-    numbered = number_rows(bars, keys, time, ties, cell_seconds)
+    numbered = numbered_bars(bars, keys, time, ties, cell_seconds)
     blocks = with_halo(numbered, macd.block_rows(), macd.memory_rows())
     return _visible(with_macd(blocks, block_window(keys), macd).filter("_own"))
 
 
-def macd_series_pandas(
-    bars: DataFrame,
-    keys: tuple[str, ...] = ("symbol",),
-    time: str = "time",
-    ties: tuple[str, ...] = ("exchange",),
-    cell_seconds: int = DEFAULT_CELL,
-    macd: Macd = Macd(),
-) -> DataFrame:
-    """``macd_series`` as a grouped-map pandas function over blocks with their halo.
-
-    A group is one block, not one series, so its size is fixed however long the series grows.
-    """
-    numbered = number_rows(bars, keys, time, ties, cell_seconds)
-    blocks = with_halo(numbered, macd.block_rows(), macd.memory_rows())
-    # The function captures plain values only, so workers need not have this package.
-    columns, least = bars.columns, fixed.MACD_MIN_BARS
-    fast, slow, smooth = macd.fast, macd.slow, macd.signal
-
-    def lines(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_n")
-        line = pdf["close"].ewm(span=fast, adjust=False).mean() - pdf["close"].ewm(span=slow, adjust=False).mean()
-        signal = line.ewm(span=smooth, adjust=False).mean()
-        out = pdf[columns].assign(macd=line, macd_signal=signal, macd_hist=line - signal)
-        out.loc[pdf["_n"] < least, ["macd", "macd_signal", "macd_hist"]] = None
-        return out[pdf["_own"]]
-
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in bars.dtypes)
-    return blocks.groupBy(*keys, "_block").applyInPandas(
-        lines, f"{schema}, macd double, macd_signal double, macd_hist double"
-    )
-
-
 def indicators(
     bars: DataFrame,
     keys: tuple[str, ...] = ("symbol",),
@@ -187,7 +160,7 @@ def indicators(
     the rows. ``keys`` names what makes a series; the default interleaves the exchanges of
     a symbol, ``("symbol", "exchange")`` keeps them apart.
     """
-    numbered = number_rows(bars, keys, time, ties, cell_seconds)
+    numbered = numbered_bars(bars, keys, time, ties, cell_seconds)
     blocks = with_halo(numbered, macd.block_rows(), max(HALO, macd.memory_rows()))
     window = block_window(keys)
     full = with_macd(with_rolling(blocks, window), window, macd).filter("_own")
@@ -222,7 +195,7 @@ def latest_indicators(
     The rolling columns look at no more than the last 200 bars of a key, so only those
     reach a window; the MACD lines are weighted sums over the whole series.
     """
-    numbered = number_rows(bars, keys, time, ties, cell_seconds)
+    numbered = numbered_bars(bars, keys, time, ties, cell_seconds)
     tail = numbered.filter(F.col("_total") - F.col("_n") <= HALO)
     rolled = with_rolling(tail, Window.partitionBy(*keys).orderBy("_n"))
     newest = rolled.filter(F.col("_n") == F.col("_total")).drop("prev_close", "gain", "loss")
@@ -230,4 +203,4 @@ def latest_indicators(
 
 
 def latest_macd_of(bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",), cell_seconds=DEFAULT_CELL):
-    return latest_macd(number_rows(bars, keys, time, ties, cell_seconds), keys)
+    return latest_macd(numbered_bars(bars, keys, time, ties, cell_seconds), keys)
