@@ -33,6 +33,12 @@ ticks AS (
          k * 0.25::DOUBLE AS change, CAST(k - 50 AS DOUBLE) / 5 AS pct_change, k AS volume,
          value - 0.25::DOUBLE AS bid, value + 0.25::DOUBLE AS ask
   FROM instruments),
+mixed AS (
+  SELECT * REPLACE (CASE WHEN event_id % 10 = 0 THEN 'unknown' WHEN event_id % 7 = 3 THEN 'crypto' ELSE asset_class END AS asset_class)
+  FROM ticks),
+odd AS (
+  SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN '*' ELSE symbol END AS symbol,
+                    CASE WHEN event_id % 89 <> 0 THEN price END AS price) FROM ticks),
 faulty AS (
   SELECT * REPLACE (CASE WHEN event_type = 'error' THEN -3 * k ELSE k END AS volume) FROM ticks)"""
 
@@ -65,7 +71,7 @@ IN_BACKFILL = f"\"time\" >= TIMESTAMP '{q.BACKFILL[0]}' AND \"time\" < TIMESTAMP
 SERIES = """
 long_bars AS (
   SELECT date_trunc('day', o_orderdate) AS "time", o_orderpriority AS symbol, max(o_totalprice) AS "close"
-  FROM orders GROUP BY ALL),
+  FROM orders WHERE day(o_orderdate) NOT IN (13, 27) GROUP BY ALL),
 numbered AS (
   SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY symbol) AS total, lag("close") OVER w AS prev_close
   FROM {source} WINDOW w AS (PARTITION BY symbol ORDER BY "time")),
@@ -232,7 +238,10 @@ FROM rolled WHERE symbol = '1-URGENT' AND n = total"""
 SQL = {
     "ohlcv_daily": _bars_query(),
     "ohlcv_unique_times": _bars_query(),
-    "ohlcv_landed_class": _bars_query(),
+    "ohlcv_landed_class": _bars_query("mixed").replace(
+        "symbol, exchange, asset_class,\n         arg_min",
+        "symbol, exchange, coalesce(min(asset_class) FILTER (asset_class <> 'unknown'), min(asset_class)) AS asset_class,\n         arg_min",
+    ),
     "ohlcv_valid": _bars_query("faulty", having=VALID),
     "ohlcv_backfill": _bars_query(where=IN_BACKFILL),
     "quality_report": QUALITY,
@@ -240,7 +249,7 @@ SQL = {
     "asset_classes": f"""
         WITH {EVENT} SELECT asset_class AS by_source,
           CASE WHEN contains(symbol, '/') THEN 'crypto' ELSE 'stock' END AS by_symbol,
-          replace(symbol, '/', '-') AS symbol_key, count(*) AS "rows" FROM ticks GROUP BY ALL""",
+          replace(symbol, '/', '-') AS symbol_key, count(*) AS "rows" FROM mixed GROUP BY ALL""",
     "sma": _series(f"""
         SELECT {BAR_DATE}, round(sma20, 6) AS sma20, round(sma50, 6) AS sma50, round(sma200, 6) AS sma200 FROM rolled"""),
     "bollinger": _series(f"""
@@ -251,7 +260,6 @@ SQL = {
         SELECT {BAR_DATE}, n AS bar_number, round(prev_close, 4) AS prev_close, round(gain, 4) AS gain,
                round(loss, 4) AS loss FROM rolled"""),
     "macd_series": _series(f"SELECT {BAR_DATE}, {MACD} FROM rolled JOIN lines USING (symbol, n)"),
-    "macd_series_pandas": _series(f"SELECT {BAR_DATE}, {MACD} FROM rolled JOIN lines USING (symbol, n)"),
     "indicators_full": _series(ALL_INDICATORS),
     "indicators_latest": _series(ALL_INDICATORS + " WHERE n = total"),
     "indicators_incremental": _series(ALL_INDICATORS + " WHERE n = total"),
@@ -263,7 +271,10 @@ SQL = {
         LOOKUP, "(SELECT * FROM long_bars WHERE \"time\" < TIMESTAMP '1995-07-01') AS early"
     ),
     "price_alerts": _hits(SHOW_HITS),
-    "price_alerts_joined": _hits(SHOW_HITS),
+    "price_alerts_many": _hits(
+        'SELECT rule_id, symbol, count(*) AS hits, round(max(v), 4) AS largest FROM hits GROUP BY rule_id, symbol', "odd", q.MANY_RULES
+    ),
+    "rules_from_file": _hits(SHOW_HITS, rules=fixed.ALERT_RULES[:4]),
     "alerts_text": _hits(f'SELECT "key", rule_id, {ALERT_LINE} FROM hits', "snapshots", extra=", " + SENT),
     "rule_validation": _hits(
         """SELECT rule_id, count(*) AS hits, 'valid' AS state FROM hits GROUP BY rule_id

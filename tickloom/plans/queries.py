@@ -5,6 +5,8 @@ Times leave as texts and doubles rounded, so that results compare across engines
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom import fixed_values as fixed, schemas
@@ -28,6 +30,13 @@ MIXED_RULES = [
     {"symbol": "*", "field": "price", "operator": "~~", "threshold": 1.0, "message": "unknown operator"},
     {"symbol": "VCB", "field": "volume", "operator": None, "threshold": 1.0, "message": "no operator"},
 ]
+# Rules for each symbol and for all, over a ladder of prices.
+MANY_RULES = [
+    {"symbol": symbol, "field": "price", "operator": operator, "threshold": float(20 * step), "message": f"{operator} {20 * step}"}
+    for symbol in ("*", *fixed.STOCK_SYMBOLS, *fixed.CRYPTO_SYMBOLS)
+    for operator in ("<=", ">")
+    for step in range(1, 17)
+]
 BACKFILL = ("2024-01-10", "2024-01-16")
 COOLDOWN_MINUTES = 360
 
@@ -61,7 +70,7 @@ def ohlcv_unique_times(spark, sf_dir):
 
 def ohlcv_landed_class(spark, sf_dir):
     """Bars whose asset class comes from the landed ticks instead of the symbol."""
-    return _bars(bars.ohlcv(views.classed_ticks(spark, sf_dir)))
+    return _bars(bars.ohlcv(views.mixed_ticks(spark, sf_dir)))
 
 
 def ohlcv_valid(spark, sf_dir):
@@ -81,7 +90,7 @@ def rows_per_symbol(spark, sf_dir):
 
 
 def asset_classes(spark, sf_dir):
-    ticks = views.ticks(spark, sf_dir)
+    ticks = views.mixed_ticks(spark, sf_dir)
     return ticks.groupBy(
         coerce.asset_class_of_source(F.col("source")).alias("by_source"),
         coerce.asset_class_of_symbol(F.col("symbol")).alias("by_symbol"),
@@ -122,10 +131,6 @@ def macd_series(spark, sf_dir):
     return _series(indicators.macd_series(views.long_bars(spark, sf_dir)), *rounded(3, *MACD_LINES))
 
 
-def macd_series_pandas(spark, sf_dir):
-    return _series(indicators.macd_series_pandas(views.long_bars(spark, sf_dir)), *rounded(3, *MACD_LINES))
-
-
 def _all_indicators(df: DataFrame) -> DataFrame:
     return _series(
         df,
@@ -185,9 +190,17 @@ def price_alerts(spark, sf_dir):
     return _hits(alerts.evaluate_rules(views.ticks(spark, sf_dir), alerts.rules_table(spark)))
 
 
-def price_alerts_joined(spark, sf_dir):
-    """The same hits through the join that serves large rule tables."""
-    return _hits(alerts.evaluate_rules(views.ticks(spark, sf_dir), alerts.rules_table(spark), compile_limit=0))
+def price_alerts_many(spark, sf_dir):
+    """Hits per rule of over 300 rules, on ticks with odd symbols and prices that are texts."""
+    hits = alerts.evaluate_rules(views.odd_ticks(spark, sf_dir), alerts.rules_table(spark, MANY_RULES))
+    return hits.groupBy("rule_id", "symbol").agg(F.count(F.lit(1)).alias("hits"), F.round(F.max("matched_value"), 4).alias("largest"))
+
+
+def rules_from_file(spark, sf_dir):
+    """Hits of rules that are loaded from a JSON file."""
+    path = scratch_path(spark, "rules")
+    spark.range(1).select(F.lit(json.dumps(fixed.ALERT_RULES[:4])).alias("value")).write.text(path)
+    return _hits(alerts.evaluate_rules(views.ticks(spark, sf_dir), alerts.load_rules(spark, path)))
 
 
 def alerts_text(spark, sf_dir):
@@ -442,9 +455,9 @@ QUERIES = {
     for query in [
         ohlcv_daily, ohlcv_unique_times, ohlcv_landed_class, ohlcv_valid, ohlcv_backfill, quality_report,
         rows_per_symbol, asset_classes,
-        sma, bollinger, rsi14, prev_close_gain_loss, macd_series, macd_series_pandas, indicators_full,
+        sma, bollinger, rsi14, prev_close_gain_loss, macd_series, indicators_full,
         indicators_latest, macd_latest, latest_bar, indicators_incremental, indicator_lookup,
-        price_alerts, price_alerts_joined, alerts_text, alert_cooldown, rule_validation,
+        price_alerts, price_alerts_many, rules_from_file, alerts_text, alert_cooldown, rule_validation,
         normalise_stock, normalise_crypto, envelope_roundtrip, coerced_values, landing_ticks, dead_letter_split,
         event_routing, multi_topic_union,
         landed_day_scan, ohlcv_rerun, explicit_schema_write,

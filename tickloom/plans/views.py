@@ -81,6 +81,20 @@ def classed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks(spark, sf_dir).withColumn("asset_class", asset_class_of_source(F.col("source")))
 
 
+def mixed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of which some come from an unknown feed, and some from one of another class than their symbol's."""
+    source = F.when(F.col("event_id") % 10 == 0, F.lit("feed")).when(F.col("event_id") % 7 == 3, F.lit(fixed.CRYPTO_SOURCE_PREFIX + "x"))
+    mixed = ticks(spark, sf_dir).withColumn("source", source.otherwise(F.col("source")))
+    return mixed.withColumn("asset_class", asset_class_of_source(F.col("source")))
+
+
+def odd_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks for rules: some symbols are the text ``*``, and prices are texts, some of which are no numbers."""
+    symbol = F.when(F.col("event_id") % 97 == 0, F.lit("*")).otherwise(F.col("symbol"))
+    price = F.when(F.col("event_id") % 89 == 0, F.lit("n/a")).otherwise(F.col("price").cast("string"))
+    return ticks(spark, sf_dir).withColumns({"symbol": symbol, "price": price})
+
+
 def faulty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks whose error events report negative volumes, so that some bars break the invariants."""
     error = F.col("event_type") == "error"
@@ -184,6 +198,10 @@ def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ORD").alias("exchange"),
         F.date_trunc("day", F.col("o_orderdate").cast("timestamp")).alias("time"),
     ).agg(F.max("o_totalprice").alias("close"))
+    # Bars that hold no price: a null close on the 13th, NaN on the 27th of a month.
+    date = F.dayofmonth("time")
+    close = F.when(date == 27, F.lit(float("nan"))).when(date != 13, F.col("close"))
+    bars = bars.withColumn("close", close)
     return materialise(bars, "long-bars")
 
 
@@ -197,7 +215,7 @@ def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     eps = F.col("largest") / 1000
     return (
         table(spark, sf_dir, "customer")
-        .join(per_customer, "c_custkey")
+        .join(per_customer, "c_custkey", "left")
         .select(
             F.col("c_name").alias("symbol"),
             (F.col("c_acctbal") / eps).alias("pe"),

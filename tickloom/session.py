@@ -45,8 +45,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 @functools.cache
-def _machine_folder() -> str:
-    return tempfile.mkdtemp(prefix="tickloom-")
+def _machine_folder() -> tempfile.TemporaryDirectory:
+    """For local runs alone; it goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="tickloom-", ignore_cleanup_errors=True)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -60,7 +61,7 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _machine_folder()
+    return _machine_folder().name
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
