@@ -22,8 +22,9 @@ NEVER = -(2**62)
 def cooldown(
     alerts: DataFrame, minutes: float, keys: tuple[str, ...] = ("symbol", "rule_id"), span_us: int = DAY_US
 ) -> DataFrame:
-    """Of each key, only alerts at least ``minutes`` after the last one kept: the keys and ``time``.
+    """Of each key, only alerts at least ``minutes`` after the last one kept, with all their columns.
 
+    Alerts of one instant are kept together. ``alerts`` should be a stored table, as it is read again for the columns.
     A task holds the distinct alert times of one key in one span (at least 64 cooldowns
     long), never those of a whole key.
     """
@@ -81,4 +82,5 @@ def cooldown(
         .groupBy(*names, "_span")
         .applyInPandas(pick, f"{types}, _t bigint")
     )
-    return picked.select(*names, F.timestamp_micros("_t").alias("time"))
+    kept = picked.select(*names, F.timestamp_micros("_t").alias("time"))
+    return alerts.join(kept, [*names, "time"], "left_semi").select(*alerts.columns)

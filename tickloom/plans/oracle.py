@@ -229,7 +229,8 @@ COOLDOWN = f"""
   FROM fired f JOIN hits h ON h.symbol = f.symbol AND h.rule_id = f.rule_id
                           AND h."time" >= f.t + INTERVAL {q.COOLDOWN_MINUTES} MINUTE
   GROUP BY f.symbol, f.rule_id)
-SELECT symbol, rule_id, {INSTANT.format('t')} AS fired FROM fired"""
+SELECT h.event_id, h.symbol, h.rule_id, {INSTANT.format('t')} AS fired, message, round(v, 4) AS matched_value, round(price, 4) AS price
+FROM fired f JOIN hits h ON h.symbol = f.symbol AND h.rule_id = f.rule_id AND h."time" = f.t"""
 
 LOOKUP = f"""
 SELECT {BAR_DATE}, round(rsi14, 4) AS rsi14, round(sma20, 6) AS sma20, '1995-06-30' AS as_of

@@ -208,9 +208,13 @@ def alerts_text(spark, sf_dir):
     return rows.select("key", "rule_id", "alert")
 
 
+def _cooled(df: DataFrame) -> DataFrame:
+    return df.select("event_id", "symbol", "rule_id", instant().alias("fired"), "message", *rounded(4, "matched_value", "price"))
+
+
 def alert_cooldown(spark, sf_dir):
-    hits = alerts.evaluate_rules(views.ticks(spark, sf_dir), alerts.rules_table(spark))
-    return cooldown(hits, COOLDOWN_MINUTES).select("symbol", "rule_id", instant().alias("fired"))
+    hits = materialise(alerts.evaluate_rules(views.ticks(spark, sf_dir), alerts.rules_table(spark)), "hits")
+    return _cooled(cooldown(hits, COOLDOWN_MINUTES))
 
 
 def rule_validation(spark, sf_dir):
@@ -442,7 +446,7 @@ def stream_cooldown(spark, sf_dir):
     ticks = views.quoted(views.instruments(views.streamed_events(spark, sf_dir)))
     hits = alerts.evaluate_rules(ticks.select(*views.TICK_FIELDS), alerts.rules_table(spark))
     kept = _stored_stream(alert_stream.with_cooldown(hits, COOLDOWN_MINUTES), "stream-cooldown")
-    return kept.select("symbol", "rule_id", instant().alias("fired"))
+    return _cooled(kept)
 
 
 def stream_volatility(spark, sf_dir):

@@ -43,24 +43,26 @@ def console(alerts: DataFrame, checkpoint: str) -> DataStreamWriter:
 def with_cooldown(
     alerts: DataFrame, minutes: float, keys: tuple[str, ...] = ("symbol", "rule_id"), lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Of each key, only alerts at least ``minutes`` after the last one kept: the keys and ``time``.
+    """Of each key, only alerts at least ``minutes`` after the last one kept, with all their columns.
+
+    Alerts of one instant in a micro-batch are kept together.
 
     The watermark decides what counts: alerts later than ``lateness`` are dropped by the stream, and within a micro-batch
     alerts are taken in time order, so an alert that arrives after a later one was kept is in its cooldown. State is one timestamp per key, removed once the watermark shows that the cooldown is
-    over. Only the alert times of a key travel to its task, and the source's rate limit
-    bounds how many a micro-batch holds.
+    over; the source's rate limit bounds how many alerts of a key a micro-batch holds.
     """
     if minutes <= 0:
         raise ValueError("a cooldown takes more than 0 minutes")
     wait_us = int(minutes * 60_000_000)
-    times = alerts.select(*keys, "time").withWatermark("time", lateness)
-    key_types = ", ".join(f"{name} {kind}" for name, kind in times.dtypes if name in keys)
+    alerts = alerts.withWatermark("time", lateness)
 
     def keep(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        stamps = np.sort(np.concatenate([batch["time"].to_numpy("datetime64[us]") for batch in batches]).view("int64"))
+        rows = pd.concat(list(batches), ignore_index=True)
+        of_row = rows["time"].to_numpy("datetime64[us]").view("int64")
+        stamps = np.sort(of_row)
         ready = state.get[0] + wait_us if state.exists else stamps[0]
         kept = []
         # Each step jumps over one whole cooldown by binary search.
@@ -74,9 +76,8 @@ def with_cooldown(
         else:
             state.remove()
         if kept:
-            part = {name: [value] * len(kept) for name, value in zip(keys, key)}
-            yield pd.DataFrame({**part, "time": np.array(kept).view("datetime64[us]")})
+            yield rows[np.isin(of_row, kept)]
 
-    return times.groupBy(*keys).applyInPandasWithState(
-        keep, f"{key_types}, time timestamp", "last_us bigint", "append", GroupStateTimeout.EventTimeTimeout
+    return alerts.groupBy(*keys).applyInPandasWithState(
+        keep, alerts.schema, "last_us bigint", "append", GroupStateTimeout.EventTimeTimeout
     )
