@@ -324,7 +324,10 @@ SQL = {
         EVENT_LETTERS
         + f" UNION ALL SELECT {CHAT_KEY}, 'malformed json', 'unknown' FROM conversations"
     ),
-    "stream_dead_letters": _sent(EVENT_LETTERS),
+    "stream_dead_letters": _sent(
+        EVENT_LETTERS
+        + f" UNION ALL SELECT {CHAT_KEY}, 'malformed json', 'unknown' FROM conversations"
+    ),
     "event_routing": _sent("""
         SELECT CASE WHEN event_type = 'signup' THEN 'ignored' WHEN reason IS NULL THEN 'good' ELSE 'dead' END AS status,
                CASE WHEN event_type = 'signup' THEN 'market.rumour' ELSE 'price.snapshot' END AS event_type,

@@ -281,7 +281,7 @@ def event_routing(spark, sf_dir):
 
 def multi_topic_union(spark, sf_dir):
     stock = views.event_messages(views.events(spark, sf_dir)).withColumn("topic", F.lit(fixed.TOPICS[0]))
-    crypto = views.chat_messages(spark, sf_dir).withColumn("topic", F.lit(fixed.TOPICS[1]))
+    crypto = views.chat_messages(views.table(spark, sf_dir, "conversations")).withColumn("topic", F.lit(fixed.TOPICS[1]))
     both = topics.union_topics(stock, crypto)
     return both.groupBy("topic").agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("key").alias("keys")
@@ -408,14 +408,14 @@ def volatility_burst(spark, sf_dir):
 
 def stream_landing(spark, sf_dir):
     path, checkpoint = scratch_path(spark, "stream-raw"), scratch_path(spark, "checkpoint")
-    source = views.event_messages(views.streamed_events(spark, sf_dir))
+    source = views.streamed_messages(spark, sf_dir)
     landing.tick_sink(source, path, checkpoint, None, keep=("key",)).start().awaitTermination()
     return _ticks(tables.read_table(spark, path))
 
 
 def stream_dead_letters(spark, sf_dir):
     path, checkpoint = scratch_path(spark, "stream-letters"), scratch_path(spark, "checkpoint")
-    source = views.event_messages(views.streamed_events(spark, sf_dir))
+    source = views.streamed_messages(spark, sf_dir)
     landing.dead_letter_sink(source, path, checkpoint, None, keep=("key",)).start().awaitTermination()
     stored = spark.read.schema(f"key string, {schemas.DEAD_LETTER}").json(path)
     return stored.select("key", "reason", "event_type")
@@ -437,7 +437,7 @@ def _stored_stream(df: DataFrame, name: str) -> DataFrame:
 
 
 def stream_alerts(spark, sf_dir):
-    source = views.event_messages(views.streamed_events(spark, sf_dir))
+    source = views.streamed_messages(spark, sf_dir)
     rows = _stored_stream(alert_stream.alert_rows(source, alerts.rules_table(spark)), "stream-alerts")
     return rows.select("key", "rule_id", "symbol", *rounded(4, "matched_value"), "alert")
 

@@ -21,13 +21,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream, be it one file or a folder of files.
+def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a file stream, be it one file or a folder of files.
 
     A plain path must be a folder; a pattern, here one that matches only this name, need not.
     """
-    schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
+
+
+def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed(spark, sf_dir, "events")
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -175,16 +178,20 @@ def event_messages(rows: DataFrame) -> DataFrame:
     )
 
 
-def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole conversation texts as messages: none of them is JSON."""
-    turns = table(spark, sf_dir, "conversations")
+def chat_messages(turns: DataFrame) -> DataFrame:
+    """Whole conversation texts as messages, from a table or a stream: none of them is JSON."""
     key = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))
     return turns.select(key.alias("key"), F.col("text").alias("value"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both topics in one table."""
-    return event_messages(events(spark, sf_dir)).unionByName(chat_messages(spark, sf_dir))
+    return event_messages(events(spark, sf_dir)).unionByName(chat_messages(table(spark, sf_dir, "conversations")))
+
+
+def streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as one stream of both topics."""
+    return event_messages(streamed(spark, sf_dir, "events")).unionByName(chat_messages(streamed(spark, sf_dir, "conversations")))
 
 
 def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
