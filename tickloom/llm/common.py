@@ -6,13 +6,14 @@ found by a few numpy calls instead of a Python loop over rows.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; a longer document is a pass of its own.
@@ -25,6 +26,11 @@ def table_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="checkpoints-", ignore_cleanup_errors=True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`, which driver and executors share.
 
@@ -36,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    spark.sparkContext.setCheckpointDir(_own_folder().name)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
@@ -177,10 +183,6 @@ def map_batches(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(over, schema)
 
 
-def text_or_empty(column: Column | str) -> Column:
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node that can be reached over `edges`, for every node that has one.
 

@@ -101,14 +101,6 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGL
     return map_batches(docs, each, schema)
 
 
-def gray_rank(values: np.ndarray) -> np.ndarray:
-    """The place of each value in the Gray code's order."""
-    out = values.copy()
-    for shift in (1, 2, 4, 8, 16, 32):
-        out ^= out >> np.uint64(shift)
-    return out
-
-
 def _rotated(values: np.ndarray, by: int) -> np.ndarray:
     return values if by == 0 else (values << np.uint64(by)) | (values >> np.uint64(64 - by))
 
