@@ -3,7 +3,6 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tickloom import fixed_values as fixed
 from tickloom.operators import alerts
