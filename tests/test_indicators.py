@@ -203,3 +203,11 @@ def test_incremental_new_symbol(spark, bars, wanted):
     state = incremental.indicator_state(bars.filter("symbol <> 'A'"))
     advanced = incremental.advance_state(state, bars.filter("symbol = 'A'"))
     same(incremental.snapshot(advanced).toPandas(), wanted.sort_values("time").groupby("symbol").tail(1))
+
+
+def test_cells_follow_the_density(spark):
+    """A key with a row a second gets short cells, and a sparse one does not lengthen them."""
+    dense = spark.range(20_000).select(F.lit("A").alias("symbol"), F.timestamp_seconds("id").alias("time"))
+    sparse = spark.range(3).select(F.lit("B").alias("symbol"), F.timestamp_seconds(F.col("id") * 10_000_000).alias("time"))
+    assert series.cell_for(dense.union(sparse), ("symbol",)) == series.CELL_ROWS
+    assert series.cell_for(sparse, ("symbol",)) == series.LONGEST_CELL == series.cell_for(sparse.limit(0), ("symbol",))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom import fixed_values as fixed
 from tickloom.functions.ema import Macd
-from tickloom.operators.indicators import DEFAULT_CELL, guarded_macd, numbered_bars, rsi
+from tickloom.operators.indicators import guarded_macd, numbered_bars, rsi
 
 TAIL = max(fixed.SMA_BARS)
 
@@ -51,7 +51,7 @@ def _state(rows, last, tail, fast, slow, signal, keys) -> list[Column]:
 
 
 def indicator_state(
-    bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",), cell_seconds=DEFAULT_CELL, macd: Macd = Macd()
+    bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",), cell_seconds=None, macd: Macd = Macd()
 ) -> DataFrame:
     """State after all of ``bars``."""
     done = _summary(bars, keys, time, ties, cell_seconds, macd)
@@ -62,7 +62,7 @@ def indicator_state(
 
 def advance_state(
     state: DataFrame, new_bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",),
-    cell_seconds=DEFAULT_CELL, macd: Macd = Macd(),
+    cell_seconds=None, macd: Macd = Macd(),
 ) -> DataFrame:
     """State after ``new_bars``; keys may appear or rest. Bars not newer than their key's state end the job with an error.
 

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom import fixed_values as fixed
 from tickloom.functions.ema import Macd, running_ema
-from tickloom.operators.series import DAY, block_window, number_rows, with_halo
+from tickloom.operators.series import block_window, number_rows, with_halo
 
 # Rows before a block's first row that any rolling frame can reach.
 HALO = max(fixed.SMA_BARS) - 1
-DEFAULT_CELL = 512 * DAY
 
 
 def numbered_bars(bars: DataFrame, keys, time, ties, cell_seconds) -> DataFrame:
@@ -122,7 +121,7 @@ def rolling_indicators(
     keys: tuple[str, ...] = ("symbol",),
     time: str = "time",
     ties: tuple[str, ...] = ("exchange",),
-    cell_seconds: int = DEFAULT_CELL,
+    cell_seconds: int | None = None,
     block_rows: int = 1024,
 ) -> DataFrame:
     """Every bar with SMA, Bollinger and RSI columns, ``prev_close``, ``gain``, ``loss`` and ``bar_number``."""
@@ -137,7 +136,7 @@ def macd_series(
     keys: tuple[str, ...] = ("symbol",),
     time: str = "time",
     ties: tuple[str, ...] = ("exchange",),
-    cell_seconds: int = DEFAULT_CELL,
+    cell_seconds: int | None = None,
     macd: Macd = Macd(),
 ) -> DataFrame:
     """Every bar with the MACD lines."""
@@ -151,7 +150,7 @@ def indicators(
     keys: tuple[str, ...] = ("symbol",),
     time: str = "time",
     ties: tuple[str, ...] = ("exchange",),
-    cell_seconds: int = DEFAULT_CELL,
+    cell_seconds: int | None = None,
     macd: Macd = Macd(),
 ) -> DataFrame:
     """Every bar with all ten indicator columns.
@@ -187,7 +186,7 @@ def latest_indicators(
     keys: tuple[str, ...] = ("symbol",),
     time: str = "time",
     ties: tuple[str, ...] = ("exchange",),
-    cell_seconds: int = DEFAULT_CELL,
+    cell_seconds: int | None = None,
     macd: Macd = Macd(),
 ) -> DataFrame:
     """Each key's newest bar with all ten indicator columns.
@@ -202,5 +201,5 @@ def latest_indicators(
     return _visible(newest.join(latest_macd(numbered, keys, macd), list(keys)))
 
 
-def latest_macd_of(bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",), cell_seconds=DEFAULT_CELL):
+def latest_macd_of(bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",), cell_seconds=None):
     return latest_macd(numbered_bars(bars, keys, time, ties, cell_seconds), keys)

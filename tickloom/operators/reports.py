@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.functions.coerce import all_of
 from tickloom.operators.alerts import COMPARISONS
-from tickloom.operators.series import DAY, with_previous
+from tickloom.operators.series import with_previous
 
 
 def with_returns(
-    bars: DataFrame, keys: tuple[str, ...] = ("symbol",), ties: tuple[str, ...] = ("exchange",), cell_seconds: int = 512 * DAY
+    bars: DataFrame, keys: tuple[str, ...] = ("symbol",), ties: tuple[str, ...] = ("exchange",), cell_seconds: int | None = None
 ) -> DataFrame:
     """Add ``prev_close`` and ``return_pct``, the change against the previous bar."""
     followed = with_previous(bars, "close", "prev_close", keys, ties=ties, cell_seconds=cell_seconds)

@@ -16,6 +16,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DAY = 86_400
+#: Rows of a key that a cell should hold, and the longest cell.
+CELL_ROWS = 4096
+LONGEST_CELL = 512 * DAY
+
+
+def cell_for(df: DataFrame, keys: tuple[str, ...], time: str = "time") -> int:
+    """Seconds of a cell that holds about ``CELL_ROWS`` rows of the densest key: one partially aggregated pass."""
+    seconds = F.unix_seconds(F.col(time).cast("timestamp"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(seconds) - F.min(seconds) + 1).alias("span"))
+    densest = per_key.agg(F.max(F.col("n") / F.col("span"))).first()[0]
+    return max(1, min(LONGEST_CELL, int(CELL_ROWS / densest))) if densest else LONGEST_CELL
 
 
 def number_rows(
@@ -23,14 +34,16 @@ def number_rows(
     keys: tuple[str, ...],
     time: str = "time",
     ties: tuple[str, ...] = (),
-    cell_seconds: int = 512 * DAY,
+    cell_seconds: int | None = None,
 ) -> DataFrame:
     """Add ``_n`` (1 = oldest row of the key) and ``_total`` (rows of the key).
 
     Rows order by ``time`` then ``ties``. ``cell_seconds`` is the time span one task ranks
-    at once: choose it so that a span holds some thousand rows of a key. The per-cell
-    counts are the only thing scanned per key.
+    at once; without it, it follows from the rows (``cell_for``). The per-cell counts are the
+    only thing scanned per key.
     """
+    if cell_seconds is None:
+        cell_seconds = cell_for(df, keys, time)
     celled = df.withColumn("_cell", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / cell_seconds))
     in_cell = Window.partitionBy(*keys, "_cell").orderBy(time, *ties)
     of_key = Window.partitionBy(*keys)
@@ -77,7 +90,7 @@ def with_previous(
     keys: tuple[str, ...],
     time: str = "time",
     ties: tuple[str, ...] = (),
-    cell_seconds: int = 512 * DAY,
+    cell_seconds: int | None = None,
     block_rows: int = 1024,
 ) -> DataFrame:
     """Add the previous row's ``column`` as ``name`` (null on the oldest row)."""
