@@ -9,7 +9,7 @@ two, and at least half; a line that recurs token by token needs a constant token
 are dropped from all documents but the first that has it.
 
 The tree is built from hashes of (leaf, line): a leaf with too few distinct lines to have a field is left out before any
-token is looked at. Texts are moved for the final join at most, and for the tokens of the few lines in other leaves. A
+token is looked at. Texts are moved once, for the final join, and the lines of the other leaves for their tokens. A
 line that a third of all documents share is one row for each of them with a hash and its positions; its counts are
 partially aggregated and its join back is one that adaptive execution can split.
 
@@ -22,6 +22,8 @@ length are taken whole.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,8 @@ LEADING = 3
 MIN_DOCS = 3
 MIN_VALUES = 3
 FIELD = "<*>"
-#: Documents whose ids may be sent to every task, 16 bytes each; more are joined by a shuffle.
-SENT_ROWS = 10_000
+#: Bits of the filter of leaves that is sent to every task, whatever their number.
+FILTER_BITS = 1 << 20
 
 _DIGITS = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 _SPACES = r"[\x20\x09\x0B-\x0D]+"
@@ -61,21 +63,25 @@ def _exploded(keyed: DataFrame) -> DataFrame:
     return lines.select("id", "th", "pos", "line", _leaf().alias("leaf"), F.xxhash64("line").alias("h"))
 
 
-def _with_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows joined by document; `ids` has a row for each. Sent to all tasks only if they are few."""
-    few = ids.limit(SENT_ROWS + 1).count() <= SENT_ROWS
-    other = ids.withColumnsRenamed({"id": "id2", "th": "th2"})
-    on = F.col("id").eqNullSafe(F.col("id2")) & (F.col("th") == F.col("th2"))
-    return rows.join(F.broadcast(other) if few and how == "left_semi" else other, on, how)
+def _maybe_in(leaves: DataFrame) -> Column:
+    """False for most leaves that are not among `leaves`: a bitmap of fixed size, sent along with the code."""
+    bit = F.pmod("leaf", F.lit(FILTER_BITS))
+    words = leaves.groupBy(F.expr(f"pmod(leaf, {FILTER_BITS}) div 64").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(leaf, {FILTER_BITS}) % 64 as int))")).alias("bits"))
+    held = [0] * (FILTER_BITS // 64)
+    for row in words.collect():
+        held[row["word"]] = row["bits"]
+    array = F.from_json(F.lit(json.dumps(held)), "array<bigint>")
+    word = F.element_at(array, (F.floor(bit / 64) + 1).cast("int"))
+    return F.call_function("shiftright", word, (bit % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
 
 def _generalised(keyed: DataFrame, lines: DataFrame, min_values: int) -> DataFrame:
     """(h, template): the templates with fields, of lines in leaves that have them, where enough constants hold."""
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_values).select("leaf")
-    wanted = checkpointed(lines.join(leaves, "leaf").select("leaf", "h", "first"))
-    sources = wanted.select("first.id", "first.th").distinct()
-    found = _exploded(_with_ids(keyed, sources, "left_semi")).select("h", "line").join(wanted.select("h", "leaf"), "h")
-    found = checkpointed(found.groupBy("h", "leaf").agg(F.first("line").alias("line")).withColumn("tokens", F.split("line", " ")))
+    leaves = checkpointed(leaves)
+    # Only lines of these leaves, and few others, leave the tasks that read them.
+    found = _exploded(keyed).where(_maybe_in(leaves)).groupBy("leaf", "h").agg(F.first("line").alias("line"))
+    found = checkpointed(found.join(leaves, "leaf", "left_semi").select("leaf", "h", F.split("line", " ").alias("tokens")))
     tokens = found.select("leaf", F.posexplode("tokens").alias("at", "token"))
     fields = tokens.groupBy("leaf", "at", "token").agg(F.lit(1).alias("one")).groupBy("leaf", "at").count().where(F.col("count") >= min_values)
     fields = fields.groupBy("leaf").agg(F.collect_set("at").alias("fields"))
