@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tickloom.llm.common import map_batches, passes
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose windows train the model: those with the least hashes of their texts, of all that hold a trigger.
+#: Different texts whose windows train the model: those with the least hashes, of all that hold a trigger.
 SAMPLE_DOCS = 400
 #: Characters of each that are used for training.
 SAMPLE_CHARS = 20_000
@@ -391,8 +391,13 @@ def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.n
 
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> Tagger | None:
     """A model fitted on the windows of at most `sample` documents."""
-    with_trigger = docs.where(F.col(text).rlike("[0-9@]")).select(F.xxhash64(text).alias("h"), F.substring(text, 1, SAMPLE_CHARS).alias("t"))
-    texts = [r["t"] for r in with_trigger.orderBy("h", "t").limit(sample).collect()]
+    hashed = docs.where(F.col(text).rlike("[0-9@]")).select(F.xxhash64(text).alias("h"), F.substring(text, 1, SAMPLE_CHARS).alias("t"))
+    # Hashes first, so that no task sends texts that are not taken.
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(sample).collect()]
+    if not least:
+        return None
+    taken = hashed.where(F.col("h") <= max(least)).groupBy("h").agg(F.min("t").alias("t"))
+    texts = [r["t"] for r in sorted(taken.collect(), key=lambda r: r["h"])]
     x, y = training_windows(texts)
     if not y.any():
         return None
