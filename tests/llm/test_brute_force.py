@@ -198,7 +198,7 @@ def test_minhash_rows_and_classes(spark):
         row = found.loc[own]
         assert (row["n_chars"], row["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert row["class_id"] == min(ids[j] for j in range(len(ids)) if group[j] == group[i])
-        other = frozenset(minhash._sets([edited])[0].tolist())
+        other = frozenset(next(minhash._sets([edited])).tolist())
         errors.append(abs(row["near_edited"] - len(sets[i] & other) / len(sets[i] | other)))
     assert np.mean(errors) < 0.06
 
@@ -211,7 +211,7 @@ def test_minhash_dissimilar_members_of_a_bucket(spark, monkeypatch):
         words = base.copy()
         words[rng.integers(0, 200, rng.integers(0, 8))] = rng.integers(0, 5000)
         texts.append(" ".join(f"w{w}" for w in words))
-    sets = minhash._sets(texts)
+    sets = list(minhash._sets(texts))
     group = roots(60, [(a, b) for a in range(60) for b in range(a) if minhash.jaccard(sets[a], sets[b]) >= 0.8])
     found = minhash.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "class_id").collect()
     assert {r["doc_id"]: r["class_id"] for r in found} == {i: min(j for j in range(60) if group[j] == group[i]) for i in range(60)}

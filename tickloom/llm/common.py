@@ -172,13 +172,20 @@ def passes(column: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
+def parts(batch: pa.RecordBatch, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch, so that no more than these rows are held as Python values."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """`each` over the Arrow batches of `df`."""
+    """`each` over the Arrow batches of `df`, some rows at a time."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := each(batch)) is not None and out.num_rows:
-                yield out
+            for part in parts(batch):
+                if (out := each(part)) is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(over, schema)
 

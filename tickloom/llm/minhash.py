@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from tickloom.llm.common import SPACE, SpanHash, Texts, checkpointed, components, map_batches, mix, passes, utf8
+from tickloom.llm.common import SPACE, SpanHash, Texts, checkpointed, components, map_batches, mix, parts, passes
 
 SHINGLE = 5
 BANDS, ROWS = 20, 5
@@ -41,11 +41,15 @@ PERMUTATIONS = BANDS * ROWS
 THRESHOLD = 0.8
 #: Pairs of signatures that agree in at least this share are verified.
 NEAR = 0.66
-#: Keys that may be sent to every task, 8 bytes each; more are joined by a shuffle.
+#: Keys and ids that may be sent to every task, 16 bytes each; more are joined by a shuffle.
 SENT_ROWS = 100_000
+#: Texts that a task remembers, so as to sign equal ones once.
+SEEN_KEYS = 1_000_000
 #: Texts of a bucket that one task compares with as many others.
 BLOCK = 4096
 SALTS = 16
+#: Bytes of text that are hashed at a time.
+TEXT_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -97,9 +101,11 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return common / total if total else 1.0
 
 
-def _sets(texts: list[str]) -> list[np.ndarray]:
-    hashes, bounds = shingles(utf8(pa.array(texts, pa.large_string())))
-    return [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+def _sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """The sorted shingle hashes of each text, a pass of some megabytes after the other."""
+    for _, _, part in passes(pa.array(texts, pa.large_string()), TEXT_BYTES):
+        hashes, bounds = shingles(part)
+        yield from (np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True))
 
 
 def _packed(text: str) -> bytes:
@@ -111,6 +117,19 @@ def _unpacked(raw: bytes) -> str:
     return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True).decode() if len(raw) else ""
 
 
+def _sets_of_packed(column: pa.Array) -> Iterator[np.ndarray]:
+    """`_sets` of compressed texts, of which no more than about a pass is unpacked at a time."""
+    held, size = [], 0
+    for i in range(len(column)):
+        raw = column[i].as_py()
+        held.append(_unpacked(raw))
+        size += len(held[-1])
+        if size >= TEXT_BYTES:
+            yield from _sets(held)
+            held, size = [], 0
+    yield from _sets(held)
+
+
 # ---- classes
 
 
@@ -119,14 +138,21 @@ def _key(text: str):
 
 
 def _signed(docs: DataFrame, text: str) -> DataFrame:
-    """(key, sig) of each distinct text."""
+    """(key, sig) of each distinct text; one that several tasks read comes once from each."""
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [row.tobytes() for _, _, texts in passes(batch.column(1)) for row in signatures(texts)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["key", "sig"])
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in (part for whole in batches for part in parts(whole)):
+            keys = batch.column(0).to_pylist()
+            new = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+            if len(seen) > SEEN_KEYS:
+                seen.clear()
+            if new:
+                taken = batch.take(pa.array(new))
+                made = [row.tobytes() for _, _, texts in passes(taken.column(1), TEXT_BYTES) for row in signatures(texts)]
+                yield pa.RecordBatch.from_arrays([taken.column(0), pa.array(made, pa.binary())], names=["key", "sig"])
 
-    rows = map_batches(docs.select(_key(text), text), each, "key long, sig binary")
-    return checkpointed(rows.dropDuplicates(["key"]))
+    return checkpointed(docs.select(_key(text), text).mapInArrow(over, "key long, sig binary"))
 
 
 def _banded(signed: DataFrame) -> DataFrame:
@@ -135,20 +161,25 @@ def _banded(signed: DataFrame) -> DataFrame:
     return signed.select("key", F.explode(bands).alias("band"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, text: str, threshold: float) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
     """(a, b, near): each pair with whether the exact similarity of its texts reaches the threshold.
 
     A text is sent once for each pair it is second in, and its first once for each salt, not for each pair.
     """
     pairs = checkpointed(pairs)
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    # Of equal texts the document of the least id is read.
+    ids = docs.select(_key(text), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("least"))
+    keys = checkpointed(keys.join(ids, "key"))
     few = keys.limit(SENT_ROWS + 1).count() <= SENT_ROWS
-    wanted = docs.select(_key(text), F.coalesce(text, F.lit("")).alias("t")).join(F.broadcast(keys) if few else keys, "key", "left_semi")
+    keys = keys.withColumnRenamed("key", "k")
+    rows = docs.select(_key(text), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("t"))
+    wanted = rows.join(F.broadcast(keys) if few else keys, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("least")), "left_semi").select("key", "t")
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([_packed(t) for t in batch.column(1).to_pylist()], pa.binary())], names=["key", "t"])
 
-    texts = checkpointed(map_batches(wanted, pack, "key long, t binary").dropDuplicates(["key"]))
+    texts = checkpointed(map_batches(wanted, pack, "key long, t binary"))
     salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
     second = pairs.withColumn("salt", salt).join(texts.withColumnRenamed("key", "b"), "b").select("a", "salt", "b", "t")
     first = pairs.select("a", salt.alias("salt")).distinct().join(texts.withColumnRenamed("key", "a"), "a")
@@ -156,11 +187,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, text: str, threshold: float) ->
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             a, salts, b = (batch.column(i).to_pylist() for i in range(3))
-            sets = _sets([_unpacked(t) for t in batch.column(3).to_pylist()])
             out = []
-            for i, shingled in enumerate(sets):
+            for i, shingled in enumerate(_sets_of_packed(batch.column(3))):
                 if b[i] is None:
                     at, own = (a[i], salts[i]), shingled
                 else:
@@ -170,7 +200,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, text: str, threshold: float) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["a", "b", "near"])
 
     dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return checkpointed(dealt.mapInArrow(over, "a long, b long, near boolean"))
+    # Rows that repeat an id and its text come more than once.
+    return checkpointed(dealt.mapInArrow(over, "a long, b long, near boolean").distinct())
 
 
 def _across(signed: DataFrame, banded: DataFrame, reps: DataFrame, tested: DataFrame, threshold_near: float) -> DataFrame:
@@ -180,7 +211,7 @@ def _across(signed: DataFrame, banded: DataFrame, reps: DataFrame, tested: DataF
     classes = components(tested.where("near").select("a", "b"))
     members = reps.join(bands, "band", "left_semi").select("band", "key").union(reps.join(bands, "band", "left_semi").select("band", F.col("rep").alias("key"))).distinct()
     members = members.join(classes, members["key"] == classes["node"], "left").select("band", "key", F.coalesce("root", "key").alias("class"))
-    members = members.join(signed, "key")
+    members = members.join(signed.join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "key")
     size = members.groupBy("band").agg(F.expr(f"count(*) div {BLOCK} + 1").alias("blocks"))
     cells = members.join(size, "band").withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -203,18 +234,18 @@ def _across(signed: DataFrame, banded: DataFrame, reps: DataFrame, tested: DataF
     return cells.groupBy("band", "low", "high").applyInPandas(compare, "a long, b long").distinct()
 
 
-def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(key, class) of each distinct text that is near another; key is the text's XXH64."""
     signed = _signed(docs, text)
     banded = _banded(signed)
-    least = banded.groupBy("band").agg(F.min("key").alias("rep"), F.count("*").alias("n")).where("n > 1").select("band", "rep")
+    least = banded.groupBy("band").agg(F.min("key").alias("rep"), F.max("key").alias("top")).where("rep < top").select("band", "rep")
     reps = checkpointed(banded.join(least, "band").where("key <> rep"))
-    tested = _verified(docs, reps.select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct(), text, threshold)
+    tested = _verified(docs, reps.select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct(), doc_id, text, threshold)
     near = tested.where("near").select("a", "b")
     if tested.where("not near").limit(1).count():
         more = _across(signed, banded, reps, tested, NEAR)
         done = tested.select("a", "b")
-        near = near.union(_verified(docs, more.join(done, ["a", "b"], "left_anti"), text, threshold).where("near").select("a", "b"))
+        near = near.union(_verified(docs, more.join(done, ["a", "b"], "left_anti"), doc_id, text, threshold).where("near").select("a", "b"))
     return checkpointed(components(near).select(F.col("node").alias("key"), F.col("root").alias("class")))
 
 
@@ -241,7 +272,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """The registered query's rows: fingerprints of each text and of its edited text, their likenesses, and the class."""
     key_type = docs.schema[doc_id].dataType
     ranges = np.array(_ranges(docs, doc_id), np.int64)
-    found = classes(docs, text)
+    found = classes(docs, doc_id, text)
     # Each class by its smallest id; one small row for each text in one goes along to its documents' range.
     ids = docs.select(F.col(doc_id).cast("long").alias("id"), _key(text))
     keys = ids.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).join(found, "key", "left")
@@ -293,7 +324,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         for mine, other in zip(own, after, strict=True):
             cut = len(mine) // 3
             edited.append(mine[: len(mine) - cut] + other[:cut])
-        sigs = [np.concatenate([signatures(t) for _, _, t in passes(pa.array(x, pa.large_string()))]) for x in ([*own, following], edited)]
+        sigs = [np.concatenate([signatures(t) for _, _, t in passes(pa.array(x, pa.large_string()), TEXT_BYTES)]) for x in ([*own, following], edited)]
         said = [[row.tobytes().hex() for row in s] for s in (sigs[0][:-1], sigs[1])]
         columns = [
             pa.array([i for i, _, _ in rows], pa.int64()), pa.array([len(t) for t in own], pa.int64()),
@@ -314,7 +345,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             if waiting and not ended:
                 yield finish(waiting, first or "")
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             for p, guest, id_, key, t, class_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if p != part:
                     yield from close()
@@ -333,7 +364,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 first = text_ if first is None else first
                 waiting.append((id_, text_, known[2] if known is not None and known[:2] == (id_, key) else None))
                 size += len(text_)
-                if size > 1 << 20 and len(waiting) > 1:
+                if size > TEXT_BYTES and len(waiting) > 1:
                     yield finish(waiting[:-1], text_)
                     waiting, size = waiting[-1:], len(text_)
         yield from close()
