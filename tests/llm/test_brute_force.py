@@ -175,6 +175,16 @@ def test_keep_one_of_repeated_rows(spark):
     assert sorted(map(str, (r["doc_id"] for r in kept))) == ["3", "4", "None"]
 
 
+def test_keep_one_of_different_repeated_texts(spark):
+    one, two, three = "a b c", "words of another kind stand here", "and a third text that is unlike both"
+    rows = [(i, t, n) for i in (3, None) for t in (f"{one} {i}", f"{two} {i}") for n in ("y", "x")] + [(5, three, "x")] * 2
+    found = simhash.groups(spark.createDataFrame(rows, "doc_id long, text string, note string"))
+    assert found.select("_print").distinct().count() == 5
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, note string")).collect()
+    want = [(i, t, "x") for i in (3, None) for t in (f"{one} {i}", f"{two} {i}")] + [(5, three, "x")]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 480)] + [(500, i) for i in range(501, 560)]

@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -297,6 +297,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bi
     rows = docs.join(first, here, "left_semi")
     # Rows that repeat an id and its text are left more than once.
     again = prints.groupBy(doc_id, "_text").count().where("count > 1").select(F.col(doc_id).alias("_id"), F.col("_text").alias("_hash"))
-    others = [F.col(c) for c in docs.columns if c != text]
-    many = rows.join(again, here, "left_semi").withColumn("_row", F.row_number().over(Window.partitionBy(doc_id).orderBy(*others)))
-    return rows.join(again, here, "left_anti").unionByName(many.where("_row = 1").drop("_row"))
+    # One of them is a minimum for each id and text, summed in the tasks first, so that no key gathers its rows.
+    whole = F.struct(*[c for c in docs.columns if c != text], text)
+    many = rows.join(again, here, "left_semi").groupBy(doc_id, F.xxhash64(F.coalesce(text, F.lit(""))).alias("_hash")).agg(F.min(whole).alias("_whole"))
+    return rows.join(again, here, "left_anti").unionByName(many.select(*[F.col("_whole")[c].alias(c) for c in docs.columns]))
