@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from tickloom.llm import bpe, line_templates, minhash, packing, pii, preferences, repetition, simhash
+from tickloom.llm import bpe, licenses, line_templates, minhash, packing, pii, preferences, repetition, simhash
 from tickloom.llm.common import components, passes, table_of, utf8
 from tickloom.llm.queries import TOKENIZER
 
@@ -121,6 +121,41 @@ def test_packing(spark, tokenizer, monkeypatch, places, fan, parts):
     assert fills.sum() / (4096 * len(fills)) > 0.9
 
 
+# ---- licenses
+
+
+def plain_labels(text):
+    words, found = licenses.words_of(text), set()
+    for label, template in licenses.TEMPLATES.items():
+        own = licenses.words_of(template)
+        size = -(-len(own) * 5 // 4)
+        if any(len(set(own) & set(words[i : i + size])) >= licenses.need(len(set(own)), 0.9) for i in range(len(words))):
+            found.add(label)
+    return found
+
+
+def test_licenses_of_wrapped_and_of_one_line_texts(spark):
+    rng, filler = random.Random(3), "plain words that stand between notices here".split()
+    cases = []
+    for label, template in licenses.TEMPLATES.items():
+        words = template.split()
+        wrapped = " ".join(words[:4]) + "\n" + " ".join(words[4:-2]) + "\n\n * " + " ".join(words[-2:])
+        spread = " ".join(" ".join([w, *rng.choices(filler, k=6)]) for w in words)
+        cases += [wrapped, spread, " ".join(filler * 30 + words + filler * 30), f"{template}\n{wrapped} {template}"]
+        assert label in plain_labels(wrapped) and label not in plain_labels(spread)
+    vocabulary = [w for t in licenses.TEMPLATES.values() for w in t.split()]
+    for _ in range(200):
+        words = rng.choice(list(licenses.TEMPLATES.values())).split()
+        for _ in range(rng.randint(0, 5)):
+            words.insert(rng.randint(0, len(words)), rng.choice(vocabulary + filler))
+        cases.append(rng.choice(" \n").join(words[rng.randint(0, 2) :]) + " " + " ".join(rng.choices(vocabulary, k=20)))
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"), phrases={}).collect()
+    assert {r["doc_id"]: set(filter(None, r["labels"].split(","))) for r in rows} == {i: plain_labels(t) for i, t in enumerate(cases)}
+    copies = {r["doc_id"]: r["matches"] for r in rows}
+    for i, label in enumerate(licenses.TEMPLATES):
+        assert [(m["line"], m["containment"]) for m in copies[4 * i + 3] if m["label"] == label] == [(0, 1.0), (1, 1.0), (4, 1.0)]
+
+
 # ---- fingerprints
 
 

@@ -1,11 +1,12 @@
-"""License scan: an exact set-similarity join of text blocks (lines) with license templates.
+"""License scan: an exact set-similarity join of text blocks (windows of words) with license templates.
 
-A line matches a template if it holds at least `THRESHOLD` of the template's distinct words. Words are put in the global
-order of their counts in the whole table, the rarest first (one pass over all texts, summed in Spark). By that order a
-line that matches must hold one of the template's first `n - need + 1` words (prefix filter); it must have `need` words
-at all (length filter); and, with its first common word at some place in both orders, enough must follow in both
-(positional filter). What is left is counted exactly, so every match is found and nothing else. Templates are a short
-list given by the caller and go to the tasks with the code; lines are never moved.
+A block is any run of `SLACK` times as many words as the template has, wherever lines break. It matches a template if it
+holds at least `THRESHOLD` of the template's distinct words. Words are put in the global order of their counts in the
+whole table, the rarest first (one pass over all texts, summed in Spark). By that order a block that matches must hold
+one of the template's first `n - need + 1` words (prefix filter), and `need` words of the template at all (length
+filter). What is left is counted exactly, so every match is found and nothing else; of blocks that overlap, the one with
+the most words (then the first to end) is the match. Templates are a short list given by the caller and go to the tasks
+with the code; texts are never moved.
 
 Base phrases are found where their words stand one after another, across lines as well.
 
@@ -47,6 +48,8 @@ TEMPLATES = {
 }
 
 THRESHOLD = 0.9
+#: Words of a block for each of its template's, so that a few words may stand between.
+SLACK = 1.25
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _OUTSIDE = np.zeros(256, bool)
@@ -123,6 +126,7 @@ class Index:
     place: np.ndarray  # of each rank within each template, -1 if not in it
     size: np.ndarray
     need: np.ndarray
+    block: np.ndarray  # words of a block of each template
 
     @classmethod
     def of(cls, templates: Mapping[str, str], counts: Mapping[str, int], threshold: float) -> Index:
@@ -132,33 +136,40 @@ class Index:
         for row, text in zip(member, templates.values(), strict=True):
             row[[rank[w] for w in words_of(text)]] = True
         size = member.sum(1)
-        return cls(words, list(templates), member, np.where(member, member.cumsum(1) - 1, -1), size, np.array([need(int(n), threshold) for n in size]))
-
-    def matches(self, line: np.ndarray, rank: np.ndarray, line_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Line, template and overlap of all matches; (line, rank) are the distinct ones, in order."""
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if not len(line):
-            return (np.zeros(0, np.int64),) * 3
-        first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
-        held = np.diff(np.append(first, len(line)))
-        after = np.repeat(held, held) - (np.arange(len(line)) - np.repeat(first, held)) - 1
-        group = np.repeat(np.arange(len(first)), held)
+        block = [math.ceil(SLACK * len(words_of(t))) for t in templates.values()]
+        return cls(words, list(templates), member, np.where(member, member.cumsum(1) - 1, -1), size, np.array([need(int(n), threshold) for n in size]), np.array(block))
+
+    def matches(self, where: np.ndarray, rank: np.ndarray, end_of_text: np.ndarray) -> list[tuple[int, int, int]]:
+        """Place of the first word, template and overlap of all matches; (where, rank) are the known words, in order."""
+        out: list[tuple[int, int, int]] = []
         for k in range(len(self.labels)):
-            prefix = (self.place[k] >= 0) & (self.place[k] <= self.size[k] - self.need[k])
-            at = np.flatnonzero(prefix[rank])
-            at = at[line_words[line[at]] >= self.need[k]]
-            # The first common word of each line is the first one in the template's prefix.
-            at = at[np.append(True, group[at][1:] != group[at][:-1])] if len(at) else at
-            rest = np.minimum(self.size[k] - self.place[k][rank[at]] - 1, after[at])
-            at = at[1 + rest >= self.need[k]]
-            if len(at):
-                groups = group[at]
-                overlap = np.add.reduceat(self.member[k][rank], first)[groups] if len(first) > 1 else np.array([self.member[k][rank].sum()])
-                hit = overlap >= self.need[k]
-                out.append((line[first[groups[hit]]], np.full(int(hit.sum()), k), overlap[hit]))
-        if not out:
-            return (np.zeros(0, np.int64),) * 3
-        return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+            # A block with the most words begins at one of them.
+            own = np.flatnonzero(self.member[k][rank])
+            at, kind = where[own], rank[own]
+            end = np.minimum(at + self.block[k], end_of_text[own])
+            upto = np.searchsorted(at, end)
+            prefix = np.append(0, np.cumsum(self.place[k][kind] <= self.size[k] - self.need[k]))
+            place = np.arange(len(at))
+            some = np.flatnonzero((upto - place >= self.need[k]) & (prefix[upto] > prefix[place]))
+            begin, end = at[some], end[some]
+            overlap, last = np.zeros(len(some), np.int64), begin.copy()
+            for word in np.flatnonzero(self.member[k]):
+                places = at[kind == word]
+                if len(places):
+                    i = np.searchsorted(places, begin)
+                    found = places[np.minimum(i, len(places) - 1)]
+                    held = (i < len(places)) & (found < end)
+                    overlap += held
+                    last = np.where(held, np.maximum(last, found), last)
+            hit = overlap >= self.need[k]
+            begin, last, overlap = begin[hit], last[hit], overlap[hit]
+            i = 0
+            while i < len(begin):
+                near = slice(i, int(np.searchsorted(begin, last[i], "right")))
+                best = i + int(np.lexsort((-begin[near], last[near], -overlap[near]))[0])
+                out.append((int(begin[best]), k, int(overlap[best])))
+                i = int(np.searchsorted(begin, last[best], "right"))
+        return out
 
 
 def _places(hashes: np.ndarray, text: np.ndarray, phrase: np.ndarray) -> np.ndarray:
@@ -180,7 +191,7 @@ RESULTS = [
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, phrases: Mapping[str, str] = PHRASES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """`docs` with base phrases, labels, score (1 with a base phrase, else the best containment, else 0) and matched lines."""
+    """`docs` with base phrases, labels, score (1 with a base phrase, else the best containment, else 0) and matches with the line where each begins."""
     words = sorted({w for t in templates.values() for w in words_of(t)})
     index = Index.of(templates, word_counts(docs, words, text), threshold)
     lookup = Lookup(index.words)
@@ -206,13 +217,11 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, phrases: Map
             for i in np.unique(of[places]).tolist():
                 base.setdefault(i, set()).add(label)
         where, rank = lookup.of(hashes)
-        keys = np.unique(line[where] * len(index.words) + rank)
-        lines, k, overlap = index.matches(keys // len(index.words), keys % len(index.words), np.bincount(line))
         text_line = np.searchsorted(np.flatnonzero(texts.data == 0x0A), texts.bounds[:-1]) + np.arange(n)
         found: dict[int, list[tuple[int, str, float]]] = {}
-        for at_line, template, common in sorted(zip(lines.tolist(), k.tolist(), overlap.tolist(), strict=True)):
-            i = int(np.searchsorted(text_line, at_line, "right")) - 1
-            found.setdefault(i, []).append((at_line - int(text_line[i]), index.labels[template], common / int(index.size[template])))
+        for begin, template, common in sorted(index.matches(where, rank, np.cumsum(n_words)[of[where]])):
+            i = int(of[begin])
+            found.setdefault(i, []).append((int(line[begin] - text_line[i]), index.labels[template], common / int(index.size[template])))
         rows = []
         for i in range(n):
             own, hits = base.get(i, set()), found.get(i, [])
