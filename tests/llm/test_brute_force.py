@@ -346,6 +346,24 @@ def test_windows_cover_a_run():
         assert seen == set(range(7, 7 + length))
 
 
+def test_long_addresses_are_whole(spark):
+    class Near:
+        def decode(self, x):
+            return np.where(pii._ADDRESS[x] | (x == pii._CODES[64]), 2, 0)
+
+    long = ["christopherbartholomew.featherstonehaugh@" + "department" * 3, "x" * 300 + "@" + "y" * 300]
+    for piece in long:
+        text = f"{'words, ' * 30}{piece}, {'words, ' * 30}"
+        assert pii.added_spans([text], [[]], Near()) == [[("email", 210, 210 + len(piece))]]
+
+    texts = [r["text"] for r in table_of(spark, "/root/testdata/sf0.1", "documents").where("text rlike '[0-9@]'").orderBy("doc_id").limit(350).collect()]
+    model = pii.Tagger()
+    model.fit(*pii.training_windows(texts))
+    for piece in ["christopher.featherstonehaugh @ mail.department.example.com", "bartholomew.montgomery.wellington @ archive.universities.example.com", "maximiliana.constantinopolis.17@internationaldepartments"]:
+        text = f"please write to {piece} before the end of the week"
+        assert pii.added_spans([text], [pii.base_spans(text)], model) == [[("email", 16, 16 + len(piece))]]
+
+
 def test_spans_are_whole_across_windows():
     class Digits:
         def decode(self, x):

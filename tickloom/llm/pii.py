@@ -3,11 +3,12 @@
 The model is written and trained in numpy, from labelled spans: windows of a bounded sample of documents, labelled by the
 patterns, and the same windows with further forms planted (a phone number without its plus sign, a card with dots, a
 spaced at sign), which the patterns don't know. It labels characters as outside, or as the beginning or inside of a
-kind. Every kind holds a digit or an at sign, so only what lies within `REACH` characters of one is read; no span of
-these kinds can lie elsewhere. Such regions are cut into overlapping windows, each window is decoded by Viterbi, and the
-windows are reconciled over the whole text: each character takes its label from the window that sees most on both sides
-of it, and spans are read from the joined labels. A span that touches one of the patterns' is dropped for theirs, and
-each must hold what its kind needs (digits, Luhn's check, parts of an address).
+kind. Every kind holds a digit or an at sign, so only what lies within `REACH` characters of one is read, with the whole
+runs of address characters that this cuts, however long. Such regions are cut into overlapping windows, each window is
+decoded by Viterbi, and the windows are reconciled over the whole text: each character takes its label from the window
+that sees most on both sides of it, and spans are read from the joined labels. An address takes the whole runs of address
+characters at its ends, and a part of one the other side of its at sign. A span that touches one of the patterns' is
+dropped for theirs, and each must hold what its kind needs (digits, Luhn's check, parts of an address).
 
 Defined results: a null or empty text has no spans; null ids, repeated rows and other columns are kept as they are; texts
 are read whole, whatever their length; without any labelled document in the sample no model is fitted and the patterns'
@@ -47,6 +48,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_SIGN = re.compile(r" ?@ ?")
 #: Not part of a span at its ends.
 _AROUND = " \t\r\n.,;:-"
 _TRIGGER = np.zeros(256, bool)
@@ -105,6 +107,9 @@ _CODES = np.full(256, 2, np.int64)  # 0 is outside the text, 1 beyond Latin-1
 _CODES[32:127] = np.arange(3, 98)
 _CODES[[9, 10, 13]] = 98
 _CODES[192:] = 99
+#: By code: the characters of an address's parts.
+_ADDRESS = np.zeros(100, bool)
+_ADDRESS[[_CODES[ord(c)] for c in map(chr, range(32, 127)) if _LOCAL.match(c)]] = True
 SYMBOLS, LABELS = 100, 1 + 2 * len(KINDS)
 
 
@@ -262,6 +267,19 @@ def regions(triggers: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(max(int(p[0]) - REACH, 0), min(int(p[-1]) + REACH + 1, length)) for p in np.split(triggers, cut)]
 
 
+def whole_runs(runs: list[tuple[int, int]], text: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of a text's codes, extended over the address characters that touch their ends; those that meet become one."""
+    gaps = np.flatnonzero(~_ADDRESS[text])
+    out: list[tuple[int, int]] = []
+    for start, end in runs:
+        before, after = np.searchsorted(gaps, (start, end))
+        start, end = int(gaps[before - 1]) + 1 if before else 0, int(gaps[after]) if after < len(gaps) else len(text)
+        if out and start <= out[-1][1]:
+            start, end = out[-1][0], max(end, out.pop()[1])
+        out.append((start, end))
+    return out
+
+
 def windows(start: int, end: int) -> list[int]:
     """Where overlapping windows of a run begin; the last reaches its end."""
     return [start] if end - start <= WINDOW else [*range(start, end - WINDOW, STRIDE), end - WINDOW]
@@ -285,7 +303,7 @@ def model_spans(texts: list[str], model: Tagger) -> list[list[Span]]:
     pieces: list[np.ndarray] = []
     for i, text in enumerate(texts):
         own = codes(text)
-        for start, end in regions(triggers_of(own), len(own)):
+        for start, end in whole_runs(regions(triggers_of(own), len(own)), own):
             for at in windows(start, end):
                 cut.append((i, start, end, at))
                 pieces.append(_cut(own, at, end))
@@ -320,6 +338,30 @@ def _read(joined: np.ndarray, start: int) -> list[Span]:
     return out
 
 
+def _address(text: str, start: int, end: int, low: int, high: int) -> tuple[int, int]:
+    """A part of an address with the whole runs at its ends, and its other side if it has no at sign, within low and high."""
+
+    def left(at: int) -> int:
+        while at > low and _LOCAL.match(text, at - 1):
+            at -= 1
+        return at
+
+    def right(at: int) -> int:
+        while at < high and _LOCAL.match(text, at):
+            at += 1
+        return at
+
+    start, end = left(start), right(end)
+    if "@" not in text[start:end]:
+        if found := _SIGN.match(text, end, high):
+            end = right(found.end())
+        elif text[max(start - 2, low) : start].rstrip(" ").endswith("@"):
+            sign = text.rindex("@", low, start)
+            start = left(sign - 1 if sign > low and text[sign - 1] == " " else sign)
+    piece = text[start:end].rstrip(_AROUND)
+    return start + len(piece) - len(piece.lstrip(_AROUND)), start + len(piece)
+
+
 def added_spans(texts: list[str], bases: list[list[Span]], model: Tagger | None) -> list[list[Span]]:
     """The model's valid spans that touch none of the patterns'."""
     if model is None:
@@ -331,6 +373,12 @@ def added_spans(texts: list[str], bases: list[list[Span]], model: Tagger | None)
             piece = text[start:end].rstrip(_AROUND)
             end = start + len(piece)
             start = end - len(piece.lstrip(_AROUND))
+            if kind == "email" and start < end:
+                if own and start < own[-1][2]:
+                    continue
+                # Nothing of the spans beside it.
+                low = max([e for _, _, e in [*base, *own[-1:]] if e <= start], default=0)
+                start, end = _address(text, start, end, low, min([b for _, b, _ in base if b >= end], default=len(text)))
             if valid(kind, text[start:end]) and not any(start < e and b < end for _, b, e in base):
                 own.append((kind, start, end))
         out.append(own)
@@ -355,9 +403,13 @@ def _planted(rng: np.random.Generator) -> tuple[str, str]:
         body = "4" + digits(14)
         card = next(body + c for c in "0123456789" if luhn(body + c))
         return "card", ".".join(card[i : i + 4] for i in range(0, 16, 4))
+    # Half of the addresses have long parts.
+    long = bool(rng.integers(0, 2))
+    name = ".".join(letters(int(rng.integers(6, 17))) for _ in range(int(rng.integers(1, 4)))) if long else letters(int(rng.integers(3, 9)))
     if form == 4:
-        return "email", f"{letters(int(rng.integers(3, 9)))}{digits(2)} @ {letters(5)}{digits(1)}.example.com"
-    return "email", f"{letters(int(rng.integers(3, 9)))}.{digits(2)}@{letters(7)}"
+        host = f"{letters(int(rng.integers(4, 12)))}.{letters(int(rng.integers(6, 17)))}" if long else f"{letters(5)}{digits(1)}"
+        return "email", f"{name}{digits(0 if long else 2)} @ {host}.example.com"
+    return "email", f"{name}.{digits(2)}@{letters(int(rng.integers(12, 31)) if long else 7)}"
 
 
 def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -374,7 +426,7 @@ def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.n
 
     for text in texts:
         own = codes(text)
-        add(text, base_spans(text), regions(triggers_of(own), len(own)))
+        add(text, base_spans(text), whole_runs(regions(triggers_of(own), len(own)), own))
         for _ in range(4):
             # A planted form between words of this text that hold no trigger, sometimes at a text's begin or end.
             at, left, right = int(rng.integers(0, max(len(text) - 40, 1))), int(rng.integers(0, 40)), int(rng.integers(0, 40))
@@ -385,7 +437,9 @@ def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.n
             if not _DIGIT.search(before + after) and "@" not in before + after:
                 start = len(before)
                 span = (kind, start, start + len(piece))
-                add(whole, [span], [(max(start - REACH, 0), min(span[2] + REACH, len(whole)))])
+                # Cut like any text, so that windows begin where they do when it is read.
+                place = codes(whole)
+                add(whole, [span], whole_runs(regions(triggers_of(place), len(place)), place))
     return (np.stack(x), np.stack(y)) if x else (np.zeros((0, WINDOW), np.int64), np.zeros((0, WINDOW), np.int64))
 
 
