@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, hostrank, licenses, line_templates, minhash, packing, pii, preferences, repetition, simhash
+from tickloom.llm import bpe, hostrank, licenses, line_templates, manifest, minhash, packing, pii, preferences, repetition, simhash
 from tickloom.llm.common import table_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -55,11 +55,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table_of(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.report(table_of(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_line_templates, op2_repetition, op3_packing, op4_minhash, op5_licenses,
-        op6_preferences, op7_simhash, op8_hostrank, op9_pii, op10_bpe,
+        op6_preferences, op7_simhash, op8_hostrank, op9_pii, op10_bpe, op11_manifest,
     )
 }
 
@@ -70,4 +74,5 @@ SQL: dict[str, str] = {
     "op5_licenses": licenses.oracle(),
     "op6_preferences": preferences.oracle(),
     "op8_hostrank": hostrank.oracle(),
+    "op11_manifest": manifest.oracle(),
 }
