@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, hostrank, licenses, line_templates, manifest, minhash, packing, pii, preferences, repetition, simhash
+from tickloom.llm import bpe, hostrank, licenses, line_templates, manifest, minhash, packing, page_text, pii, preferences, repetition, simhash, whitening
 from tickloom.llm.common import table_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -59,11 +59,19 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.report(table_of(spark, sf_dir, "documents"))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.report(table_of(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table_of(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_line_templates, op2_repetition, op3_packing, op4_minhash, op5_licenses,
-        op6_preferences, op7_simhash, op8_hostrank, op9_pii, op10_bpe, op11_manifest,
+        op6_preferences, op7_simhash, op8_hostrank, op9_pii, op10_bpe, op11_manifest, op12_page_text, op13_whitening,
     )
 }
 
