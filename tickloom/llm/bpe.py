@@ -28,12 +28,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from tickloom.llm.common import map_batches, passes
 from tickloom.llm.words import PieceTable, ragged
 
 #: Stands for the end of a word in token strings; no byte of a text maps to it.
 END = "\n"
+#: Up to here Python and the tokenizers library agree on every letter's case, class and composition.
+LAST_LATIN = "\u024f"
 #: Pairs of tokens whose test a worker remembers.
 KNOWN_PAIRS = 1_000_000
 #: Symbols from which on a word is merged by itself, by a heap.
@@ -244,6 +247,9 @@ class Encoder:
         self.known = np.zeros(0, np.int64)
         self.known_crosses = np.zeros(0, bool)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.merges.special)) + ")")
+        # The library's own Unicode tables, for what lies outside the Latin blocks.
+        self.normalizer = Tokenizer.from_file(path).normalizer
+        self.split = pre_tokenizers.Split(Regex(self.merges.pattern.pattern), "removed", invert=True)
         numbers = [f"{i} ".encode() for i in range(self.merges.size)]
         tokens = [f"{self.merges.raw.get(i, '')} ".encode() for i in range(self.merges.size)]
         self.numbers, self.tokens = Strings(numbers), Strings(tokens)
@@ -265,13 +271,17 @@ class Encoder:
             if lowered[-1] in ".," and lowered[:-1].isalpha():
                 return [lowered[:-1] + END, lowered[-1] + END]
             symbols = None
-        else:
-            # Letter by letter: a capital sigma has one lower-case form here.
-            lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+            words = self.merges.pattern.findall(lowered)
+        elif max(chunk) <= LAST_LATIN and "İ" not in chunk:
+            lowered = unicodedata.normalize("NFC", chunk).lower()
             symbols = byte_symbols()
             if lowered.isalpha():
                 return ["".join([symbols[b] for b in lowered.encode()]) + END]
-        words = self.merges.pattern.findall(lowered)
+            words = self.merges.pattern.findall(lowered)
+        else:
+            lowered = self.normalizer.normalize_str(chunk)
+            symbols = byte_symbols()
+            words = [w for w, _ in self.split.pre_tokenize_str(lowered)]
         if symbols is None and lowered.isprintable():
             return [w + END for w in words]
         symbols = byte_symbols()

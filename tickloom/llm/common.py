@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; a longer document is a pass of its own.
@@ -52,6 +52,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def packed(df: DataFrame, **others: Column) -> DataFrame:
+    """All columns of `df` as the struct `row`, beside `others`, so that helpers' names never meet its own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[value.alias(name) for name, value in others.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The struct `row` as columns again, some with another value."""
+    return df.select(*[replaced[c].alias(c) if c in replaced else F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = x ^ (x >> np.uint64(32))
@@ -61,40 +71,55 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _modular_inverse(odd: int) -> int:
-    return pow(odd, -1, 1 << 64)
-
-
-_BASE = 0x5851F42D4C957F2D
+#: A prime with cheap remainders: sums of its multiples fit 64 bits.
+_PRIME = np.uint64((1 << 31) - 1)
+#: Two hashes modulo the prime by different bases make one.
+_BASES = (0x2545F491, 0x5851F42D)
 _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(n: int, base: int) -> np.ndarray:
-    """1, base, base^2 ... modulo 2^64; kept for the next call."""
+    """1, base, base^2 ... modulo the prime, as 32 bits each; kept for the next call."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         size = max(n, PASS_BYTES + (PASS_BYTES >> 1))
-        factors = np.full(size, base, np.uint64)
-        factors[0] = 1
-        have = np.multiply.accumulate(factors)
+        have = np.ones(size, np.uint32)
+        known = 1
+        while known < size:
+            more = min(known, size - known)
+            factor = np.uint64(pow(base, known, int(_PRIME)))
+            have[known : known + more] = have[:more].astype(np.uint64) * factor % _PRIME
+            known += more
         _POWERS[base] = have
     return have[:n]
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+#: Below the prime, so that products stay below 2^62.
+_BYTE_VALUES = [mix(np.arange(1, 257, dtype=np.uint64) * _ODD + np.uint64(i)) % (_PRIME - np.uint64(1)) + np.uint64(1) for i in range(2)]
 
 
 class SpanHash:
-    """64-bit hashes of any byte spans of a buffer, from one prefix sum."""
+    """64-bit hashes of any byte spans of a buffer, from two prefix sums of polynomials modulo a prime.
+
+    Two fixed different spans are equal with a probability of about their length in 2^62.
+    """
 
     def __init__(self, data: np.ndarray) -> None:
         n = len(data)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[data] * _powers(n, _BASE), out=self.sums[1:])
-        self.undo = _powers(n + 1, _modular_inverse(_BASE))
+        self.sums = []
+        for values, base in zip(_BYTE_VALUES, _BASES, strict=True):
+            terms = values[data]
+            terms *= _powers(n, base)
+            # Half reduced, below 2^32, so that prefix sums of any text stay within 64 bits.
+            terms = (terms & _PRIME) + (terms >> np.uint64(31))
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(terms, out=sums[1:])
+            self.sums.append(sums)
+        self.undo = [_powers(n + 1, pow(base, -1, int(_PRIME))) for base in _BASES]
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.undo[start] + (end - start).astype(np.uint64) * _ODD)
+        one, two = ((sums[end] - sums[start]) % _PRIME * undo[start] % _PRIME for sums, undo in zip(self.sums, self.undo, strict=True))
+        return mix((one << np.uint64(31) | two) + (end - start).astype(np.uint64) * _ODD)
 
 
 SPACE = np.zeros(256, bool)

@@ -50,8 +50,9 @@ def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     body = np.maximum(np.maximum.accumulate(place)[end - 1] + 1, start)
     last = data[np.maximum(body - 1, 0)]
     before = data[np.maximum(body - 2, 0)]
-    # Two-byte letters U+00C0 to U+023F, but for the signs of multiplication and division.
-    letter = (before == 0xC3) & (last != 0x97) & (last != 0xB7) | (before >= 0xC4) & (before <= 0xC8)
+    # Two-byte letters U+00C0 to U+023F, but for the signs of multiplication and division, and for U+0130, whose lower case
+    # ends in a mark that joins what follows.
+    letter = (before == 0xC3) & (last != 0x97) & (last != 0xB7) | (before >= 0xC4) & (before <= 0xC8) & ~((before == 0xC4) & (last == 0xB0))
     cut = (body < end) & (body > start) & (_ALNUM[last] | (last >= 0x80) & letter & (body - 2 >= start))
     # A special token's end is no punctuation.
     close = np.flatnonzero((data[:-1] == 0x7C) & (data[1:] == 0x3E))
