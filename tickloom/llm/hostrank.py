@@ -7,7 +7,9 @@ that is a host of a page too, are linked both ways with the weight of one link.
 `THRESHOLD` of its trust and distrust is blocked, any other is allowed.
 
 Everything is DataFrame operations. Links are summed to one row for each pair of hosts before any join, so a host with a
-third of all pages is one row in each round, and scores are cut by checkpoints.
+third of all pages is one row in each round, and scores are cut by checkpoints. After k rounds no more than 0.85^k of the mass
+is unsettled: rounds go on until that is below `TOLERANCE` and no host is reached any more that had no score before; a graph
+that isn't settled after `MOST_ROUNDS` raises.
 
 Defined results: a null url, or one without ://, has an empty host and path, fits no rule, is no part of the graph and
 is allowed; a null text has no links; repeated rows and null ids are judged like others and count as pages of their own;
@@ -16,19 +18,27 @@ hosts without any score are allowed; an empty table gives no rows. Other columns
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import checkpointed
+from tickloom.llm.common import checkpointed, shared_folder
 
 # Verdict, host and path of each rule.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 DAMPING = 0.85
-ROUNDS = 6
+#: Share of the seeds' mass that may be unsettled.
+TOLERANCE = 1e-4
+MOST_ROUNDS = 10_000
+#: Rounds between checkpoints.
+STEPS = 8
 THRESHOLD = 0.5
+#: Distrust that falls short of the threshold by so small a share, as by rounding, reaches it.
+TIE = 1e-9
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -76,7 +86,14 @@ def _graph(ruled: DataFrame, html: str) -> tuple[DataFrame, DataFrame]:
     return hosts, links.union(both).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def scores(ruled: DataFrame, html: str = "html", rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder, whose size Spark knows when it plans a join."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scores(ruled: DataFrame, html: str = "html", tolerance: float = TOLERANCE, damping: float = DAMPING, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """(host, trust, distrust) of all hosts that have any."""
     hosts, links = _graph(ruled, html)
     links = checkpointed(links)
@@ -85,17 +102,24 @@ def scores(ruled: DataFrame, html: str = "html", rounds: int = ROUNDS, damping:
     against = links.select(F.lit("d").alias("kind"), F.col("dst").alias("a"), F.col("src").alias("b"), "n")
     ways = along.union(against)
     total = ways.groupBy("kind", "a").agg(F.sum("n").alias("total"))
-    ways = checkpointed(ways.join(total, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("total")).alias("share")))
+    ways = _stored(ways.join(total, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("total")).alias("share")), "ways")
     seeds = hosts.select("host", F.explode(F.create_map(F.lit("t"), F.col("allowed"), F.lit("d"), F.col("blocked"))).alias("kind", "n")).where("n > 0")
     sums = seeds.groupBy("kind").agg(F.sum("n").alias("total"))
-    seeds = checkpointed(seeds.join(sums, "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("score")))
-    current = seeds
-    for step in range(1, rounds + 1):
-        sent = current.withColumnRenamed("host", "a").join(ways, ["kind", "a"]).select("kind", F.col("b").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
-        back = seeds.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
-        current = sent.union(back).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if step % 3 == 0:
-            current = checkpointed(current)
+    seeds = _stored(seeds.join(sums, "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("score")), "seeds")
+    back = seeds.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
+    settled = math.ceil(math.log(tolerance) / math.log(damping))
+    current, step, reached = seeds, 0, -1
+    while True:
+        for _ in range(STEPS):
+            sent = current.withColumnRenamed("host", "a").join(ways, ["kind", "a"]).select("kind", F.col("b").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
+            current = sent.union(back).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        step += STEPS
+        current = checkpointed(current)
+        before, reached = reached, current.count()
+        if step >= settled and before == reached:
+            break
+        if step >= most_rounds:
+            raise RuntimeError(f"ranks did not settle in {step} rounds")
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
     return current.groupBy("host").agg(of("t").alias("trust"), of("d").alias("distrust"))
 
@@ -104,9 +128,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url:
     """`pages` with host, path, rule and verdict."""
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     ruled = with_rules(pages.select(*dict.fromkeys([*kept, url, html])), rules, url)
-    blocked = scores(ruled, html).where(F.col("distrust") + 1e-12 >= threshold * (F.col("trust") + F.col("distrust"))).select("host", F.lit("block").alias("_by_host"))
-    judged = ruled.join(blocked, "host", "left")
-    return judged.select(*kept, "host", "path", "rule", F.coalesce("verdict", "_by_host", F.lit("allow")).alias("verdict"))
+    blocked = scores(ruled.select("host", F.col(html).alias("html"), "verdict")).where(F.col("distrust") * (1 + TIE) >= threshold * (F.col("trust") + F.col("distrust")))
+    blocked = blocked.select("host", F.lit("block").alias("by_host")).alias("found")
+    judged = ruled.alias("page").join(blocked, F.col("page.host") == F.col("found.host"), "left")
+    verdict = F.coalesce(F.col("page.verdict"), F.col("found.by_host"), F.lit("allow")).alias("verdict")
+    return judged.select(*[F.col(f"page.`{c}`") for c in [*kept, "host", "path", "rule"]], verdict)
 
 
 def report(pages: DataFrame) -> DataFrame:
@@ -114,17 +140,11 @@ def report(pages: DataFrame) -> DataFrame:
     return judge(pages.select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
 
 
-def oracle() -> str:
-    """The same rows in DuckDB's SQL, its rounds written one after another."""
+def oracle(rounds: int = 200) -> str:
+    """The same rows in DuckDB's SQL, with more rounds than the tolerance needs."""
     case = lambda value: "CASE " + " ".join(f"WHEN (host = '{r[1]}' OR ends_with(host, '.{r[1]}')) AND starts_with(path, '{r[2]}') THEN '{value(r)}'" for r in _ordered(RULES)) + " END"
-    rounds = "".join(
-        f"""
-    s{i} AS (SELECT kind, host, sum(score) AS score FROM (SELECT w.kind, w.b AS host, score * share * {DAMPING} AS score FROM s{i - 1} s JOIN w ON w.kind = s.kind AND w.a = s.host
-        UNION ALL SELECT kind, host, score * {1 - DAMPING} FROM s0) GROUP BY ALL),"""
-        for i in range(1, ROUNDS + 1)
-    )
     return f"""
-    WITH c AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+    WITH RECURSIVE c AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
     r AS (SELECT *, {case(lambda r: r[1] + r[2])} AS rule, {case(lambda r: r[0])} AS verdict FROM c),
     h AS (SELECT host, count(*) FILTER (verdict = 'allow') AS allowed, count(*) FILTER (verdict = 'block') AS blocked FROM r WHERE host <> '' GROUP BY host),
@@ -133,8 +153,11 @@ def oracle() -> str:
     p AS (SELECT a.host AS src, b.host AS dst FROM h a JOIN h b ON instr(a.host, '.') > 0 AND substr(a.host, instr(a.host, '.') + 1) = b.host),
     e AS (SELECT src, dst, count(*) AS n FROM (SELECT * FROM l UNION ALL SELECT src, dst FROM p UNION ALL SELECT dst, src FROM p) GROUP BY ALL),
     d AS (SELECT 't' AS kind, src AS a, dst AS b, n FROM e UNION ALL SELECT 'd', dst, src, n FROM e),
-    w AS (SELECT kind, a, b, n / sum(n) OVER (PARTITION BY kind, a) AS share FROM d),
-    s0 AS (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS score FROM (SELECT 't' AS kind, host, allowed AS n FROM h UNION ALL SELECT 'd', host, blocked FROM h) WHERE n > 0),{rounds}
-    f AS (SELECT host, coalesce(sum(score) FILTER (kind = 't'), 0) AS t, coalesce(sum(score) FILTER (kind = 'd'), 0) AS d FROM s{ROUNDS} GROUP BY host)
-    SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.verdict, CASE WHEN f.d + 1e-12 >= {THRESHOLD} * (f.t + f.d) THEN 'block' END, 'allow') AS verdict
+    w AS MATERIALIZED (SELECT kind, a, b, n / sum(n) OVER (PARTITION BY kind, a) AS share FROM d),
+    s0 AS MATERIALIZED (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS score FROM (SELECT 't' AS kind, host, allowed AS n FROM h UNION ALL SELECT 'd', host, blocked FROM h) WHERE n > 0),
+    s AS (SELECT 0 AS i, kind, host, score FROM s0 UNION ALL
+        SELECT i + 1, kind, host, sum(score) FROM (SELECT i, w.kind, w.b AS host, score * share * {DAMPING} AS score FROM s JOIN w ON w.kind = s.kind AND w.a = s.host
+            UNION ALL SELECT i, s0.kind, s0.host, s0.score * {1 - DAMPING} FROM s0 JOIN (SELECT DISTINCT i FROM s) ON true) WHERE i < {rounds} GROUP BY i, kind, host),
+    f AS (SELECT host, coalesce(sum(score) FILTER (kind = 't'), 0) AS t, coalesce(sum(score) FILTER (kind = 'd'), 0) AS d FROM s WHERE i = {rounds} GROUP BY host)
+    SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.verdict, CASE WHEN f.d * (1 + {TIE}) >= {THRESHOLD} * (f.t + f.d) THEN 'block' END, 'allow') AS verdict
     FROM r LEFT JOIN f USING (host)"""

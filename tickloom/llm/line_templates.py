@@ -27,7 +27,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import checkpointed
+from tickloom.llm.common import checkpointed, packed, unpacked
 
 LEADING = 3
 MIN_DOCS = 3
@@ -113,20 +113,21 @@ def _dropped(docs: DataFrame, doc_id: str, text: str, min_docs: int, min_values:
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, min_values: int = MIN_VALUES) -> DataFrame:
     """`docs` with the dropped lines out of the text, and `n_dropped`."""
-    gone = _dropped(docs, doc_id, text, min_docs, min_values).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("places").alias("_places"))
-    here = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_th"))
-    rows = docs.drop("n_dropped").join(gone, here, "left")
+    gone = _dropped(docs, doc_id, text, min_docs, min_values).select(F.col("id").alias("of_id"), F.col("th").alias("of_th"), "places")
+    # Packed, so that no column of `docs` meets a helper's name.
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = packed(docs, id=F.col(doc_id), th=F.xxhash64(whole), text=F.col(text))
+    rows = rows.join(gone, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("th") == F.col("of_th")), "left")
     # What lies between dropped positions is kept as slices.
-    cuts = F.concat(F.array(F.lit(-1)), F.col("_places"), F.array(F.size(F.col("_lines"))))
-    rows = rows.withColumn("_lines", F.when(F.col("_places").isNotNull(), F.split(text, "\n", -1)))
-    rows = rows.withColumn("_cuts", F.when(F.col("_places").isNotNull(), cuts))
+    rows = rows.withColumn("lines", F.when(F.col("places").isNotNull(), F.split("text", "\n", -1)))
+    rows = rows.withColumn("cuts", F.when(F.col("places").isNotNull(), F.concat(F.array(F.lit(-1)), "places", F.array(F.size("lines")))))
     parts = F.transform(
-        F.arrays_zip(F.slice("_cuts", 1, F.size("_cuts") - 1).alias("a"), F.slice("_cuts", 2, F.size("_cuts") - 1).alias("b")),
-        lambda gap: F.slice("_lines", gap["a"] + 2, gap["b"] - gap["a"] - 1),
+        F.arrays_zip(F.slice("cuts", 1, F.size("cuts") - 1).alias("a"), F.slice("cuts", 2, F.size("cuts") - 1).alias("b")),
+        lambda gap: F.slice("lines", gap["a"] + 2, gap["b"] - gap["a"] - 1),
     )
-    left = F.when(F.col("_places").isNotNull(), F.array_join(F.flatten(parts), "\n")).otherwise(F.col(text))
-    rows = rows.withColumn(text, left).withColumn("n_dropped", F.coalesce(F.size("_places"), F.lit(0)).cast("long"))
-    return rows.select(*[c for c in docs.columns if c != "n_dropped"], "n_dropped")
+    left = F.when(F.col("places").isNotNull(), F.array_join(F.flatten(parts), "\n")).otherwise(F.col("text"))
+    n_dropped = F.coalesce(F.size("places"), F.lit(0)).cast("long")
+    return unpacked(rows, [*[c for c in docs.columns if c != "n_dropped"], "n_dropped"], **{text: left, "n_dropped": n_dropped})
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tickloom.llm.common import SPACE, Texts, checkpointed, components, map_batches, passes
+from tickloom.llm.common import SPACE, Texts, checkpointed, components, map_batches, packed, passes, unpacked
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -292,12 +292,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bi
     prints, rooted = _grouped(docs, doc_id, text, max_bits, shingle)
     key = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_text").alias("text"))
     first = prints.groupBy("_print").agg(F.min(key).alias("k")).join(rooted, "_print").groupBy("_root").agg(F.min("k").alias("k"))
-    first = first.select(F.col("k.id").alias("_id"), F.col("k.text").alias("_hash"))
-    here = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_hash"))
-    rows = docs.join(first, here, "left_semi")
+    first = first.select(F.col("k.id").alias("of_id"), F.col("k.text").alias("of_text"))
+    # Packed, so that no column of `docs` meets a helper's name.
+    rows = packed(docs, id=F.col(doc_id), th=F.xxhash64(F.coalesce(text, F.lit(""))))
+    here = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("th") == F.col("of_text"))
+    rows = rows.join(first, here, "left_semi")
     # Rows that repeat an id and its text are left more than once.
-    again = prints.groupBy(doc_id, "_text").count().where("count > 1").select(F.col(doc_id).alias("_id"), F.col("_text").alias("_hash"))
+    again = prints.groupBy(doc_id, "_text").count().where("count > 1").select(F.col(doc_id).alias("of_id"), F.col("_text").alias("of_text"))
     # One of them is a minimum for each id and text, summed in the tasks first, so that no key gathers its rows.
-    whole = F.struct(*[c for c in docs.columns if c != text], text)
-    many = rows.join(again, here, "left_semi").groupBy(doc_id, F.xxhash64(F.coalesce(text, F.lit(""))).alias("_hash")).agg(F.min(whole).alias("_whole"))
-    return rows.join(again, here, "left_anti").unionByName(many.select(*[F.col("_whole")[c].alias(c) for c in docs.columns]))
+    many = rows.join(again, here, "left_semi").groupBy("id", "th").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return unpacked(rows.join(again, here, "left_anti").select("row").union(many.select("row")), docs.columns)
