@@ -126,7 +126,7 @@ def test_other_spans(bars, history):
     same(got, want, ["macd", "macd_signal", "macd_hist"])
 
 
-@pytest.mark.parametrize("spans", [(1, 26, 9), (12, 26, 12), (9, 26, 9), (5, 200, 3)])
+@pytest.mark.parametrize("spans", [(1, 26, 9), (12, 26, 12), (9, 26, 9)])
 def test_unsupported_spans_are_refused(spans):
     with pytest.raises(ValueError):
         Macd(*spans)
@@ -205,9 +205,78 @@ def test_incremental_new_symbol(spark, bars, wanted):
     same(incremental.snapshot(advanced).toPandas(), wanted.sort_values("time").groupby("symbol").tail(1))
 
 
-def test_cells_follow_the_density(spark):
-    """A key with a row a second gets short cells, and a sparse one does not lengthen them."""
+def test_cells_follow_each_key(spark):
+    """A key with a row a second gets short cells; neither it nor a single bar shortens those of a sparse key."""
     dense = spark.range(20_000).select(F.lit("A").alias("symbol"), F.timestamp_seconds("id").alias("time"))
-    sparse = spark.range(3).select(F.lit("B").alias("symbol"), F.timestamp_seconds(F.col("id") * 10_000_000).alias("time"))
-    assert series.cell_for(dense.union(sparse), ("symbol",)) == series.CELL_ROWS
-    assert series.cell_for(sparse, ("symbol",)) == series.LONGEST_CELL == series.cell_for(sparse.limit(0), ("symbol",))
+    sparse = spark.range(9000).select(F.lit("B").alias("symbol"), F.timestamp_seconds(F.col("id") * series.DAY).alias("time"))
+    single = spark.range(1).select(F.lit("C").alias("symbol"), F.timestamp_seconds("id").alias("time"))
+    rows = dense.union(sparse).union(single)
+    lengths = {r["symbol"]: r["_length"] for r in series.cells_of(rows, ("symbol",)).collect()}
+    assert lengths["A"] == series.CELL_ROWS and lengths["B"] == pytest.approx(series.CELL_ROWS * series.DAY, rel=1e-3)
+    sizes = series.with_cells(rows, ("symbol",)).groupBy("symbol", "_cell").count().groupBy("symbol").count().collect()
+    assert {r["symbol"]: r["count"] for r in sizes} == {"A": 5, "B": 3, "C": 1}
+    assert series.cells_of(rows.limit(0), ("symbol",)).count() == 0
+
+
+def recursion(closes, fast=12, slow=26, signal=9):
+    f = s = closes[0]
+    g, out = 0.0, []
+    for i, x in enumerate(closes):
+        if i:
+            f += 2 / (fast + 1) * (x - f)
+            s += 2 / (slow + 1) * (x - s)
+            g += 2 / (signal + 1) * (f - s - g)
+        out.append((f, s, g))
+    return out
+
+
+@pytest.mark.parametrize("block", [None, 64])
+def test_macd_never_forgets(spark, monkeypatch, block):
+    """Prices fall from 1e300 to 1e-3: thousands of bars later the old ones still outweigh all new ones."""
+    if block:
+        monkeypatch.setattr(Macd, "block_rows", lambda self: block)
+        monkeypatch.setattr(indicators, "RUN", 4)
+    closes = [1e300] * 30 + [1e-3] * 9000 + [5.0] * 10
+    start = datetime(2000, 1, 1)
+    rows = [("A", "X", start + timedelta(days=i), c) for i, c in enumerate(closes)]
+    bars = spark.createDataFrame(rows, "symbol string, exchange string, time timestamp, close double")
+    want = recursion(closes)
+    got = {r["time"]: r for r in indicators.macd_series(bars).collect()}
+    for i in [25, 29, 30, 40, 600, 577 + 30, 2000, 2575, 2576, 2577, 5000, 5153, 7000, 8999, len(closes) - 1]:
+        f, s, g = want[i]
+        row = got[rows[i][2]]
+        size = max(abs(f), abs(s), abs(g))
+        assert row["macd"] == pytest.approx(f - s, rel=1e-9, abs=1e-9 * size)
+        assert row["macd_signal"] == pytest.approx(g, rel=1e-9, abs=1e-9 * size)
+    f, s, g = want[-1]
+    last = indicators.latest_macd_of(bars).first()
+    assert last["macd"] == pytest.approx(f - s, rel=1e-9) and last["macd_signal"] == pytest.approx(g, rel=1e-9)
+
+
+def test_latest_reads_the_bars_twice(spark, tmp_path, history):
+    """Once for the cells' lengths and once for the rows; nothing is numbered."""
+    path = str(tmp_path / "bars")
+    spark.createDataFrame(history).write.parquet(path)
+    plan = indicators.latest_indicators(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert sum(line.count("FileScan") for line in plan.split("== Initial Plan ==")[0].splitlines() if "bars" in line) == 1
+    assert "Window" not in plan
+
+
+def test_replay_of_changed_bars(spark, bars, wanted, history):
+    """States of three days; bars of two keys changed, one key's removed after its first, one key new in the past."""
+    ladder = None
+    for as_of in ("2000-02-01", "2001-01-01", "2008-01-01"):
+        early = bars.filter((F.col("time") <= F.lit(as_of).cast("timestamp")) & (F.col("symbol") != "E"))
+        state = incremental.indicator_state(early).withColumn("as_of", F.lit(as_of).cast("date"))
+        ladder = state if ladder is None else ladder.unionByName(state)
+    changed = history.copy()
+    at = lambda day: pd.Timestamp(day)
+    changed.loc[(changed["symbol"] == "A") & (changed["time"] == at("2000-12-24")), "close"] += 50.0
+    changed.loc[(changed["symbol"] == "B") & (changed["time"] == at("2000-01-05")), "close"] -= 70.0
+    changed = changed[(changed["symbol"] != "H") | (changed["time"] < at("2000-03-01"))]
+    changed = changed[changed["time"] <= at("2008-01-01")]
+    times = [("A", datetime(2000, 12, 24)), ("B", datetime(2000, 1, 5)), ("H", datetime(2000, 3, 1)), ("E", datetime(2000, 1, 1))]
+    changes = spark.createDataFrame(times, "symbol string, changed_from timestamp")
+    got = incremental.snapshot(incremental.replayed_state(ladder, spark.createDataFrame(changed), changes)).toPandas()
+    want = pd.concat([expected(group).tail(1) for _, group in changed.groupby("symbol")])
+    same(got, want)

@@ -38,19 +38,13 @@ class Macd:
         spans = self._spans()
         if min(spans) < 2 or self.signal in (self.fast, self.slow):
             raise ValueError("spans must be at least 2, and the signal span unlike the others")
-        if self.block_rows() < self.memory_rows():
-            raise ValueError("spans too far apart")
 
     def _spans(self) -> list[int]:
         return [self.fast, self.slow, self.signal]
 
-    def memory_rows(self) -> int:
-        """Rows after which a start state weighs below 2**-64, less than a double can hold beside the rest."""
-        return math.ceil(64 * math.log(2) / -math.log(max(map(decay, self._spans()))))
-
     def block_rows(self) -> int:
-        """Rows per block such that the growing weights over a block and its halo stay below e**575."""
-        return int(575 / -math.log(min(map(decay, self._spans())))) - self.memory_rows()
+        """Rows per block such that the growing weights over a block stay below e**575."""
+        return int(575 / -math.log(min(map(decay, self._spans()))))
 
     def _through_signal(self, span: int, rows: Column) -> Column:
         """Signal weight left by an EMA that decays freely from 1 over ``rows`` rows."""
@@ -85,6 +79,27 @@ class Macd:
         ]
 
 
+    def after(self, state: Column, rows: Column, added: Column) -> Column:
+        """The state (a struct ``fast, slow, signal``) after ``rows`` more rows that add ``added`` from the zero state."""
+        carried = self.carried(state["fast"], state["slow"], state["signal"], rows)
+        return F.struct(*[(part + added[name]).alias(name) for part, name in zip(carried, STATE)])
+
+    def step(self, state: Column, close: Column) -> Column:
+        """The state after one more close: the recursion itself."""
+        fast, slow = (
+            F.lit(decay(span)) * state[name] + F.lit(1.0 - decay(span)) * close for span, name in ((self.fast, "fast"), (self.slow, "slow"))
+        )
+        signal = F.lit(decay(self.signal)) * state["signal"] + F.lit(1.0 - decay(self.signal)) * (fast - slow)
+        return F.struct(fast.alias("fast"), slow.alias("slow"), signal.alias("signal"))
+
+
+STATE = ("fast", "slow", "signal")
+
+
+def state_of(fast: Column, slow: Column, signal: Column) -> Column:
+    return F.struct(fast.cast("double").alias("fast"), slow.cast("double").alias("slow"), signal.cast("double").alias("signal"))
+
+
 def running_ema(value: Column, span: int, position: Column, window) -> Column:
     """EMA from the zero state, along ``window`` (an ordered running window starting at position 0).
 

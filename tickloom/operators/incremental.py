@@ -8,34 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom import fixed_values as fixed
-from tickloom.functions.ema import Macd
-from tickloom.operators.indicators import guarded_macd, numbered_bars, rsi
-
-TAIL = max(fixed.SMA_BARS)
-
-
-def _summary(bars: DataFrame, keys, time, ties, cell_seconds, macd: Macd) -> DataFrame:
-    """One row per key over the given bars: weighted sums from the zero state and the closes' tail.
-
-    The tail collects at most ``TAIL`` closes per key whatever the length of the series;
-    it is a group-by of its own so that the sums stay a hash aggregate.
-    """
-    numbered = numbered_bars(bars, keys, time, ties, cell_seconds)
-    age = F.col("_total") - F.col("_n")
-    totals = numbered.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max(time).alias("_last"),
-        F.min(time).alias("_oldest"),
-        F.max(F.when(F.col("_n") == 1, F.col("close"))).alias("_first"),
-        *[total.alias(name) for total, name in zip(macd.sums(F.col("close"), age), ["_f", "_s", "_g"])],
-    )
-    tails = (
-        numbered.filter(age < TAIL)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("_n", "close")))["close"].alias("_tail"))
-    )
-    return totals.join(tails, list(keys))
+from tickloom.functions.ema import STATE, Macd, state_of
+from tickloom.operators.indicators import TAIL, final_state, last_of, series_summary, state_columns
 
 
 def _state(rows, last, tail, fast, slow, signal, keys) -> list[Column]:
@@ -43,7 +17,7 @@ def _state(rows, last, tail, fast, slow, signal, keys) -> list[Column]:
         *[F.col(key) for key in keys],
         rows.alias("bars"),
         last.alias("last_time"),
-        F.slice(tail, -F.least(F.lit(TAIL), F.size(tail)), TAIL).alias("tail"),
+        last_of(tail, TAIL).alias("tail"),
         fast.alias("ema_fast"),
         slow.alias("ema_slow"),
         signal.alias("ema_signal"),
@@ -54,10 +28,8 @@ def indicator_state(
     bars: DataFrame, keys=("symbol",), time="time", ties=("exchange",), cell_seconds=None, macd: Macd = Macd()
 ) -> DataFrame:
     """State after all of ``bars``."""
-    done = _summary(bars, keys, time, ties, cell_seconds, macd)
-    began = macd.carried(F.col("_first"), F.col("_first"), F.lit(0.0), F.col("_rows"))
-    ema = [F.col(name) + part for name, part in zip(["_f", "_s", "_g"], began)]
-    return done.select(*_state(F.col("_rows"), F.col("_last"), F.col("_tail"), *ema, keys))
+    done = series_summary(bars, keys, time, ties, cell_seconds, macd)
+    return done.select(*_state(F.col("_rows"), F.col("_last"), F.col("_tail"), *final_state(macd), keys))
 
 
 def advance_state(
@@ -68,56 +40,43 @@ def advance_state(
 
     Both sides hold one row per key at the join.
     """
-    joined = state.join(_summary(new_bars, keys, time, ties, cell_seconds, macd), list(keys), "full")
+    joined = state.join(series_summary(new_bars, keys, time, ties, cell_seconds, macd), list(keys), "full")
     too_old = F.lit("bars are not newer than the state of their series")
     last = F.when(F.col("_oldest") <= F.col("last_time"), F.raise_error(too_old).cast(state.schema["last_time"].dataType))
     last = last.otherwise(F.coalesce("_last", "last_time"))
     added = F.coalesce("_rows", F.lit(0))
-    start = [F.coalesce("ema_fast", "_first"), F.coalesce("ema_slow", "_first"), F.coalesce("ema_signal", F.lit(0.0))]
-    carried = macd.carried(*start, added)
-    ema = [F.coalesce(name, F.lit(0.0)) + part for name, part in zip(["_f", "_s", "_g"], carried)]
+    start = state_of(F.coalesce("ema_fast", "_first"), F.coalesce("ema_slow", "_first"), F.coalesce("ema_signal", F.lit(0.0)))
+    zero = state_of(F.lit(0.0), F.lit(0.0), F.lit(0.0))
+    ema = macd.after(start, added, F.coalesce("_added", zero))
     empty = F.array().cast("array<double>")
     tail = F.concat(F.coalesce("tail", empty), F.coalesce("_tail", empty))
     rows = F.coalesce("bars", F.lit(0)) + added
-    return joined.select(*_state(rows, last, tail, *ema, keys))
+    return joined.select(*_state(rows, last, tail, *[ema[name] for name in STATE], keys))
 
 
-def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x) / F.size(values)
-
+def replayed_state(
+    ladder: DataFrame, bars: DataFrame, changes: DataFrame, keys=("symbol",), time="time", ties=("exchange",),
+    cell_seconds=None, macd: Macd = Macd(),
+) -> DataFrame:
+    """State after bars that were changed, added or removed in the past.
 
-def _last_closes(n: int) -> Column:
-    return F.slice("tail", -F.least(F.lit(n), F.size("tail")), n)
+    ``ladder`` holds states of several days (``as_of``), ``changes`` has per key ``changed_from``, the time of its earliest
+    changed bar. A key without changes keeps its newest state; any other starts from the newest one that ends before
+    its change (from nothing, if none does) and replays only its bars since. Keys without any bar left have no state.
+    """
+    by = list(keys)
+    columns = [name for name in ladder.columns if name != "as_of"]
+    newest = lambda rows: rows.groupBy(*by).agg(F.max_by(F.struct(*columns), "as_of").alias("_state")).select("_state.*")
+    changes = changes.groupBy(*by).agg(F.min("changed_from").alias("changed_from"))
+    kept = newest(ladder.join(changes, by, "left_anti"))
+    base = newest(ladder.join(changes, by).filter(F.col("last_time") < F.col("changed_from")).select(*ladder.columns))
+    starts = changes.join(base.select(*by, F.col("last_time").alias("_since")), by, "left").select(*by, "_since")
+    again = bars.join(starts, by).filter(F.col("_since").isNull() | (F.col(time) > F.col("_since"))).drop("_since")
+    return kept.unionByName(advance_state(base, again.select(*bars.columns), keys, time, ties, cell_seconds, macd))
 
 
 def snapshot(state: DataFrame, keys=("symbol",)) -> DataFrame:
     """The ten indicators of each key's newest bar, computed from the state alone."""
-    tail = F.col("tail")
-    enough = {n: F.col("bars") >= n for n in {*fixed.SMA_BARS, fixed.BOLLINGER_BARS, fixed.RSI_BARS}}
-    window = _last_closes(fixed.BOLLINGER_BARS)
-    middle = _mean(window)
-    deviation = F.sqrt(_mean(F.transform(window, lambda x: (x - middle) * (x - middle))))
-    recent = _last_closes(fixed.RSI_BARS + 1)
-    changes = F.zip_with(
-        F.slice(recent, 2, fixed.RSI_BARS), F.slice(recent, 1, F.size(recent) - 1), lambda now, before: now - before
-    )
-    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    gains = total(F.transform(changes, lambda x: F.when(x > 0, x).otherwise(F.lit(0.0))))
-    losses = total(F.transform(changes, lambda x: F.when(x < 0, -x).otherwise(F.lit(0.0))))
-    band = fixed.BOLLINGER_WIDTH * deviation
-    return state.select(
-        *keys,
-        F.col("last_time").alias("time"),
-        F.element_at(tail, -1).alias("close"),
-        *[F.when(enough[n], _mean(_last_closes(n))).alias(f"sma{n}") for n in fixed.SMA_BARS],
-        F.when(enough[fixed.BOLLINGER_BARS], middle).alias("bb_mid"),
-        F.when(enough[fixed.BOLLINGER_BARS], middle + band).alias("bb_upper"),
-        F.when(enough[fixed.BOLLINGER_BARS], middle - band).alias("bb_lower"),
-        F.when(enough[fixed.RSI_BARS], rsi(gains, losses)).alias("rsi14"),
-        *[
-            line.alias(name)
-            for name, line in guarded_macd(
-                F.col("ema_fast"), F.col("ema_slow"), F.col("ema_signal"), F.col("bars")
-            ).items()
-        ],
-    )
+    columns = state_columns(F.col("bars"), F.col("tail"), F.col("ema_fast"), F.col("ema_slow"), F.col("ema_signal"))
+    newest = [F.col("last_time").alias("time"), F.element_at("tail", -1).alias("close")]
+    return state.select(*keys, *newest, *[value.alias(name) for name, value in columns.items()])

@@ -15,18 +15,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.session import materialise
+
 DAY = 86_400
-#: Rows of a key that a cell should hold, and the longest cell.
+#: Rows of a key that a cell should hold.
 CELL_ROWS = 4096
-LONGEST_CELL = 512 * DAY
 
 
-def cell_for(df: DataFrame, keys: tuple[str, ...], time: str = "time") -> int:
-    """Seconds of a cell that holds about ``CELL_ROWS`` rows of the densest key: one partially aggregated pass."""
+def cells_of(df: DataFrame, keys: tuple[str, ...], time: str = "time") -> DataFrame:
+    """Per key ``_start`` (its first second) and ``_length``, the seconds that hold about ``CELL_ROWS`` of its rows.
+
+    Each key has cells of its own length, so a dense key does not cut a sparse one into single rows. One partially
+    aggregated pass, whose result is written aside: Spark then knows its size and sends it to the tasks where it is small.
+    """
+    seconds = F.unix_seconds(F.col(time).cast("timestamp"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(seconds).alias("_start"), F.max(seconds).alias("_end"))
+    length = F.ceil(CELL_ROWS * (F.col("_end") - F.col("_start") + 1) / F.col("_n"))
+    return materialise(per_key.select(*keys, "_start", F.greatest(F.lit(1), length).cast("bigint").alias("_length")), "cells")
+
+
+def with_cells(df: DataFrame, keys: tuple[str, ...], time: str = "time", cell_seconds: int | None = None) -> DataFrame:
+    """Add ``_cell``, the number of the time cell that a row of its key lies in."""
     seconds = F.unix_seconds(F.col(time).cast("timestamp"))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(seconds) - F.min(seconds) + 1).alias("span"))
-    densest = per_key.agg(F.max(F.col("n") / F.col("span"))).first()[0]
-    return max(1, min(LONGEST_CELL, int(CELL_ROWS / densest))) if densest else LONGEST_CELL
+    if cell_seconds is not None:
+        return df.withColumn("_cell", F.floor(seconds / cell_seconds))
+    own = df.join(cells_of(df, keys, time), list(keys))
+    return own.withColumn("_cell", F.floor((seconds - F.col("_start")) / F.col("_length"))).drop("_start", "_length")
 
 
 def number_rows(
@@ -39,12 +53,10 @@ def number_rows(
     """Add ``_n`` (1 = oldest row of the key) and ``_total`` (rows of the key).
 
     Rows order by ``time`` then ``ties``. ``cell_seconds`` is the time span one task ranks
-    at once; without it, it follows from the rows (``cell_for``). The per-cell counts are the
+    at once; without it, it follows from each key's rows (``cells_of``). The per-cell counts are the
     only thing scanned per key.
     """
-    if cell_seconds is None:
-        cell_seconds = cell_for(df, keys, time)
-    celled = df.withColumn("_cell", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / cell_seconds))
+    celled = with_cells(df, keys, time, cell_seconds)
     in_cell = Window.partitionBy(*keys, "_cell").orderBy(time, *ties)
     of_key = Window.partitionBy(*keys)
     earlier = of_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
