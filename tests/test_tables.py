@@ -280,3 +280,62 @@ def test_bars_are_keyed_by_symbol_and_exchange(spark):
 def test_bars_without_a_finite_price_are_invalid(spark):
     frame = ticks(spark, 1, ("A", "B")).withColumn("price", F.when((F.col("symbol") == "A") & (F.hour("time") == 2), float("nan")).otherwise(F.col("price")))
     assert [r["symbol"] for r in bars.valid_bars(bars.ohlcv(frame)).collect()] == ["B"]
+
+
+def test_bar_states_merge_like_their_ticks(spark):
+    """Random lots with ties, unknown classes and empty lots: merged states give the bars of all ticks."""
+    import random
+
+    from tickloom.operators import bar_states
+
+    rng = random.Random(8)
+    rows = [(START + timedelta(hours=rng.randint(0, 60)), rng.choice("AB"), "X", float(rng.randint(1, 9)), 0.0, 0.0, rng.randint(0, 50), 0.0, 0.0,
+             rng.choice(["stock", "crypto", "unknown"])) for _ in range(400)]
+    schema = schemas.TICK + ", asset_class string"
+    lots = [spark.createDataFrame(rows[i::3] if i < 3 else [], schema) for i in range(4)]
+    for volume in ("sum", "max", "last"):
+        whole = bars.ohlcv(spark.createDataFrame(rows, schema), volume=volume)
+        got = bar_states.bars_of(bar_states.merged(*map(bar_states.bar_states, lots)), volume=volume).select(whole.columns)
+        assert got.count() == whole.count() > 0 and got.exceptAll(whole).isEmpty()
+
+
+def test_asof_join_against_a_plain_search(spark):
+    import random
+
+    from tickloom.operators.asof import asof_join
+
+    rng = random.Random(6)
+    given = [(k, START + timedelta(minutes=rng.randint(0, 5000)), rng.randint(0, 99)) for k in "AB" for _ in range(60)]
+    asked = [(k, START + timedelta(minutes=rng.randint(-500, 6000)), i) for i, k in enumerate("ABC" * 50)] + [("A", START, 900), ("A", START, 900)]
+    left, right = spark.createDataFrame(asked, "k string, t timestamp, i int"), spark.createDataFrame(given, "k string, at timestamp, v int")
+    want = []
+    for k, t, i in asked:
+        early = [(at, v) for key, at, v in given if key == k and at <= t]
+        want.append((k, t, i, *(max(early) if early else (None, None))))
+    for cell in (None, 600, 10**9):
+        got = [tuple(r) for r in asof_join(left, right, ("k",), "t", "at", cell).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    with pytest.raises(ValueError):
+        asof_join(left, right.withColumnRenamed("v", "i"), ("k",), "t", "at")
+
+
+def test_digest_from_the_last_bars_alone(spark, tmp_path):
+    store, full, state, out = (str(tmp_path / name) for name in ("bars", "full", "state", "out"))
+    tables.write_days(bars.ohlcv(ticks(spark, 6)).drop("ticks"), store)
+    jobs.run_digest(spark, store, out, "2024-01-03", state_path=state)
+    jobs.run_digest(spark, store, out, "2024-01-06", state_path=state, since="2024-01-03")
+    for day in ("2024-01-03", "2024-01-06"):
+        jobs.run_digest(spark, store, full, day)
+    one, two = (tables.read_table(spark, path).drop("as_of") for path in (out, full))
+    assert one.count() == two.count() > 0 and one.exceptAll(two).isEmpty()
+    with pytest.raises(ValueError, match="no last bars"):
+        jobs.run_digest(spark, store, out, "2024-01-06", state_path=state, since="2024-01-04")
+
+
+def test_late_lots_of_ticks(spark, tmp_path):
+    states, out = str(tmp_path / "states"), str(tmp_path / "bars")
+    first, late = ticks(spark, 3).filter("hour(time) <> 1"), ticks(spark, 3).filter("hour(time) = 1 and day(time) = 2")
+    for lot, rows in ((1, first), (2, late), (2, late)):
+        jobs.run_bar_lot(spark, rows, states, out, lot)
+    opened = {str(r["event_date"]): (r["open"], r["volume"]) for r in tables.read_table(spark, out).filter("symbol = 'VCB'").collect()}
+    assert opened == {"2024-01-01": (102.0, 20), "2024-01-02": (102.0, 30), "2024-01-03": (104.0, 20)}

@@ -100,12 +100,12 @@ def of_type(envelopes: DataFrame, *event_types: str) -> DataFrame:
     return envelopes.filter(F.col("event_type").isin(*event_types))
 
 
-def classify(envelopes: DataFrame) -> DataFrame:
+def classify(envelopes: DataFrame, extractors: dict[str, Extractor] = EXTRACTORS) -> DataFrame:
     """Add the parsed ``time``, ``status`` (good, dead or ignored) and the dead-letter ``reason``."""
-    known = F.coalesce(F.col("event_type").isin(*EXTRACTORS), F.lit(False))
+    known = F.coalesce(F.col("event_type").isin(*extractors), F.lit(False))
     fault = F.lit(None).cast("string")
     values = {"time": parse_iso(F.col("timestamp"))}
-    for event_type, extractor in EXTRACTORS.items():
+    for event_type, extractor in extractors.items():
         values |= extractor.values()
         fault = F.when(F.col("event_type") == event_type, extractor.fault()).otherwise(fault)
     error = F.col("parse_error")
@@ -114,13 +114,16 @@ def classify(envelopes: DataFrame) -> DataFrame:
     return once(once(envelopes, **values), reason=reason).withColumn("status", status)
 
 
-def ticks_of(classified: DataFrame, event_type: str = fixed.PRICE_SNAPSHOT, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Good rows of one event type as typed ticks plus ``asset_class`` and ``event_date``."""
+def ticks_of(
+    classified: DataFrame, event_type: str = fixed.PRICE_SNAPSHOT, keep: tuple[str, ...] = (),
+    extractors: dict[str, Extractor] = EXTRACTORS,
+) -> DataFrame:
+    """Good rows of one event type as its typed rows plus ``asset_class`` and ``event_date``."""
     good = classified.filter((F.col("status") == GOOD) & (F.col("event_type") == event_type))
     source = F.coalesce("source", F.lit(""))
     return good.select(
         *keep,
-        *EXTRACTORS[event_type].columns(),
+        *extractors[event_type].columns(),
         asset_class_of_source(source).alias("asset_class"),
         utc_date(F.col("time")).alias("event_date"),
     )

@@ -62,6 +62,24 @@ def screen(fundamentals: DataFrame, thresholds: list[dict]) -> DataFrame:
     )
 
 
+def price_windows(ticks: DataFrame, length: str = "5 minutes", slide: str = "1 minute", lateness: str = "10 minutes") -> DataFrame:
+    """Low, high and count of a symbol's ticks in sliding windows.
+
+    Runs on a table or a stream; on a stream ``lateness`` bounds the state.
+    """
+    source = ticks.withWatermark("time", lateness) if ticks.isStreaming else ticks
+    windows = source.groupBy(F.window("time", length, slide).alias("w"), "symbol").agg(
+        F.min("price").alias("low"), F.max("price").alias("high"), F.count(F.lit(1)).alias("ticks")
+    )
+    return windows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", "low", "high", "ticks")
+
+
+def bursts_of(windows: DataFrame, threshold_pct: float = 3.0) -> DataFrame:
+    """Windows whose price range reaches ``threshold_pct`` of the low."""
+    percent = F.when(F.col("low") > 0, (F.col("high") - F.col("low")) / F.col("low") * 100)
+    return windows.withColumn("range_pct", percent).filter(F.col("range_pct") >= threshold_pct)
+
+
 def volatility_bursts(
     ticks: DataFrame,
     length: str = "5 minutes",
@@ -71,21 +89,8 @@ def volatility_bursts(
 ) -> DataFrame:
     """Sliding windows in which a symbol's price range reaches ``threshold_pct`` of its low.
 
-    Runs on a table or a stream; on a stream ``lateness`` bounds the state.
+    In append mode a stream emits a window when the watermark has passed it. Where the open ones count too, feed
+    ``price_windows`` into a keyed table and read ``bursts_of`` it: a window may pass the threshold, and with a lower
+    price that is not positive fail it again.
     """
-    source = ticks.withWatermark("time", lateness) if ticks.isStreaming else ticks
-    windows = source.groupBy(F.window("time", length, slide).alias("w"), "symbol").agg(
-        F.min("price").alias("low"), F.max("price").alias("high"), F.count(F.lit(1)).alias("ticks")
-    )
-    return (
-        windows.select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "symbol",
-            "low",
-            "high",
-            "ticks",
-            F.when(F.col("low") > 0, (F.col("high") - F.col("low")) / F.col("low") * 100).alias("range_pct"),
-        )
-        .filter(F.col("range_pct") >= threshold_pct)
-    )
+    return bursts_of(price_windows(ticks, length, slide, lateness), threshold_pct)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tickloom import fixed_values as fixed
 from tickloom.functions.coerce import utc_date
 from tickloom.operators import calendar, quality
+from tickloom.operators.bar_states import bar_states, bars_of, merged
 from tickloom.operators.bars import as_date, day_filter, ohlcv, valid_bars
 from tickloom.operators.incremental import advance_state, indicator_state, snapshot
 from tickloom.operators.indicators import latest_indicators
@@ -16,6 +17,7 @@ from tickloom.operators.reports import daily_digest, screen
 from tickloom.operators.series import latest_rows
 from tickloom.session import materialise
 from tickloom.sources import tables
+from tickloom.streaming.keyed import BATCH, write_batch
 from tickloom.streaming.landing import dead_letter_sink, tick_sink
 
 
@@ -30,6 +32,20 @@ def run_landing(
     ]
 
 
+def run_bar_lot(spark: SparkSession, ticks: DataFrame, states_path: str, bars_path: str, lot: int, layout: str = "day", **options) -> None:
+    """Add a lot of ticks to the stored bar states, and store the bars of the days that it touches.
+
+    ``lot`` names the arrival lot; a repeated one replaces itself. The ticks of earlier lots are not read again. Bars are
+    stored by day alone, as a late tick may tell a bar's asset class.
+    """
+    states = bar_states(ticks).withColumn("event_date", utc_date(F.col("bar_time")))
+    write_batch(states, lot, states_path, ("event_date",))
+    stored = spark.read.parquet(states_path)
+    days = [row["event_date"] for row in stored.filter(F.col(BATCH) == lot).select("event_date").distinct().collect()]
+    touched = merged(stored.filter(F.col("event_date").isin(days)).drop("event_date", BATCH))
+    tables.write_days(valid_bars(bars_of(touched, **options)).drop("ticks"), bars_path, layout, by=())
+
+
 def run_ohlcv(
     spark: SparkSession, raw_path: str, bars_path: str, first, last=None, layout: str = "day",
     fmt: str = "parquet", gate: bool = False, **options,
@@ -79,13 +95,30 @@ def run_indicators_incremental(
     tables.write_snapshot(snapshot(stored), out_path, as_of)
 
 
-def run_digest(spark: SparkSession, bars_path: str, out_path: str, day, top: int = 3) -> None:
-    """Store the digest of one day, from its bars and each symbol's last bar before it."""
+def run_digest(
+    spark: SparkSession, bars_path: str, out_path: str, day, top: int = 3, state_path: str | None = None, since=None
+) -> None:
+    """Store the digest of one day, from its bars and each symbol's last bar before it.
+
+    With ``state_path`` the last bars are kept there per day: given the day ``since`` of an earlier run, only the bars after it
+    are read, and none before. Without ``since`` the state is built from the history.
+    """
     bars = tables.read_table(spark, bars_path)
-    before = calendar.up_to(bars, as_date(day) - timedelta(days=1))
-    relevant = latest_rows(before, ("symbol",), ties=("exchange",)).unionByName(day_filter(bars, day))
+    first, columns = as_date(day) - timedelta(days=1), ["time", "symbol", "exchange", "close", "volume"]
+    if state_path is not None and since is not None:
+        old = tables.lookup(tables.read_table(spark, state_path), since).select(*columns)
+        if old.isEmpty():
+            raise ValueError(f"no last bars of {since} in {state_path}")
+        recent = tables.read_days(spark, bars_path, as_date(since) + timedelta(days=1), day)
+        known = old.unionByName(recent.select(*columns))
+    else:
+        known = calendar.up_to(bars, day).select(*columns)
+    before = latest_rows(known.filter(utc_date(F.col("time")) <= F.lit(first)), ("symbol",), ties=("exchange",))
+    relevant = before.unionByName(day_filter(bars, day).select(*columns))
     board = daily_digest(relevant, top).filter(utc_date(F.col("time")) == F.lit(as_date(day)))
     tables.write_snapshot(board, out_path, day)
+    if state_path is not None:
+        tables.write_snapshot(latest_rows(relevant, ("symbol",), ties=("exchange",)), state_path, day)
 
 
 def run_screener(spark: SparkSession, fundamentals_path: str, out_path: str, thresholds: list[dict], as_of) -> None:

@@ -243,6 +243,10 @@ SQL = {
         "symbol, exchange, asset_class,\n         arg_min",
         "symbol, exchange, coalesce(min(asset_class) FILTER (asset_class <> 'unknown'), min(asset_class)) AS asset_class,\n         arg_min",
     ),
+    "bars_merged": _bars_query("mixed", having=VALID).replace(
+        "symbol, exchange, asset_class,\n         arg_min",
+        "symbol, exchange, coalesce(min(asset_class) FILTER (asset_class <> 'unknown'), min(asset_class)) AS asset_class,\n         arg_min",
+    ),
     "ohlcv_valid": _bars_query("faulty", having=VALID),
     "ohlcv_backfill": _bars_query(where=IN_BACKFILL),
     "quality_report": QUALITY,
@@ -271,6 +275,18 @@ SQL = {
     "indicator_lookup": _series(
         LOOKUP, "(SELECT * FROM long_bars WHERE \"time\" < TIMESTAMP '1995-07-01') AS early"
     ),
+    "indicators_amended": _series(
+        ALL_INDICATORS + " WHERE n = total",
+        f"""(SELECT * REPLACE (CASE WHEN symbol = '{q.AMENDED[0]}' AND "time" >= TIMESTAMP '{q.AMENDED[1]}' AND day("time") = 6
+            THEN "close" + 1000 ELSE "close" END AS "close") FROM long_bars) AS amended""",
+    ),
+    "indicator_asof": _series(f""",
+        days AS (SELECT unnest([{", ".join(f"DATE '{d}'" for d in q.ASOF_DAYS)}]) AS as_of),
+        snapshots AS (SELECT symbol, as_of, arg_max(rsi14, (\"time\", 1)) AS rsi14, arg_max(sma20, (\"time\", 1)) AS sma20
+            FROM (SELECT r.*, as_of FROM rolled r JOIN days ON \"time\" < as_of + INTERVAL 1 DAY) GROUP BY ALL),
+        asked AS (SELECT DISTINCT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS asked FROM orders)
+        SELECT a.symbol, strftime(asked, '%Y-%m-%d') AS asked, strftime(as_of, '%Y-%m-%d') AS as_of, round(rsi14, 4) AS rsi14, round(sma20, 6) AS sma20
+        FROM asked a ASOF LEFT JOIN snapshots s ON a.symbol = s.symbol AND a.asked >= s.as_of""".replace('\\"', '"')),
     "price_alerts": _hits(SHOW_HITS),
     "price_alerts_many": _hits(
         'SELECT rule_id, symbol, count(*) AS hits, round(max(v), 4) AS largest FROM hits GROUP BY rule_id, symbol', "odd", q.MANY_RULES
@@ -320,6 +336,15 @@ SQL = {
         FROM ticks""",
     "landing_ticks": _sent(LANDED),
     "stream_landing": _sent(LANDED),
+    "stream_dedup": _sent(LANDED),
+    "stream_event_types": _sent("""
+        , landed AS (SELECT 'price.snapshot' AS event_type, symbol FROM sent WHERE event_type <> 'signup' AND reason IS NULL
+          UNION ALL SELECT 'market.rumour', symbol FROM sent WHERE event_type = 'signup')
+        SELECT event_type, symbol, count(*) AS "rows" FROM landed GROUP BY ALL
+        UNION ALL SELECT 'logged ' || event_type, '', count(*) FROM landed GROUP BY ALL"""),
+    "stream_accounting": """
+        SELECT count(*) + count(*) FILTER (event_id % 4 = 0) AS sent, count(*) + count(*) FILTER (event_id % 4 = 0) AS accounted,
+               TRUE AS no_repeats FROM events""",
     "dead_letter_split": _sent(
         EVENT_LETTERS
         + f" UNION ALL SELECT {CHAT_KEY}, 'malformed json', 'unknown' FROM conversations"
@@ -339,6 +364,10 @@ SQL = {
     "landed_day_scan": f"""
         WITH {EVENT} SELECT asset_class, symbol, count(*) AS "rows", count(DISTINCT CAST("time" AS DATE)) AS days
         FROM ticks WHERE {IN_BACKFILL} GROUP BY ALL""",
+    "avro_scan": f"""
+        WITH {EVENT} SELECT event_id, {INSTANT.format('"time"')} AS tick_time, symbol, exchange, round(price, 4) AS price,
+          round(change, 4) AS change, round(pct_change, 4) AS pct_change, round(bid, 4) AS bid, round(ask, 4) AS ask, volume,
+          source, asset_class, {DAY.format('"time"')} AS event_date FROM ticks""",
     "ohlcv_rerun": _bars_query(),
     "explicit_schema_write": _bars_query(),
     "partition_calendar": """
@@ -371,10 +400,11 @@ SQL = {
         SELECT symbol, round(pe, 4) AS pe, round(de, 4) AS de, round(eps, 6) AS eps FROM f
         WHERE pe <= 12 AND de >= 0.5 AND eps > 350""",
     "volatility_burst": f"WITH {EVENT}, {BURSTS}",
-    "stream_volatility": f"WITH {EVENT}, {BURSTS} AND s + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
+    "stream_volatility": f"WITH {EVENT}, {BURSTS}",
     "stream_alerts": _hits(
         f'SELECT "key", rule_id, symbol, round(v, 4) AS matched_value, {ALERT_LINE} FROM hits', "snapshots", extra=", " + SENT
     ),
     "alert_cooldown": _hits(COOLDOWN),
     "stream_cooldown": _hits(COOLDOWN),
+    "stream_ordered_cooldown": _hits(COOLDOWN),
 }

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickloom import fixed_values as fixed, schemas
 from tickloom.functions import coerce
 from tickloom.operators import alerts, bars, calendar, envelope, extract, incremental, indicators, quality, reports
+from tickloom.operators.asof import asof_join
 from tickloom.operators.cooldown import cooldown
 from tickloom.operators.series import latest_rows
 from tickloom.plans import jobs, views
 from tickloom.session import materialise, scratch_path
-from tickloom.sources import messages as topics, tables
-from tickloom.streaming import alerts as alert_stream, landing
+from tickloom.sources import avro, messages as topics, tables
+from tickloom.streaming import alerts as alert_stream, keyed, landing, progress
 
 SCREEN = [
     {"field": "pe", "operator": "<=", "threshold": 12.0},
@@ -81,6 +82,15 @@ def ohlcv_backfill(spark, sf_dir):
     return _bars(bars.ohlcv(views.ticks(spark, sf_dir, *BACKFILL)))
 
 
+def bars_merged(spark, sf_dir):
+    """Bars from ticks that arrive in three lots, which share every day; the last lot comes twice."""
+    states, out = scratch_path(spark, "bar-states"), scratch_path(spark, "bars")
+    ticks = views.mixed_ticks(spark, sf_dir)
+    for lot in (0, 1, 2, 2):
+        jobs.run_bar_lot(spark, ticks.filter(F.col("event_id") % 3 == lot), states, out, lot)
+    return _bars(tables.read_table(spark, out))
+
+
 def quality_report(spark, sf_dir):
     return quality.quality_report(bars.ohlcv(views.faulty_ticks(spark, sf_dir), fault_counts=True))
 
@@ -177,6 +187,40 @@ def indicator_lookup(spark, sf_dir):
     return _series(found, *rounded(4, "rsi14"), *rounded(6, "sma20"), F.date_format("as_of", "yyyy-MM-dd").alias("as_of"))
 
 
+AMENDED = ("1-URGENT", "1993-04-06")
+
+
+def indicators_amended(spark, sf_dir):
+    """Past closes of one symbol are raised: its states are replayed from the ladder, all others kept."""
+    series = views.long_bars(spark, sf_dir)
+    ladder = None
+    for as_of in ("1992-12-31", "1994-12-31", "2001-12-31"):
+        state = incremental.indicator_state(calendar.up_to(series, as_of)).withColumn("as_of", F.lit(as_of).cast("date"))
+        ladder = state if ladder is None else ladder.unionByName(state)
+    symbol, first = AMENDED
+    late = (F.col("symbol") == symbol) & (F.col("time") >= F.lit(first).cast("timestamp")) & (F.dayofmonth("time") == 6)
+    amended = series.withColumn("close", F.when(late, F.col("close") + 1000).otherwise(F.col("close")))
+    changes = series.filter(late).groupBy("symbol").agg(F.min("time").alias("changed_from"))
+    state = incremental.replayed_state(materialise(ladder, "ladder"), amended, changes)
+    return _all_indicators(incremental.snapshot(state))
+
+
+ASOF_DAYS = ("1993-06-30", "1994-06-30", "1996-01-31", "1997-05-31")
+
+
+def indicator_asof(spark, sf_dir):
+    """For every (symbol, day) with an order the newest indicator snapshot at or before that day."""
+    source, out = scratch_path(spark, "bars"), scratch_path(spark, "indicators")
+    views.long_bars(spark, sf_dir).withColumn("event_date", F.to_date("time")).write.parquet(source)
+    for as_of in ASOF_DAYS:
+        jobs.run_indicators(spark, source, out, as_of)
+    snapshots = tables.read_table(spark, out).select("symbol", "as_of", "rsi14", "sma20")
+    orders = views.table(spark, sf_dir, "orders")
+    asked = orders.select(F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("asked")).distinct()
+    found = asof_join(asked, snapshots, ("symbol",), "asked", "as_of")
+    return found.select("symbol", *[F.date_format(name, "yyyy-MM-dd").alias(name) for name in ("asked", "as_of")], *rounded(4, "rsi14"), *rounded(6, "sma20"))
+
+
 # ---- alerts -----------------------------------------------------------------------------
 
 HIT = ["event_id", "symbol", "rule_id", "message", "matched_field"]
@@ -323,6 +367,16 @@ def landed_day_scan(spark, sf_dir):
     )
 
 
+def avro_scan(spark, sf_dir):
+    """All ticks written as Avro files by asset class and day, and read back."""
+    path = scratch_path(spark, "raw-avro")
+    tables.write_days(views.classed_ticks(spark, sf_dir), path, fmt=avro.FORMAT)
+    back = tables.read_table(spark, path, fmt=avro.FORMAT)
+    doubles = rounded(4, *fixed.PAYLOAD_DOUBLES)
+    return back.select("event_id", instant().alias("tick_time"), "symbol", "exchange", *doubles, "volume", "source", "asset_class",
+                       F.date_format("event_date", "yyyy-MM-dd").alias("event_date"))
+
+
 def ohlcv_rerun(spark, sf_dir):
     """The daily job over all days and again over some of them, in the year/month/day layout."""
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "bars")
@@ -406,21 +460,71 @@ def volatility_burst(spark, sf_dir):
 # ---- streams ----------------------------------------------------------------------------
 
 
+def _landed(spark, sf_dir, source=None, **options):
+    """Run the landing query over what is available; the folder of its tables, letters and log."""
+    folder = scratch_path(spark, "landing")
+    source = views.streamed_messages(spark, sf_dir) if source is None else source
+    landing.land(source, f"{folder}/raw", f"{folder}/letters", f"{folder}/log", f"{folder}/checkpoint", None, keep=("key",), **options).start().awaitTermination()
+    return folder
+
+
 def stream_landing(spark, sf_dir):
-    path, checkpoint = scratch_path(spark, "stream-raw"), scratch_path(spark, "checkpoint")
-    source = views.streamed_messages(spark, sf_dir)
-    landing.tick_sink(source, path, checkpoint, None, keep=("key",)).start().awaitTermination()
-    return _ticks(tables.read_table(spark, path))
+    return _ticks(landing.landed(spark, f"{_landed(spark, sf_dir)}/raw"))
 
 
 def stream_dead_letters(spark, sf_dir):
-    path, checkpoint = scratch_path(spark, "stream-letters"), scratch_path(spark, "checkpoint")
-    source = views.streamed_messages(spark, sf_dir)
-    landing.dead_letter_sink(source, path, checkpoint, None, keep=("key",)).start().awaitTermination()
-    stored = spark.read.schema(f"key string, {schemas.DEAD_LETTER}").json(path)
+    folder = _landed(spark, sf_dir)
+    stored = spark.read.schema(f"key string, {schemas.DEAD_LETTER}, {keyed.BATCH} bigint").json(f"{folder}/letters")
     return stored.select("key", "reason", "event_type")
 
 
+RUMOUR = "market.rumour"
+RUMOUR_EXTRACTOR = extract.Extractor(
+    dict, lambda: F.when(F.col("time").isNull(), F.lit("bad timestamp")), lambda: [F.col("time"), F.col("symbol"), F.col("source")]
+)
+
+
+def stream_event_types(spark, sf_dir):
+    """Two registered event types, each landed in its own table, and the log of what was landed."""
+    folder = _landed(spark, sf_dir, extractors={**extract.EXTRACTORS, RUMOUR: RUMOUR_EXTRACTOR})
+    tables_ = [landing.landed(spark, f"{folder}/raw", name).select(F.lit(name).alias("event_type"), "symbol") for name in (fixed.PRICE_SNAPSHOT, RUMOUR)]
+    rows = tables_[0].unionByName(tables_[1]).groupBy("event_type", "symbol").agg(F.count(F.lit(1)).alias("rows"))
+    logged = landing.landing_log(spark, f"{folder}/log").filter("status = 'good'")
+    return rows.unionByName(logged.select(F.concat(F.lit("logged "), "event_type").alias("event_type"), F.lit("").alias("symbol"), "rows"))
+
+
+LOTS = 6
+
+
+def _in_lots(rows: DataFrame, name: str) -> DataFrame:
+    """A table as a stream of ``LOTS`` micro-batches, its rows dealt out by a hash and so in no order of time."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, name)
+    for lot in range(LOTS):
+        rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(LOTS)) == lot).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def stream_dedup(spark, sf_dir):
+    """Every message delivered twice; repeats of a tick are dropped within the watermark."""
+    source = views.streamed_messages(spark, sf_dir)
+    ticks = extract.ticks_of(landing.classified(source.unionByName(views.streamed_messages(spark, sf_dir))), keep=("key",))
+    return _ticks(_stored_stream(landing.distinct_ticks(ticks, ("key", *landing.IDENTITY)), "stream-distinct"))
+
+
+def stream_accounting(spark, sf_dir):
+    """Ticks in shuffled lots, some delivered twice: kept, late and repeated ones add up to what was sent."""
+    ticks = views.ticks(spark, sf_dir)
+    source = _in_lots(ticks.unionByName(ticks.filter("event_id % 4 = 0")), "lots")
+    path = scratch_path(spark, "kept")
+    kept = landing.distinct_ticks(source, ("event_id", *landing.IDENTITY), "2 days")
+    query = kept.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    counted = progress.table_of(spark, query).agg(F.sum("rows").alias("sent"), F.sum(F.col("late") + F.col("duplicates")).alias("left_out"))
+    stored = spark.read.schema(kept.schema).parquet(path).agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("event_id").alias("distinct_kept"))
+    both = counted.withColumn("one", F.lit(1)).join(stored.withColumn("one", F.lit(1)), "one")
+    return both.select("sent", (F.col("left_out") + F.col("kept")).alias("accounted"), (F.col("kept") == F.col("distinct_kept")).alias("no_repeats"))
+
+
 def _stored_stream(df: DataFrame, name: str) -> DataFrame:
     """Run a stream over the available files into a Parquet table and read that."""
     spark = df.sparkSession
@@ -449,24 +553,54 @@ def stream_cooldown(spark, sf_dir):
     return _cooled(kept)
 
 
+def stream_ordered_cooldown(spark, sf_dir):
+    """Alerts in shuffled lots through the cooldown that holds them until the watermark; an end mark lets the last ones out."""
+    alert_stream.use_rocksdb(spark)
+    try:
+        hits = alerts.evaluate_rules(views.ticks(spark, sf_dir).select(*views.TICK_FIELDS), alerts.rules_table(spark))
+        end = hits.agg(*[F.max(name).alias(name) if name == "time" else F.lit(None).cast(kind).alias(name) for name, kind in hits.dtypes])
+        end = end.withColumns({"time": F.col("time") + F.expr("interval 1000 days"), "event_id": F.lit(-1).cast("bigint"), "symbol": F.lit(""), "rule_id": F.lit(-1)})
+        source = _in_lots(hits, "alert-lots")
+        path = scratch_path(spark, "end")
+        kept = alert_stream.with_ordered_cooldown(_with_end(source, end, path), COOLDOWN_MINUTES, lateness="400 days")
+        return _cooled(_stored_stream(kept, "stream-ordered").filter("rule_id > 0"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def _with_end(source: DataFrame, end: DataFrame, path: str) -> DataFrame:
+    """A stream with one more file behind its own, read in micro-batches of one file from each side."""
+    spark = source.sparkSession
+    # As many files as the other side has, so that the mark comes in the last micro-batch.
+    for lot in range(LOTS + 1):
+        end.filter(F.lit(lot == LOTS)).coalesce(1).write.mode("append").parquet(path)
+    return source.unionByName(spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(path))
+
+
 def stream_volatility(spark, sf_dir):
+    """Windows kept in a keyed table, so that those still open at the end count too."""
     ticks = views.quoted(views.instruments(views.streamed_events(spark, sf_dir)))
-    return _bursts(_stored_stream(reports.volatility_bursts(ticks, **BURST), "stream-bursts"))
+    windows = reports.price_windows(ticks, BURST["length"], BURST["slide"])
+    path, checkpoint = scratch_path(spark, "windows"), scratch_path(spark, "checkpoint")
+    keyed.keyed_sink(windows, path, checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stored = keyed.newest(spark, path, windows.schema, ("window_start", "symbol"))
+    return _bursts(reports.bursts_of(stored, BURST["threshold_pct"]))
 
 
 QUERIES = {
     query.__name__: query
     for query in [
-        ohlcv_daily, ohlcv_unique_times, ohlcv_landed_class, ohlcv_valid, ohlcv_backfill, quality_report,
+        ohlcv_daily, ohlcv_unique_times, ohlcv_landed_class, ohlcv_valid, ohlcv_backfill, bars_merged, quality_report,
         rows_per_symbol, asset_classes,
         sma, bollinger, rsi14, prev_close_gain_loss, macd_series, indicators_full,
-        indicators_latest, macd_latest, latest_bar, indicators_incremental, indicator_lookup,
+        indicators_latest, macd_latest, latest_bar, indicators_incremental, indicators_amended, indicator_lookup, indicator_asof,
         price_alerts, price_alerts_many, rules_from_file, alerts_text, alert_cooldown, rule_validation,
         normalise_stock, normalise_crypto, envelope_roundtrip, coerced_values, landing_ticks, dead_letter_split,
         event_routing, multi_topic_union,
-        landed_day_scan, ohlcv_rerun, explicit_schema_write,
+        landed_day_scan, avro_scan, ohlcv_rerun, explicit_schema_write,
         partition_calendar, gap_report, freshness, retention_filter, look_back,
         digest_topk, screener, volatility_burst,
-        stream_landing, stream_dead_letters, stream_alerts, stream_cooldown, stream_volatility,
+        stream_landing, stream_dead_letters, stream_event_types, stream_dedup, stream_accounting, stream_alerts,
+        stream_cooldown, stream_ordered_cooldown, stream_volatility,
     ]
 }

@@ -21,17 +21,27 @@ def subscribe(
     topics: list[str] | None = None,
     starting: str = "earliest",
     max_rows: int | None = None,
+    min_rows: int | None = fixed.LANDING_ROWS,
+    max_delay: str = fixed.LANDING_INTERVAL,
 ) -> DataFrame:
-    """Stream ``key, value`` texts of several topics; offsets live in the query's checkpoint."""
+    """Stream ``key, value`` texts of several topics; offsets live in the query's checkpoint.
+
+    A micro-batch starts once ``min_rows`` messages wait or ``max_delay`` has passed; run the query without a trigger
+    interval then. ``max_rows`` bounds a micro-batch.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics or fixed.TOPICS))
         .option("startingOffsets", starting)
     )
-    if max_rows:
-        reader = reader.option("maxOffsetsPerTrigger", max_rows)
-    return texts(reader.load())
+    return texts(reader.options(**batch_bounds(max_rows, min_rows, max_delay)).load())
+
+
+def batch_bounds(max_rows: int | None, min_rows: int | None, max_delay: str) -> dict[str, str]:
+    """Options of the broker source for when a micro-batch starts and how large it may be."""
+    least = {"minOffsetsPerTrigger": str(min_rows), "maxTriggerDelay": max_delay.replace(" seconds", "s")} if min_rows else {}
+    return {**least, **({"maxOffsetsPerTrigger": str(max_rows)} if max_rows else {})}
 
 
 def texts(messages: DataFrame) -> DataFrame:

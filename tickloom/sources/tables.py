@@ -1,7 +1,7 @@
 """Stored tables: partitioned layouts, idempotent day writes, pruned reads.
 
-``fmt`` is any Spark file format. Raw ticks default to Parquet; pass ``"avro"`` where the
-spark-avro module is on the class path.
+``fmt`` is any Spark file format, or ``avro.FORMAT`` for Avro files without a module. Raw ticks default to Parquet; pass
+``"avro"`` where the spark-avro module is on the class path.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.functions.coerce import date_parts, utc_date
 from tickloom.operators.bars import as_date, day_filter
 from tickloom.session import materialise
+from tickloom.sources import avro
 
 DAY_LAYOUT = ("event_date",)
 YMD_LAYOUT = ("year", "month", "day")
@@ -42,10 +43,12 @@ def write_days(
     partitions = [*[name for name in by if name in df.columns], *LAYOUTS[layout]]
     laid = with_layout(df, layout, time)
     order = [*partitions, *[name for name in sort if name in laid.columns]]
+    dealt = laid.hint("rebalance", *partitions).sortWithinPartitions(*order)
+    if fmt == avro.FORMAT:
+        avro.write(dealt, path, tuple(partitions), overwrite=True)
+        return
     (
-        laid.hint("rebalance", *partitions)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .format(fmt)
@@ -66,6 +69,8 @@ def compact_days(spark: SparkSession, path: str, first, last=None, layout: str =
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a partitioned table; with a ``schema`` nothing is inferred from files."""
+    if fmt == avro.FORMAT:
+        return avro.read(spark, path, schema)
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema else reader).load(path)
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom import fixed_values as fixed
@@ -81,3 +83,75 @@ def with_cooldown(
     return alerts.groupBy(*keys).applyInPandasWithState(
         keep, alerts.schema, "last_us bigint", "append", GroupStateTimeout.EventTimeTimeout
     )
+
+
+class _HeldCooldown(StatefulProcessor):
+    """Holds a key's alerts until the watermark has passed them, then takes them in the order of time."""
+
+    def __init__(self, wait_us: int, columns: list[str]) -> None:
+        self.wait_us, self.columns = wait_us, columns
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", "us bigint, row binary")
+        self.last = handle.getValueState("last", "us bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        newest, added = None, []
+        for frame in rows:
+            stamps = frame["time"].to_numpy("datetime64[us]").view("int64").tolist()
+            for us, row in zip(stamps, frame[self.columns].itertuples(index=False, name=None), strict=True):
+                added.append((us, pickle.dumps(row)))
+            newest = max(stamps) if newest is None else max(newest, *stamps)
+        if added:
+            self.held.appendList(added)
+            # Fires once nothing earlier can come any more.
+            self.handle.registerTimer(max(newest // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(self.held.get(), key=lambda r: r[0]) if self.held.exists() else []
+        due, rest = [r for r in rows if r[0] < watermark_us], [r for r in rows if r[0] >= watermark_us]
+        last = self.last.get()[0] if self.last.exists() else None
+        kept = []
+        for us, row in due:
+            # Alerts of one instant are kept together.
+            if last is None or us >= last + self.wait_us or us == last and kept and kept[-1][0] == us:
+                last = us
+                kept.append((us, row))
+        self.held.put(rest) if rest else self.held.clear()
+        if last is not None and last + self.wait_us > watermark_us:
+            self.last.update((last,))
+            self.handle.registerTimer((last + self.wait_us) // 1000 + 1)
+        elif self.last.exists():
+            self.last.clear()
+        if kept:
+            yield pd.DataFrame([pickle.loads(bytes(row)) for _, row in kept], columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def with_ordered_cooldown(
+    alerts: DataFrame, minutes: float, keys: tuple[str, ...] = ("symbol", "rule_id"), lateness: str = "10 minutes"
+) -> DataFrame:
+    """``with_cooldown`` whatever the order of arrival: the result is that of the table, as late as ``lateness``.
+
+    Alerts wait in the state until the watermark has passed them; state holds the alerts of that span and one time per
+    key, and goes once the cooldown is over. Needs the RocksDB state store (``use_rocksdb``). What waits at the end of a
+    bounded run comes out when a later alert of any key (``end_mark``) moves the watermark on.
+    """
+    if minutes <= 0:
+        raise ValueError("a cooldown takes more than 0 minutes")
+    names = list(alerts.columns)
+    return alerts.withWatermark("time", lateness).groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_HeldCooldown(int(minutes * 60_000_000), names), outputStructType=alerts.schema, outputMode="Append", timeMode="EventTime"
+    )
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark) -> None:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
