@@ -6,10 +6,11 @@ one's least value, of which 16 bits are kept. Two signatures agree in about the
 
 Classes: `BANDS` bands of the signature are joined in Spark. Within a band's bucket every text is compared with the
 bucket's first one, by the exact Jaccard similarity of the shingle sets, so a family of copies costs one comparison for
-each and not one for each pair. In buckets where such a comparison failed, the texts of different classes so far are
-compared by their signatures in blocks, and the pairs that come near the threshold are verified too. Classes are the
-connected components of verified pairs. A pair at the threshold shares a band with probability 0.9996; the bound for the
-signatures lies 3.5 standard deviations below it.
+each and not one for each pair. In buckets that hold several classes after that, the texts of different classes are
+compared by their signatures in blocks; pairs that come near the threshold, and share no earlier band, are verified at once,
+nearest first, unless links found so far join them already. So a cell emits a forest, and never more links than it has texts.
+Classes are the connected components of verified pairs. A pair at the threshold shares a band with probability 0.9996; the
+bound for the signatures lies 3.5 standard deviations below it.
 
 The neighbour of a document in the order of ids is found without one task for all: ids are cut into ranges at
 quantiles that are ids themselves, and a range's first document is sent to the range before it as well. Texts are
@@ -26,7 +27,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +45,13 @@ NEAR = 0.66
 SENT_ROWS = 100_000
 #: Texts that a task remembers, so as to sign equal ones once.
 SEEN_KEYS = 1_000_000
-#: Texts of a bucket that one task compares with as many others.
-BLOCK = 4096
-SALTS = 16
+#: Texts of a bucket, and bytes of them, that one task compares with as many others.
+BLOCK = 2048
+BLOCK_BYTES = 16 << 20
+#: Texts that a bucket's first one is compared with in one task.
+FAMILY = 2048
+#: Ranges of ids at most, whose bounds every task knows.
+MOST_RANGES = 1 << 16
 #: Bytes of text that are hashed at a time.
 TEXT_BYTES = 1 << 19
 
@@ -158,16 +162,11 @@ def _signed(docs: DataFrame, text: str) -> DataFrame:
 def _banded(signed: DataFrame) -> DataFrame:
     size = 2 * ROWS
     bands = F.array(*[F.xxhash64(F.substring("sig", 1 + i * size, size), F.lit(i)) for i in range(BANDS)])
-    return signed.select("key", F.explode(bands).alias("band"))
+    return signed.select("key", F.posexplode(bands).alias("place", "band"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
-    """(a, b, near): each pair with whether the exact similarity of its texts reaches the threshold.
-
-    A text is sent once for each pair it is second in, and its first once for each salt, not for each pair.
-    """
-    pairs = checkpointed(pairs)
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+def _texts(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(key, t, bytes): the compressed texts of the given keys, each once unless rows repeat an id and its text."""
     # Of equal texts the document of the least id is read.
     ids = docs.select(_key(text), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("least"))
     keys = checkpointed(keys.join(ids, "key"))
@@ -177,12 +176,23 @@ def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, thresho
     wanted = rows.join(F.broadcast(keys) if few else keys, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("least")), "left_semi").select("key", "t")
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([_packed(t) for t in batch.column(1).to_pylist()], pa.binary())], names=["key", "t"])
+        texts = batch.column(1).to_pylist()
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([_packed(t) for t in texts], pa.binary()), pa.array([len(t) for t in texts], pa.int64())], names=["key", "t", "bytes"])
+
+    return checkpointed(map_batches(wanted, pack, "key long, t binary, bytes long"))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
+    """(a, b, near): each pair with whether the exact similarity of its texts reaches the threshold.
 
-    texts = checkpointed(map_batches(wanted, pack, "key long, t binary"))
-    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
-    second = pairs.withColumn("salt", salt).join(texts.withColumnRenamed("key", "b"), "b").select("a", "salt", "b", "t")
-    first = pairs.select("a", salt.alias("salt")).distinct().join(texts.withColumnRenamed("key", "a"), "a")
+    A text is sent once for each pair it is second in, and its first once for each `FAMILY` of its pairs.
+    """
+    pairs = checkpointed(pairs)
+    texts = _texts(docs, pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), doc_id, text).drop("bytes")
+    salts = pairs.groupBy("a").agg(F.expr(f"count(*) div {FAMILY} + 1").alias("salts"))
+    pairs = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b")
+    second = pairs.join(texts.withColumnRenamed("key", "b"), "b").select("a", "salt", "b", "t")
+    first = pairs.select("a", "salt").distinct().join(texts.withColumnRenamed("key", "a"), "a")
     rows = first.select("a", "salt", F.lit(None).cast("long").alias("b"), "t").unionByName(second)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,34 +214,70 @@ def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, thresho
     return checkpointed(dealt.mapInArrow(over, "a long, b long, near boolean").distinct())
 
 
-def _across(signed: DataFrame, banded: DataFrame, reps: DataFrame, tested: DataFrame, threshold_near: float) -> DataFrame:
-    """Pairs of different classes in buckets with a failed comparison, whose signatures come near the threshold."""
+class _Labels:
+    """Which texts of a cell are linked: one label for each linked set."""
+
+    def __init__(self, kinds: np.ndarray) -> None:
+        _, self.of = np.unique(kinds, return_inverse=True)
+
+    def link(self, i: int, j: int) -> None:
+        self.of[self.of == self.of[j]] = self.of[i]
+
+
+def _forest(keys: np.ndarray, kinds: np.ndarray, sigs: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, alone: bool, band: int, threshold: float, near: float) -> list[tuple[int, int]]:
+    """Links that connect all texts of different classes that are similar, of the pairs of one cell.
+
+    Pairs that share an earlier band meet there.
+    """
+    labels, out = _Labels(kinds), []
+    for i in range(len(keys)):
+        # The signature agrees in enough places, and no band before this one agrees whole.
+        other = np.flatnonzero((labels.of != labels.of[i]) & (keys > keys[i]) & (alone | (sides != sides[i])))
+        equal = sigs[other] == sigs[i]
+        likeness_ = equal.mean(1)
+        earlier = equal.reshape(len(other), BANDS, ROWS).all(2)[:, :band].any(1)
+        good = (likeness_ >= near) & ~earlier
+        other = other[good][np.argsort(-likeness_[good], kind="stable")]
+        for j in other.tolist():
+            if labels.of[i] != labels.of[j] and jaccard(sets[i], sets[j]) >= threshold:
+                labels.link(i, j)
+                out.append((int(keys[i]), int(keys[j])))
+    return out
+
+
+def _across(docs: DataFrame, signed: DataFrame, banded: DataFrame, reps: DataFrame, tested: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
+    """Verified links between different classes that share a bucket with a failed comparison."""
     failed = tested.where("not near").select(F.col("a").alias("rep"), F.col("b").alias("key"))
     bands = checkpointed(reps.join(failed, ["rep", "key"], "left_semi").select("band").distinct())
-    classes = components(tested.where("near").select("a", "b"))
-    members = reps.join(bands, "band", "left_semi").select("band", "key").union(reps.join(bands, "band", "left_semi").select("band", F.col("rep").alias("key"))).distinct()
-    members = members.join(classes, members["key"] == classes["node"], "left").select("band", "key", F.coalesce("root", "key").alias("class"))
-    members = members.join(signed.join(members.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "key")
-    size = members.groupBy("band").agg(F.expr(f"count(*) div {BLOCK} + 1").alias("blocks"))
+    found = components(tested.where("near").select("a", "b"))
+    members = banded.join(bands, "band", "left_semi").distinct()
+    members = members.join(found, members["key"] == found["node"], "left").select("place", "band", "key", F.coalesce("root", "key").alias("class"))
+    members = checkpointed(members)
+    # Most of these buckets hold one class by now, linked by other bands.
+    mixed = members.groupBy("band").agg(F.min("class").alias("one"), F.max("class").alias("two"), F.count("*").alias("n")).where("one <> two")
+    members = checkpointed(members.join(mixed.select("band"), "band", "left_semi"))
+    keys = members.select("key").distinct()
+    sigs = signed.join(keys, "key", "left_semi").groupBy("key").agg(F.first("sig").alias("sig"))
+    texts = _texts(docs, keys, doc_id, text).groupBy("key").agg(F.first("t").alias("t"), F.first("bytes").alias("bytes"))
+    members = members.join(sigs, "key").join(texts, "key")
+    size = members.groupBy("band").agg(F.expr(f"greatest(count(*) div {BLOCK}, sum(bytes) div {BLOCK_BYTES}) + 1").alias("blocks"))
     cells = members.join(size, "band").withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cells = cells.select("band", "key", "class", "sig", "own", other.alias("other"))
     # Each two blocks meet once, in the cell of the lesser and the greater.
-    cells = cells.select("band", "key", "class", "sig", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    cells = cells.select("place", "band", "key", "class", "sig", "t", "own", other)
+    cells = cells.select("place", "band", "key", "class", "sig", "t", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sig = np.stack([np.frombuffer(s, "<u2") for s in rows["sig"]])
-        keys, kinds, own = rows["key"].to_numpy(), rows["class"].to_numpy(), rows["own"].to_numpy()
-        alone = rows["low"].iloc[0] == rows["high"].iloc[0]
-        out_a, out_b = [], []
-        for i in range(len(rows)):
-            rest = np.flatnonzero((kinds != kinds[i]) & (keys > keys[i]) & (alone | (own != own[i])))
-            close = rest[(sig[rest] == sig[i]).mean(1) >= threshold_near]
-            out_a += [keys[i]] * len(close)
-            out_b += keys[close].tolist()
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        column = lambda name: rows.column(name).combine_chunks()
+        sig = np.stack([np.frombuffer(s, "<u2") for s in column("sig").to_pylist()])
+        keys, kinds, own = (column(name).to_numpy() for name in ("key", "class", "own"))
+        sets = list(_sets_of_packed(column("t")))
+        alone = column("low")[0].as_py() == column("high")[0].as_py()
+        links = _forest(keys, kinds, sig, sets, own, alone, column("place")[0].as_py(), threshold, NEAR)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return cells.groupBy("band", "low", "high").applyInPandas(compare, "a long, b long").distinct()
+    return cells.groupBy("band", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -239,13 +285,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     signed = _signed(docs, text)
     banded = _banded(signed)
     least = banded.groupBy("band").agg(F.min("key").alias("rep"), F.max("key").alias("top")).where("rep < top").select("band", "rep")
-    reps = checkpointed(banded.join(least, "band").where("key <> rep"))
+    reps = checkpointed(banded.join(least, "band").where("key <> rep").select("band", "rep", "key"))
     tested = _verified(docs, reps.select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct(), doc_id, text, threshold)
     near = tested.where("near").select("a", "b")
     if tested.where("not near").limit(1).count():
-        more = _across(signed, banded, reps, tested, NEAR)
-        done = tested.select("a", "b")
-        near = near.union(_verified(docs, more.join(done, ["a", "b"], "left_anti"), doc_id, text, threshold).where("near").select("a", "b"))
+        near = near.union(_across(docs, signed, banded, reps, tested, doc_id, text, threshold))
     return checkpointed(components(near).select(F.col("node").alias("key"), F.col("root").alias("class")))
 
 
@@ -258,7 +302,7 @@ def _ranges(docs: DataFrame, doc_id: str) -> list[int]:
     n, largest = ids.agg(F.count("*"), F.max("i")).first()
     if not n:
         return []
-    parts = int(min(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // 5000), 4096))
+    parts = int(min(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // 5000), MOST_RANGES))
     at = [i / parts for i in range(1, parts)]
     # approxQuantile works on doubles; percentile_approx keeps whole numbers and gives values that occur.
     cuts = ids.agg(F.percentile_approx("i", F.array(*map(F.lit, at)), 20 * parts)).first()[0] if at else []
