@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tickloom.llm import bpe, manifest, minhash, packing, page_text, repetition, whitening
+from tickloom.llm import bpe, hostrank, licenses, line_templates, manifest, minhash, packing, page_text, repetition, simhash, whitening
 from tickloom.llm.common import SpanHash, table_of
 from tickloom.llm.queries import TOKENIZER
 
@@ -329,3 +329,81 @@ def test_ids_of_random_unicode(spark):
     near = [c for c in range(0x250, 0x2000)]
     texts += ["".join(rng.choice(["a", " ", ".", "'s", "É", chr(rng.choice(near)), chr(rng.choice(near))]) for _ in range(8)) for _ in range(70_000)]
     check_ids(spark, texts)
+
+
+# ---- licenses wrapped over lines, against the SQL; names that clash; host ranks
+
+
+def test_wrapped_licenses_equal_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    rng, rows = random.Random(9), []
+    for label, sentence in licenses.TEMPLATES.items():
+        words = sentence.split()
+        for drop in range(4):
+            kept = [w for i, w in enumerate(words) if i not in rng.sample(range(len(words)), drop)]
+            for _ in range(rng.randint(0, 3)):
+                kept.insert(rng.randint(0, len(kept)), rng.choice(["the", "of", "x", "license"]))
+            text = "".join(w + rng.choice([" ", "\n", " ", ", "]) for w in kept)
+            rows.append((len(rows), f"{'the of to in ' * rng.randint(0, 3)}{text} and {text if drop == 1 else ''} of the"))
+    documents = pd.DataFrame([*rows, (900, None), (901, "")], columns=["doc_id", "text"])  # noqa: F841
+    want = duckdb.sql(licenses.oracle()).df()
+    got = licenses.report(spark.createDataFrame([*rows, (900, None), (901, "")], "doc_id long, text string")).toPandas()
+    plain = lambda d: sorted(map(str, d[sorted(d.columns)].astype(object).where(d.notna(), None).to_numpy().tolist()))
+    number = {"first_word": "float", "last_word": "float", "doc_id": "int", "n_words": "int", "n_base": "int"}
+    assert plain(got.astype(number)) == plain(want[got.columns].astype(number))
+    assert got["labels"].str.contains("mit").any() and (got["score"] < 0.95).any()
+
+
+def test_helper_names_never_clash(spark):
+    """Input columns named like every helper; values and order of columns come back."""
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    own = ["", "ant hill", "brown bear", "cold water stream", "dry"]
+    names = ["_id", "_th", "_places", "_lines", "_cuts", "id", "th", "row", "places", "lines", "cuts", "of_id", "of_th", "of_text", "_hash", "_text", "_print", "n_dropped"]
+    rows = [(i, f"{text}\n{own[i]}", *[f"{n}{i}" for n in names]) for i in (1, 2, 3, 4)] + [(4, f"{text}\n{own[4]}", *[f"{n}4" for n in names])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = {r["doc_id"]: r for r in line_templates.dedup(docs).collect()}
+    assert [kept[i]["text"] for i in (1, 2)] == [f"{text}\n{own[1]}", own[2]] and kept[3]["_id"] == "_id3" and kept[3]["n_dropped"] == 1
+    one = simhash.keep_one(docs).collect()
+    assert len(one) == len({r["doc_id"] for r in one}) and 1 in {r["doc_id"] for r in one}
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in one for n in names) and simhash.keep_one(docs).columns == docs.columns
+    pages = spark.createDataFrame([(1, "http://a.org/x", "", "p", "q", "r")], "page_id long, url string, html string, _by_host string, by_host string, found string")
+    judged = hostrank.judge(pages).first()
+    assert (judged["_by_host"], judged["by_host"], judged["found"], judged["verdict"]) == ("p", "q", "r", "allow")
+
+
+def converged(edges, seeds, n, damping=0.85, rounds=600):
+    out = [{} for _ in range(n)]
+    for (a, b), w in edges.items():
+        out[a][b] = w
+    score = list(seeds)
+    for _ in range(rounds):
+        new = [(1 - damping) * s for s in seeds]
+        for a in range(n):
+            total = sum(out[a].values())
+            for b, w in out[a].items():
+                new[b] += damping * score[a] * w / total
+        score = new
+    return score
+
+
+@pytest.mark.parametrize("graph", ["chain", "random"])
+def test_host_ranks_converge(spark, graph):
+    rng = random.Random(12)
+    n = 40 if graph == "random" else 60
+    host = lambda i: f"h{i}x{'' if i else ''}.net"
+    links = {(i, i + 1) for i in range(n - 1)} if graph == "chain" else {(rng.randrange(n), rng.randrange(n)) for _ in range(110)}
+    links = {(a, b) for a, b in links if a != b}
+    blocked = {n - 1} if graph == "chain" else {0, 1, 2}
+    allowed = set() if graph == "chain" else {3, 4, 5}
+    rules = [("block", host(i), "/") for i in blocked] + [("allow", host(i), "/") for i in allowed]
+    pages = [(i, f"http://{host(i)}/", "".join(f'<a href="http://{host(b)}/">' for a, b in sorted(links) if a == i)) for i in range(n)]
+    got = {r["page_id"]: r["verdict"] for r in hostrank.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), rules).collect()}
+    trust = converged({(a, b): 1 for a, b in links}, [1 / len(allowed) if i in allowed else 0 for i in range(n)], n)
+    distrust = converged({(b, a): 1 for a, b in links}, [1 / len(blocked) if i in blocked else 0 for i in range(n)], n)
+    for i in range(n):
+        if abs(distrust[i] - trust[i]) > 1e-3 * (distrust[i] + trust[i]):
+            assert got[i] == ("block" if i in blocked or i not in allowed and distrust[i] > trust[i] else "allow"), i
+    if graph == "chain":
+        assert set(got.values()) == {"block"}

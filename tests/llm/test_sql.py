@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import queries as Q
 from tickloom.llm.common import table_of
 
-TABLES = ("documents", "pages", "conversations")
+TABLES = ("documents", "pages", "conversations", "embeddings")
 
 
 @pytest.mark.parametrize("name", Q.SQL)
@@ -29,19 +29,20 @@ AWKWARD = [
     (1, None), (2, ""), (3, " \n\t "), (None, "one two three"), (None, None), (5, "same text here"), (5, "same text here"), (6, "same text here"),
     (7, "a" * 3000), (8, "word " * 5000), (9, "\n" * 500), (10, "x\x00y \x1c z　é́ 😀 <|endoftext|> ΑΣ"), (11, "1 2 3 +1 (555) 555-0100 a.b@c.de 10.0.0.1 4111 1111 1111 1111"),
 ]
-CLASHING = "doc_id long, text string, kept string, _id int, _th int, _print string, n_words string, part string, ids string, component_id int, spans string, labels string, class_id string"
-DOCUMENT_QUERIES = [n for n in Q.QUERIES if n not in ("op6_preferences", "op8_hostrank")]
+CLASHING = "doc_id long, text string, source string, lang string, n_chars long, kept string, _id int, _th int, _print string, n_words string, part string, ids string, component_id int, spans string, labels string, class_id string"
+DOCUMENT_QUERIES = [n for n in Q.QUERIES if n not in ("op6_preferences", "op8_hostrank", "op12_page_text", "op13_whitening")]
 
 
 @pytest.fixture(scope="module")
 def awkward(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("awkward"))
-    rows = [(*r, "k", 1, 2, "p", "n", "q", "i", 4, "s", "l", "c") for r in AWKWARD]
+    rows = [(*r, None if r[0] == 7 else "src", "en", r[0], "k", 1, 2, "p", "n", "q", "i", 4, "s", "l", "c") for r in AWKWARD]
     spark.createDataFrame(rows, CLASHING).write.parquet(f"{folder}/documents.parquet")
     pages = [(1, None, None, "h"), (None, "no scheme", "", "h"), (3, "http://A.ORG/x?y", '<a href="//B.com/">', "h"), (3, "http://A.ORG/x?y", '<a href="//B.com/">', "h"), (4, "://", "x", "h")]
     spark.createDataFrame(pages, "page_id long, url string, html string, host string").write.parquet(f"{folder}/pages.parquet")
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, None, None, "late"), (None, 0, "user", "x"), (2, 0, "user", ""), (2, 0, "user", ""), (0, 0, "assistant", "a" * 5000)]
     spark.createDataFrame([(*t, "p") for t in turns], "conv_id long, turn long, role string, text string, pair_id string").write.parquet(f"{folder}/conversations.parquet")
+    spark.createDataFrame([(1, [0.5, 1.0], "w"), (None, [1.0, 0.25], "w"), (2, None, "w")], "vec_id long, embedding array<float>, whitened string").write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
@@ -53,6 +54,10 @@ def test_awkward_rows(spark, awkward, name):
         assert sorted(map(str, ids)) == sorted(str(i) for i, _ in AWKWARD)
     elif name == "op8_hostrank":
         assert [(r["host"], r["path"], r["verdict"]) for r in rows if r["page_id"] == 3] == [("a.org", "/x", "allow")] * 2
+    elif name == "op12_page_text":
+        assert sorted((str(r["page_id"]), r["text"]) for r in rows) == [("1", ""), ("3", ""), ("3", ""), ("4", "x"), ("None", "")]
+    elif name == "op13_whitening":
+        assert {r["vec_id"] for r in rows} == {1, None} and len(rows) == 4
     elif name == "op6_preferences":
         assert {r["pair_id"] for r in rows} == {0, 1, 2}
 

@@ -3,10 +3,11 @@
 A block is any run of `SLACK` times as many words as the template has, wherever lines break. It matches a template if it
 holds at least `THRESHOLD` of the template's distinct words. Words are put in the global order of their counts in the
 whole table, the rarest first (one pass over all texts, summed in Spark). By that order a block that matches must hold
-one of the template's first `n - need + 1` words (prefix filter), and `need` words of the template at all (length
-filter). What is left is counted exactly, so every match is found and nothing else; of blocks that overlap, the one with
-the most words (then the first to end) is the match. Templates are a short list given by the caller and go to the tasks
-with the code; texts are never moved.
+one of the template's first `n - need + 1` words (prefix filter, by an index from those words to templates), and `need` words
+of the template at all (length filter). Its words are then counted in that order, and it is dropped as soon as those found
+and all that could follow behind the current place are fewer than `need` (positional filter). So every match is found and
+nothing else; of blocks that overlap, the one with the most words (then the first to end) is the match. Templates are a
+list given by the caller and go to the tasks with the code; texts are never moved.
 
 Base phrases are found where their words stand one after another, across lines as well.
 
@@ -17,6 +18,7 @@ whole. Equal counts are ordered by the word itself.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Mapping
@@ -127,6 +129,7 @@ class Index:
     size: np.ndarray
     need: np.ndarray
     block: np.ndarray  # words of a block of each template
+    by_prefix: dict[int, list[int]]  # templates by each of their first words
 
     @classmethod
     def of(cls, templates: Mapping[str, str], counts: Mapping[str, int], threshold: float) -> Index:
@@ -137,12 +140,19 @@ class Index:
             row[[rank[w] for w in words_of(text)]] = True
         size = member.sum(1)
         block = [math.ceil(SLACK * len(words_of(t))) for t in templates.values()]
-        return cls(words, list(templates), member, np.where(member, member.cumsum(1) - 1, -1), size, np.array([need(int(n), threshold) for n in size]), np.array(block))
+        place, needs = np.where(member, member.cumsum(1) - 1, -1), np.array([need(int(n), threshold) for n in size])
+        by_prefix: dict[int, list[int]] = {}
+        for k, own in enumerate(place):
+            for word in np.flatnonzero((own >= 0) & (own <= size[k] - needs[k])).tolist():
+                by_prefix.setdefault(word, []).append(k)
+        return cls(words, list(templates), member, place, size, needs, np.array(block), by_prefix)
 
     def matches(self, where: np.ndarray, rank: np.ndarray, end_of_text: np.ndarray) -> list[tuple[int, int, int]]:
         """Place of the first word, template and overlap of all matches; (where, rank) are the known words, in order."""
         out: list[tuple[int, int, int]] = []
-        for k in range(len(self.labels)):
+        seen = np.unique(rank)
+        # Templates of whose first words one is here.
+        for k in np.unique([t for word in seen.tolist() for t in self.by_prefix.get(word, ())]).astype(int).tolist():
             # A block with the most words begins at one of them.
             own = np.flatnonzero(self.member[k][rank])
             at, kind = where[own], rank[own]
@@ -153,7 +163,7 @@ class Index:
             some = np.flatnonzero((upto - place >= self.need[k]) & (prefix[upto] > prefix[place]))
             begin, end = at[some], end[some]
             overlap, last = np.zeros(len(some), np.int64), begin.copy()
-            for word in np.flatnonzero(self.member[k]):
+            for position, word in enumerate(np.flatnonzero(self.member[k])):
                 places = at[kind == word]
                 if len(places):
                     i = np.searchsorted(places, begin)
@@ -161,17 +171,24 @@ class Index:
                     held = (i < len(places)) & (found < end)
                     overlap += held
                     last = np.where(held, np.maximum(last, found), last)
-            hit = overlap >= self.need[k]
-            begin, last, overlap = begin[hit], last[hit], overlap[hit]
-            i = 0
-            while i < len(begin):
-                near = slice(i, int(np.searchsorted(begin, last[i], "right")))
-                best = i + int(np.lexsort((-begin[near], last[near], -overlap[near]))[0])
-                out.append((int(begin[best]), k, int(overlap[best])))
-                i = int(np.searchsorted(begin, last[best], "right"))
+                able = overlap + (self.size[k] - 1 - position) >= self.need[k]
+                if not able.all():
+                    begin, end, overlap, last = begin[able], end[able], overlap[able], last[able]
+            out += [(b, k, n) for b, n in _apart(begin, last, overlap)]
         return out
 
 
+def _apart(begin: np.ndarray, last: np.ndarray, overlap: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and overlap of blocks that don't overlap each other, taken by most words, first to end, last to begin."""
+    taken: list[tuple[int, int, int]] = []
+    for i in np.lexsort((-begin, last, -overlap)).tolist():
+        a, b = int(begin[i]), int(last[i])
+        at = bisect.bisect(taken, (a, b, 0))
+        if (at == 0 or taken[at - 1][1] < a) and (at == len(taken) or taken[at][0] > b):
+            taken.insert(at, (a, b, int(overlap[i])))
+    return [(a, n) for a, _, n in taken]
+
+
 def _places(hashes: np.ndarray, text: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     """Where the words of a phrase stand consecutively in one text."""
     size = len(phrase)
@@ -244,20 +261,21 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same rows in DuckDB's SQL, every line against every template."""
+    """The same rows in DuckDB's SQL, every window of words against every template of which the text has enough words."""
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
-    sets = ", ".join(f"('{k}', {sorted(set(words_of(t)))!r}, {need(len(set(words_of(t))), THRESHOLD)})" for k, t in TEMPLATES.items())
+    sets = ", ".join(f"('{k}', {sorted(set(words_of(t)))!r}, {need(len(set(words_of(t))), THRESHOLD)}, {math.ceil(SLACK * len(words_of(t)))})" for k, t in TEMPLATES.items())
     phrases = ", ".join(f"('{label}', {words_of(p)!r})" for p, label in PHRASES.items())
     return f"""
     WITH t AS (SELECT doc_id, {low} AS text, regexp_extract_all({low}, {word}) AS w FROM documents),
     p(label, words) AS (VALUES {phrases}),
-    s(label, words, need) AS (VALUES {sets}),
+    s(label, words, need, block) AS (VALUES {sets}),
     i AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM t),
     b AS (SELECT doc_id, label, i - 1 AS i FROM i JOIN p ON w[i] = words[1] AND w[i:i + len(words) - 1] = words),
     bb AS (SELECT doc_id, count(*) AS n, min(i) AS low, max(i) AS high FROM b GROUP BY doc_id),
-    l AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(text, chr(10))), {word})) AS lw FROM t),
-    m AS (SELECT doc_id, label, len(list_intersect(lw, words)) / len(words) AS c FROM l JOIN s ON len(lw) >= need AND len(list_intersect(lw, words)) >= need),
+    l AS (SELECT doc_id, label, words, need, block, w, unnest(range(1, len(w) + 1)) AS i FROM t JOIN s ON len(list_intersect(w, words)) >= need),
+    g AS (SELECT doc_id, label, need, words, len(list_intersect(list_distinct(w[i:i + block - 1]), words)) AS n FROM l WHERE list_contains(words, w[i])),
+    m AS (SELECT doc_id, label, n / len(words) AS c FROM g WHERE n >= need),
     mm AS (SELECT doc_id, max(c) AS c FROM m GROUP BY doc_id),
     bl AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT DISTINCT doc_id, label FROM b) GROUP BY doc_id),
     al AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM m) GROUP BY doc_id)
