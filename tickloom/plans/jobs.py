@@ -32,14 +32,17 @@ def run_landing(
     ]
 
 
+def add_bar_lot(ticks: DataFrame, states_path: str, lot: int) -> None:
+    """Store the bar states of a lot of ticks; a repeated lot replaces itself."""
+    write_batch(bar_states(ticks).withColumn("event_date", utc_date(F.col("bar_time"))), lot, states_path, ("event_date",))
+
+
 def run_bar_lot(spark: SparkSession, ticks: DataFrame, states_path: str, bars_path: str, lot: int, layout: str = "day", **options) -> None:
     """Add a lot of ticks to the stored bar states, and store the bars of the days that it touches.
 
-    ``lot`` names the arrival lot; a repeated one replaces itself. The ticks of earlier lots are not read again. Bars are
-    stored by day alone, as a late tick may tell a bar's asset class.
+    The ticks of earlier lots are not read again. Bars are stored by day alone, as a late tick may tell a bar's asset class.
     """
-    states = bar_states(ticks).withColumn("event_date", utc_date(F.col("bar_time")))
-    write_batch(states, lot, states_path, ("event_date",))
+    add_bar_lot(ticks, states_path, lot)
     stored = spark.read.parquet(states_path)
     days = [row["event_date"] for row in stored.filter(F.col(BATCH) == lot).select("event_date").distinct().collect()]
     touched = merged(stored.filter(F.col("event_date").isin(days)).drop("event_date", BATCH))

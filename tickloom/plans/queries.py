@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom import fixed_values as fixed, schemas
 from tickloom.functions import coerce
-from tickloom.operators import alerts, bars, calendar, envelope, extract, incremental, indicators, quality, reports
+from tickloom.operators import alerts, bar_states, bars, calendar, envelope, extract, incremental, indicators, quality, reports
 from tickloom.operators.asof import asof_join
 from tickloom.operators.cooldown import cooldown
 from tickloom.operators.series import latest_rows
@@ -84,11 +84,12 @@ def ohlcv_backfill(spark, sf_dir):
 
 def bars_merged(spark, sf_dir):
     """Bars from ticks that arrive in three lots, which share every day; the last lot comes twice."""
-    states, out = scratch_path(spark, "bar-states"), scratch_path(spark, "bars")
+    states = scratch_path(spark, "bar-states")
     ticks = views.mixed_ticks(spark, sf_dir)
     for lot in (0, 1, 2, 2):
-        jobs.run_bar_lot(spark, ticks.filter(F.col("event_id") % 3 == lot), states, out, lot)
-    return _bars(tables.read_table(spark, out))
+        jobs.add_bar_lot(ticks.filter(F.col("event_id") % 3 == lot), states, lot)
+    stored = spark.read.parquet(states).drop("event_date", keyed.BATCH)
+    return _bars(bars.valid_bars(bar_states.bars_of(bar_states.merged(stored))))
 
 
 def quality_report(spark, sf_dir):
