@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that one numpy pass handles; a longer document is a pass of its own.
 PASS_BYTES = 2 << 20
 
+#: Links that a task handles in a round of `components`.
+LINKS = 100_000
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -220,20 +223,26 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
 
     Alternating large-star and small-star steps: every node's neighbours are linked to the smallest one, until nothing
     changes. A hot node never gathers its neighbours in a task: its minimum is a partially aggregated group-by, joined
-    back to its edges, whose skew adaptive execution can split. Each round is cut by a checkpoint.
+    back to its edges, whose skew adaptive execution can split. Each round is cut by a checkpoint. Tasks are as many as
+    the links need, `LINKS` each.
     """
     links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     links = checkpointed(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    tasks = 8 + links.count() // LINKS
+    fewer = tasks < int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = lambda df: df.coalesce(tasks) if fewer else df
+    links = sized(links)
     before = None
     for _ in range(max_rounds):
         both = links.union(links.select("v", "u")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = sized(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         # Large star: each neighbour above the node links to the least of the neighbourhood.
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = sized(sized(large).distinct())
         # Small star: a node and its lesser neighbours link to the least of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = checkpointed(small.union(least.select("u", "m")).distinct())
+        least = sized(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = sized(large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        links = checkpointed(sized(small.union(least.select("u", "m")).distinct()))
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
