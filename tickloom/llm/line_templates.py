@@ -115,17 +115,16 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs:
     """`docs` with the dropped lines out of the text, and `n_dropped`."""
     gone = _dropped(docs, doc_id, text, min_docs, min_values).select(F.col("id").alias("of_id"), F.col("th").alias("of_th"), "places")
     # Packed, so that no column of `docs` meets a helper's name.
-    whole = F.coalesce(F.col(text), F.lit(""))
-    rows = packed(docs, id=F.col(doc_id), th=F.xxhash64(whole), text=F.col(text))
+    rows, own = packed(docs, id=F.col(doc_id), th=F.xxhash64(F.coalesce(F.col(text), F.lit("")))), F.col(f"row.`{text}`")
     rows = rows.join(gone, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("th") == F.col("of_th")), "left")
     # What lies between dropped positions is kept as slices.
-    rows = rows.withColumn("lines", F.when(F.col("places").isNotNull(), F.split("text", "\n", -1)))
+    rows = rows.withColumn("lines", F.when(F.col("places").isNotNull(), F.split(own, "\n", -1)))
     rows = rows.withColumn("cuts", F.when(F.col("places").isNotNull(), F.concat(F.array(F.lit(-1)), "places", F.array(F.size("lines")))))
     parts = F.transform(
         F.arrays_zip(F.slice("cuts", 1, F.size("cuts") - 1).alias("a"), F.slice("cuts", 2, F.size("cuts") - 1).alias("b")),
         lambda gap: F.slice("lines", gap["a"] + 2, gap["b"] - gap["a"] - 1),
     )
-    left = F.when(F.col("places").isNotNull(), F.array_join(F.flatten(parts), "\n")).otherwise(F.col("text"))
+    left = F.when(F.col("places").isNotNull(), F.array_join(F.flatten(parts), "\n")).otherwise(own)
     n_dropped = F.coalesce(F.size("places"), F.lit(0)).cast("long")
     return unpacked(rows, [*[c for c in docs.columns if c != "n_dropped"], "n_dropped"], **{text: left, "n_dropped": n_dropped})
 
