@@ -44,16 +44,20 @@ FIELD = "<*>"
 #: Bits of the filter of leaves that is sent to every task, whatever their number.
 FILTER_BITS = 1 << 20
 
-#: A token with a digit, tried at the starts of tokens only and without going back.
-_DIGITS = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-#: White space inside a line that is more, or other, than one space.
+_DIGITS = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+#: White space of a line other than spaces, and with its longer runs.
+_ODD = r"[\x09\x0B-\x0D]"
 _SPACES = r"\x20[\x20\x09\x0B-\x0D]++|[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*+"
 
 
-def _lines(text: Column) -> Column:
-    """The lines as tokens joined by one space, but for their ends; fields of digits generalised."""
-    masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, _DIGITS, FIELD)).otherwise(text)
-    return F.split(F.regexp_replace(masked, _SPACES, " "), "\n", -1)
+def _spaced(text: Column) -> Column:
+    """Runs of white space inside lines as one space; most texts have none to change."""
+    return F.when(text.contains("  ") | text.rlike(_ODD), F.regexp_replace(text, _SPACES, " ")).otherwise(text)
+
+
+def _masked(line: Column) -> Column:
+    """Tokens with digits as fields."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, _DIGITS, FIELD)).otherwise(line)
 
 
 def _leaf(line: str = "line") -> Column:
@@ -68,8 +72,8 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _exploded(keyed: DataFrame) -> DataFrame:
-    lines = keyed.select("id", "th", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    lines = lines.select("id", "th", "pos", F.trim("line").alias("line")).where("line <> ''")
+    lines = keyed.select("id", "th", F.posexplode(F.split(_spaced(F.col("text")), "\n", -1)).alias("pos", "line"))
+    lines = lines.select("id", "th", "pos", F.trim(_masked(F.col("line"))).alias("line")).where("line <> ''")
     return lines.select("id", "th", "pos", "line", _leaf().alias("leaf"), F.xxhash64("line").alias("h"))
 
 
@@ -87,10 +91,8 @@ def _maybe_in(leaves: DataFrame) -> Column:
 
 def _fields(found: DataFrame, min_values: int) -> DataFrame:
     """(leaf, h, fields): sets of positions that are fields of a line, by each of the three ways of grouping."""
-    hashes = F.transform("tokens", lambda token, at: F.xxhash64(at, token))
-    whole = F.aggregate(hashes, F.lit(0).cast("long"), lambda all_, one: all_.bitwiseXOR(one))
+    tokens = found.select("leaf", "h", "whole", F.posexplode("tokens").alias("at", "token")).withColumn("token", F.xxhash64("at", "token"))
     # `others` stands for all tokens of the line but this one.
-    tokens = found.select("leaf", "h", whole.alias("whole"), F.posexplode(hashes).alias("at", "token"))
     tokens = tokens.select("leaf", "h", "at", "token", F.col("whole").bitwiseXOR(F.col("token")).alias("others"))
     values = checkpointed(tokens.groupBy("leaf", "at", "token").count())
     of_leaf = values.groupBy("leaf", "at").count().where(F.col("count") >= min_values).groupBy("leaf").agg(F.collect_list("at").alias("fields"))
@@ -109,7 +111,10 @@ def _generalised(keyed: DataFrame, lines: DataFrame, min_values: int) -> DataFra
     leaves = checkpointed(leaves)
     # Only lines of these leaves, and few others, leave the tasks that read them.
     found = _exploded(keyed).where(_maybe_in(leaves)).groupBy("leaf", "h").agg(F.first("line").alias("line"))
-    found = checkpointed(found.join(leaves, "leaf", "left_semi").select("leaf", "h", F.split("line", " ").alias("tokens")))
+    found = found.join(leaves, "leaf", "left_semi").select("leaf", "h", F.split("line", " ").alias("tokens"))
+    # Made once a line and written with it, as a value beside exploded tokens is made once a token.
+    whole = F.aggregate(F.transform("tokens", lambda token, at: F.xxhash64(at, token)), F.lit(0).cast("long"), lambda all_, one: all_.bitwiseXOR(one))
+    found = checkpointed(found.withColumn("whole", whole))
     of_line = found.join(_fields(found, min_values), ["leaf", "h"])
     template = F.transform("tokens", lambda token, at: F.when(F.array_contains("fields", at), FIELD).otherwise(token))
     of_line = of_line.select("h", template.alias("t"))
