@@ -185,7 +185,7 @@ def test_simhash_groups(spark, texts):
 
 @pytest.mark.parametrize("node", [16, 64, 8192])
 def test_simhash_index_loses_no_link(spark, monkeypatch, node):
-    # Families that fill many nodes, so that slices of one block are joined.
+    # Families that fill many nodes, so that groups go on to further levels.
     monkeypatch.setattr(simhash, "NODE", node)
     rng = np.random.default_rng(0)
     values = []
@@ -204,6 +204,48 @@ def test_simhash_index_loses_no_link(spark, monkeypatch, node):
     assert roots(len(values), pairs) == roots(len(values), np.argwhere(np.triu(near, 1)).tolist())
 
 
+def family(rng, size, flips):
+    """Different fingerprints that differ from one in at most so many bits."""
+    base, values = int(rng.integers(0, 1 << 63, dtype=np.uint64)), set()
+    while len(values) < size:
+        values.add(base ^ sum({1 << int(b) for b in rng.integers(0, 64, rng.integers(0, flips + 1))}))
+    return values
+
+
+def test_simhash_of_one_dense_family(spark, monkeypatch):
+    # Most fingerprints are of one family, so that many levels are needed; each pair of them may be a link.
+    monkeypatch.setattr(simhash, "NODE", 32)
+    rng = np.random.default_rng(4)
+    values = np.array(sorted(family(rng, 400, 4) | family(rng, 40, 9) | {0, (1 << 64) - 1}), np.uint64)
+    links = simhash.near_links(spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "p long")).collect()
+    place = {int(v): i for i, v in enumerate(values.view(np.int64))}
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 3
+    pairs = [(place[r["a"]], place[r["b"]]) for r in links]
+    assert all(near[a, b] for a, b in pairs) and len(set(pairs)) == len(pairs)
+    assert roots(len(values), pairs) == roots(len(values), np.argwhere(np.triu(near, 1)).tolist())
+
+
+@pytest.mark.parametrize("bits, prefix", [(3, 4), (0, 0), (20, 1), (64, 0)])
+def test_gray_tree_equals_brute_force(bits, prefix):
+    rng = np.random.default_rng(bits)
+    values = np.array([*family(rng, 150, 6), *rng.integers(0, 1 << 63, 150, dtype=np.uint64).tolist()], np.uint64)
+    values = values[np.argsort(simhash.gray_rank(values))]
+    own = values >> np.uint64(63) >> np.uint64(1) if not prefix else values >> np.uint64(64 - prefix)
+    near = (np.bitwise_count(values[:, None] ^ values[None, :]) <= bits) & (own[:, None] == own[None, :])
+    found = [(i, j) for a, b in simhash.near_pairs(values, bits, prefix) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    assert sorted(found) == list(map(tuple, np.argwhere(np.triu(near, 1)).tolist()))
+
+
+@pytest.mark.parametrize("level", range(1, 9))
+def test_copies_of_a_level_are_undone(level):
+    values = np.random.default_rng(level).integers(0, 1 << 63, 50, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    path = int(np.random.default_rng(level).integers(0, 4**level))
+    moved = values
+    for step in range(1, level + 1):
+        moved = simhash._moved(moved, *simhash._sizes(step, 3), path // 4 ** (level - step) % 4)
+    assert simhash._original(moved, path, level, 3).tolist() == values.tolist()
+
+
 def test_keep_one_of_repeated_rows(spark):
     rows = [(None, "a b c"), (3, "a b c"), (3, "a b c"), (None, None), (None, ""), (4, "other words than these")]
     kept = simhash.keep_one(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _print string")).collect()

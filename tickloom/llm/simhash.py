@@ -1,18 +1,20 @@
 """SimHash near-duplicates over a Gray-order hierarchical index.
 
-A document's fingerprint has a bit set where over half of its shingles' XXH64 hashes have it. Distinct fingerprints are
-indexed once for each of `BLOCKS` rotations, so that every 16-bit block is the highest one once. Two fingerprints that
-differ in at most `BLOCKS - 1` bits agree in a whole block, and so meet in the rotation that puts it first.
-
-Sorting by Gray rank puts fingerprints with long common patterns side by side. Spark range-partitions the sorted
-rotations, and each task cuts its run into nodes of at most `NODE` fingerprints. Within a node, leaves of `LEAF`
-neighbours that share the first block are factored into an upper node each: the bits on which all members agree (mask)
-and their values (pattern). Two upper nodes whose patterns differ in more bits than allowed, where both masks hold,
-cannot have a link, and all their pairs are pruned at once; only surviving leaves are compared bit by bit. A block that
-goes on beyond a node's edge (a large family of near copies) leaves slices with their own mask and pattern; slices of
-the same block are joined in Spark where these don't exclude a link, so such a family is worked on by many tasks.
-
-Only as many links are kept as connect what they connect, so a family of n gives at most n - 1 from each pair of slices.
+A document's fingerprint has a bit set where over half of its shingles' XXH64 hashes have it. Of the distinct ones, two
+that differ in at most `max_bits` bits agree in a whole one of `max_bits + 1` runs of bits. A level of the index has a
+copy of each fingerprint for every run, moved to the front; copies that agree there are a group, which holds a link for
+sure. Groups of more than `NODE` fingerprints go on to the next level, where the bits that are still free are cut into
+runs again, so a group never gets larger, however many documents there are: each level fixes some of the 64 bits, and
+with few free ones a group can't hold more than `NODE`.
+
+Within a level Spark range-partitions the copies by Gray rank, which puts those with long common patterns side by side.
+Over a group a task builds a tree: every `FAN` neighbours are factored into an upper node, with the bits on which all
+agree (mask) and their values (pattern), upper nodes likewise into higher ones. Pairs of nodes are compared from the
+top down. A pair's difference is carried from its parents and grows by the bits that its own masks add, and once it
+exceeds `max_bits` all fingerprints below are pruned together; at the bottom the sum is the exact distance.
+
+A pair that agrees in several runs counts in the first of them only. As many links are kept as connect what they
+connect, so a group of n gives at most n - 1.
 
 Defined results: a null, empty or blank text has fingerprint 0, linked like any other; repeated rows are linked by their
 text and stay rows of their own in `groups`; a null doc_id is in a group by its text and is not the group's smallest
@@ -22,6 +24,7 @@ id, unless all are null; an empty table gives no rows. Other columns are kept by
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,13 +39,15 @@ from tickloom.llm.common import SPACE, Texts, checkpointed, components, map_batc
 
 SHINGLE = 3
 MAX_BITS = 3
-BLOCKS = 4
 SEED = 42
-#: Fingerprints of a node, and of a leaf of it.
+#: Fingerprints of a group that a task compares; at least 2 ** max_bits.
 NODE = 8192
-LEAF = 16
-#: Pairs of leaves that are expanded at once.
-_PAIRS = 1 << 14
+#: Children of an upper node.
+FAN = 8
+#: Pairs of nodes that are expanded at once.
+_PAIRS = 1 << 13
+#: Parts of a large group that are joined with its size in different tasks.
+_SALTS = 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -101,16 +106,6 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGL
     return map_batches(docs, each, schema)
 
 
-def _rotated(values: np.ndarray, by: int) -> np.ndarray:
-    return values if by == 0 else (values << np.uint64(by)) | (values >> np.uint64(64 - by))
-
-
-def _upper(values: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mask and pattern of the runs that begin at `start`: the bits on which all agree, and their values."""
-    every, some = np.bitwise_and.reduceat(values, start), np.bitwise_or.reduceat(values, start)
-    return ~(every ^ some), every
-
-
 class Forest:
     """Links that connect places not connected so far."""
 
@@ -133,133 +128,226 @@ class Forest:
         return out
 
 
-def _leaves(values: np.ndarray, block_bits: int) -> np.ndarray:
-    """Where leaves begin: at a new first block, and after every LEAF fingerprints of one."""
-    block = values >> np.uint64(64 - block_bits)
-    new = np.append(True, block[1:] != block[:-1])
-    place = np.arange(len(values))
-    since = place - np.maximum.accumulate(np.where(new, place, 0))
-    return np.flatnonzero(since % LEAF == 0)
+def _sizes(level: int, max_bits: int) -> tuple[int, int]:
+    """The bits that are fixed before a level, and those of each run that it cuts."""
+    fixed = size = 0
+    for _ in range(level):
+        fixed += size
+        size = max((64 - fixed) // (max_bits + 1), 1)
+    return fixed, size
 
 
-def links_within(one: np.ndarray, two: np.ndarray | None, max_bits: int, block_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of fingerprints that differ in at most `max_bits` bits, of one Gray-sorted run or between two of them.
+def _bits(first: int, count: int) -> np.uint64:
+    """A mask of `count` bits, the highest of which is the `first` one from above."""
+    return np.uint64(((1 << count) - 1) << (64 - first - count))
 
-    Only runs of equal first block are compared, by their upper nodes first.
-    """
-    other = one if two is None else two
-    start, start2 = _leaves(one, block_bits), _leaves(other, block_bits)
-    mask, pattern = _upper(one, start)
-    mask2, pattern2 = _upper(other, start2)
-    block, block2 = one[start] >> np.uint64(64 - block_bits), other[start2] >> np.uint64(64 - block_bits)
-    end, end2 = np.append(start[1:], len(one)), np.append(start2[1:], len(other))
-    # For each leaf the leaves of the same block; Gray order keeps a block's together.
-    order = np.argsort(block2, kind="stable")
-    low, high = np.searchsorted(block2[order], block, "left"), np.searchsorted(block2[order], block, "right")
-    todo = np.cumsum(high - low)
-    leaf = 0
-    while leaf < len(start):
-        upto = max(leaf + 1, int(np.searchsorted(todo, (todo[leaf - 1] if leaf else 0) + 16 * _PAIRS, "right")))
-        size = (high - low)[leaf:upto]
-        a = np.repeat(np.arange(leaf, upto), size)
-        b = order[np.repeat(low[leaf:upto] - (np.cumsum(size) - size), size) + np.arange(len(a))]
-        near = np.bitwise_count((pattern[a] ^ pattern2[b]) & mask[a] & mask2[b]) <= max_bits
-        if two is None:
-            near &= a <= b
-        a, b = a[near], b[near]
-        for at in range(0, len(a), _PAIRS):
-            x, y = a[at : at + _PAIRS], b[at : at + _PAIRS]
-            wide, high_ = end[x] - start[x], end2[y] - start2[y]
-            cells = wide * high_
-            pair = np.repeat(np.arange(len(x)), cells)
-            cell = np.arange(len(pair)) - np.repeat(np.cumsum(cells) - cells, cells)
-            i, j = start[x][pair] + cell // high_[pair], start2[y][pair] + cell % high_[pair]
-            hit = np.bitwise_count(one[i] ^ other[j]) <= max_bits
-            if two is None:
-                hit &= i < j
-            yield i[hit], j[hit]
-        leaf = upto
-
-
-def _index(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Links within nodes, and the slices of blocks that touch a node's edge."""
-    blocks = max_bits + 1
-    block_bits = 64 // blocks
-    rotations = F.array(*[F.struct(F.lit(r).alias("r"), (F.shiftleft("p", r * block_bits).bitwiseOR(F.shiftrightunsigned("p", 64 - r * block_bits)) if r else F.col("p")).alias("v")) for r in range(blocks)])
-    rows = prints.select(F.explode(rotations).alias("x")).select("x.r", "x.v")
-    # The Gray rank as an unsigned number, in signed order.
-    rank = F.col("v")
+
+def _moved(values: np.ndarray, fixed: int, size: int, run: int) -> np.ndarray:
+    """The values with a run of their free bits put before the other free ones."""
+    own, before = _bits(fixed + run * size, size), _bits(fixed, run * size)
+    return (values & ~(own | before)) | ((values & own) << np.uint64(run * size)) | ((values & before) >> np.uint64(size))
+
+
+def _restored(values: np.ndarray, fixed: int, size: int, run: int) -> np.ndarray:
+    """The inverse of `_moved`."""
+    own, before = _bits(fixed, size), _bits(fixed + size, run * size)
+    return (values & ~(own | before)) | ((values & own) >> np.uint64(run * size)) | ((values & before) << np.uint64(size))
+
+
+def _original(values: np.ndarray, path: int, level: int, max_bits: int) -> np.ndarray:
+    """Fingerprints from their copies at a level; the path has the run taken at each one as a digit."""
+    for step in range(level, 0, -1):
+        values = _restored(values, *_sizes(step, max_bits), path % (max_bits + 1))
+        path //= max_bits + 1
+    return values
+
+
+def _counted_before(differ: np.ndarray, path: int, level: int, max_bits: int) -> np.ndarray:
+    """Whether pairs of copies, given by the bits in which they differ, agree in an earlier run of any level too."""
+    out = np.zeros(len(differ), bool)
+    for step in range(level, 0, -1):
+        fixed, size = _sizes(step, max_bits)
+        run = path % (max_bits + 1)
+        differ = _restored(differ, fixed, size, run)
+        for other in range(run):
+            out |= differ & _bits(fixed + other * size, size) == 0
+        path //= max_bits + 1
+    return out
+
+
+def gray_rank(values: np.ndarray) -> np.ndarray:
     for shift in (1, 2, 4, 8, 16, 32):
-        rank = rank.bitwiseXOR(F.shiftrightunsigned(rank, shift))
-    rows = rows.withColumn("rank", rank.bitwiseXOR(F.lit(-(1 << 63))))
-    schema = "a long, b long, r int, block long, node long, mask long, pattern long, members binary"
+        values = values ^ (values >> np.uint64(shift))
+    return values
+
+
+def _tree(values: np.ndarray, prefix: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(start, end, mask, pattern) of the nodes of each level of a Gray-sorted run, from the values up to one node for each prefix.
+
+    `start` and `end` are places of the level below; a node's values have the first `prefix` bits in common.
+    """
+    every = some = values
+    place = np.arange(len(values))
+    levels = [(place, place + 1, np.full(len(values), ~np.uint64(0)), values)]
+    group = values & _bits(0, prefix)
+    while True:
+        new = np.append(True, group[1:] != group[:-1])
+        if new.all():
+            return levels
+        place = np.arange(len(group))
+        since = place - np.maximum.accumulate(np.where(new, place, 0))
+        start = np.flatnonzero(since % FAN == 0)
+        every, some = np.bitwise_and.reduceat(every, start), np.bitwise_or.reduceat(some, start)
+        levels.append((start, np.append(start[1:], len(group)), ~(every ^ some), every))
+        group = group[start]
+
+
+def near_pairs(values: np.ndarray, max_bits: int, prefix: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places i < j of values of a Gray-sorted run that share their first `prefix` bits and differ in at most `max_bits`."""
+    levels = _tree(values, prefix)
+    top = np.arange(len(levels[-1][0]))
+    # Pairs of nodes that may hold a link, with the bits in which all below them are known to differ.
+    todo = [(len(levels) - 1, top, top, np.zeros(len(top), np.uint8))]
+    while todo:
+        level, a, b, known = todo.pop()
+        if level == 0:
+            apart = a < b
+            if apart.any():
+                yield a[apart], b[apart]
+            continue
+        if len(a) > _PAIRS:
+            todo.append((level, a[_PAIRS:], b[_PAIRS:], known[_PAIRS:]))
+            a, b, known = a[:_PAIRS], b[:_PAIRS], known[:_PAIRS]
+        start, end, mask, _ = levels[level]
+        wide, high = end[a] - start[a], end[b] - start[b]
+        cells = wide * high
+        pair = np.repeat(np.arange(len(a)), cells)
+        cell = np.arange(len(pair)) - np.repeat(np.cumsum(cells) - cells, cells)
+        i, j = start[a][pair] + cell // high[pair], start[b][pair] + cell % high[pair]
+        upper = a[pair] <= b[pair]
+        upper &= i <= j
+        i, j, pair = i[upper], j[upper], pair[upper]
+        _, _, mask_below, pattern = levels[level - 1]
+        added = mask_below[i] & mask_below[j] & ~(mask[a] & mask[b])[pair]
+        differ = known[pair] + np.bitwise_count((pattern[i] ^ pattern[j]) & added)
+        near = differ <= max_bits
+        todo.append((level - 1, i[near], j[near], differ[near]))
+
+
+def connecting(values: np.ndarray, path: int, level: int, max_bits: int) -> np.ndarray:
+    """Pairs of original fingerprints, as rows, that connect whatever links connect in a Gray-sorted run of copies."""
+    forest, root = Forest(len(values)), np.arange(len(values))
+    kept: list[tuple[int, int]] = []
+    for i, j in near_pairs(values, max_bits, sum(_sizes(level, max_bits))):
+        new = root[i] != root[j]
+        i, j = i[new], j[new]
+        own = ~_counted_before(values[i] ^ values[j], path, level, max_bits)
+        links = forest.kept(i[own].tolist(), j[own].tolist())
+        if links:
+            kept += links
+            root = np.array(forest.parent)
+            while (root[root] != root).any():
+                root = root[root]
+    at = np.array(kept, np.int64).reshape(-1, 2)
+    return _original(values[at], path, level, max_bits).view(np.int64)
+
+
+_ROWS = "path long, v long, rank long"
+_LINKS = "a long, b long"
+
+
+def _copies(rows: DataFrame, level: int, max_bits: int) -> DataFrame:
+    """(path, v, rank): of the (path, members) of a level's groups the copies that the next level compares."""
+    fixed, size = _sizes(level, max_bits)
+    runs = max_bits + 1
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(raw, np.uint64)
+                made = np.concatenate([_moved(own, fixed, size, run) for run in range(runs)])
+                paths = np.repeat(np.arange(path * runs, path * runs + runs), len(own))
+                # The Gray rank is an unsigned number; with the highest bit turned it is in signed order.
+                rank = gray_rank(made) ^ np.uint64(1 << 63)
+                yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(made.view(np.int64)), pa.array(rank.view(np.int64))], names=["path", "v", "rank"])
+
+    return rows.select("path", "members").mapInArrow(each, _ROWS)
+
+
+def _index(copies: DataFrame, level: int, max_bits: int) -> DataFrame:
+    """Links of the groups that lie within a node, and as `members` the parts of those at a node's edges."""
+    node = NODE
+    prefix = _bits(0, sum(_sizes(level, max_bits)))
+    schema = f"{_LINKS}, path long, prefix long, part long, n long, members binary"
+
+    def nodes(paths: np.ndarray, values: np.ndarray, part: int) -> Iterator[tuple]:
+        for path in np.unique(paths).tolist():
+            own = values[paths == path]
+            group = own & prefix
+            inner = (group != group[0]) & (group != group[-1])
+            for a, b in connecting(own[inner], path, level, max_bits).tolist():
+                yield (a, b) + (None,) * 5
+            for edge in np.unique(group[[0, -1]]):
+                members = own[group == edge]
+                yield None, None, path, int(edge.view(np.int64)), part, len(members), members.tobytes()
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, serial = TaskContext.get().partitionId(), 0
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def cut(r: np.ndarray, v: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-            for turn in np.unique(r):
-                own = v[r == turn]
-                for at in range(0, len(own), NODE):
-                    yield int(turn), own[at : at + NODE]
-
-        def nodes(r: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
-            nonlocal serial
-            for turn, values in cut(r, v):
-                serial += 1
-                forest = Forest(len(values))
-                links = [pair for i, j in links_within(values, None, max_bits, block_bits) for pair in forest.kept(i.tolist(), j.tolist())]
-                back = _rotated(values, 64 - turn * block_bits if turn else 0).view(np.int64)
-                block = values >> np.uint64(64 - block_bits)
-                rows = [(int(back[i]), int(back[j])) + (None,) * 6 for i, j in links]
-                for edge in sorted({int(block[0]), int(block[-1])}):
-                    members = values[block == np.uint64(edge)]
-                    mask, pattern = _upper(members, np.zeros(1, np.int64))
-                    rows.append((None, None, turn, edge, part << 32 | serial, int(mask.view(np.int64)[0]), int(pattern.view(np.int64)[0]), members.tobytes()))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["a", "b", "r", "block", "node", "mask", "pattern", "members"])
+        part = TaskContext.get().partitionId() << 32
+        paths, values = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+
+        def made(upto: int) -> pa.RecordBatch:
+            kinds = [*[pa.int64()] * 6, pa.binary()]
+            columns = zip(*nodes(paths[:upto], values[:upto], part), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "path", "prefix", "part", "n", "members"])
 
         for batch in batches:
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)))
-            if sum(len(r) for r, _ in held) >= NODE:
-                r, v = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-                whole = len(r) // NODE * NODE
-                held = [(r[whole:], v[whole:])]
-                yield from nodes(r[:whole], v[:whole])
-        if held and sum(len(r) for r, _ in held):
-            yield from nodes(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+            paths = np.concatenate([paths, batch.column(0).to_numpy()])
+            values = np.concatenate([values, batch.column(1).to_numpy().view(np.uint64)])
+            while len(values) >= node:
+                yield made(node)
+                part += 1
+                paths, values = paths[node:], values[node:]
+        if len(values):
+            yield made(len(values))
 
-    return rows.repartitionByRange("r", "rank").sortWithinPartitions("r", "rank").select("r", "v").mapInArrow(over, schema)
+    ordered = copies.repartitionByRange("path", "rank").sortWithinPartitions("path", "rank")
+    return ordered.select("path", "v").mapInArrow(over, schema)
 
 
-def _across(slices: DataFrame, max_bits: int) -> DataFrame:
-    """Links between slices of one block, but for pairs of slices whose masks and patterns exclude them."""
-    one, two = slices.select(*[F.col(c).alias(f"{c}1") for c in slices.columns]), slices.select(*[F.col(c).alias(f"{c}2") for c in slices.columns])
-    differ = F.bit_count(F.col("pattern1").bitwiseXOR(F.col("pattern2")).bitwiseAND(F.col("mask1")).bitwiseAND(F.col("mask2")))
-    pairs = one.join(two, (F.col("r1") == F.col("r2")) & (F.col("block1") == F.col("block2")) & (F.col("node1") < F.col("node2"))).where(differ <= max_bits)
-    block_bits = 64 // (max_bits + 1)
+def _gathered(parts: DataFrame, level: int, max_bits: int) -> DataFrame:
+    """Links of groups of at most `NODE` fingerprints whose parts lie at the edges of nodes."""
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for turn, raw1, raw2 in zip(frame["r1"], frame["members1"], frame["members2"], strict=True):
-                x, y = np.frombuffer(raw1, np.uint64), np.frombuffer(raw2, np.uint64)
-                forest = Forest(len(x) + len(y))
-                links = [pair for i, j in links_within(x, y, max_bits, block_bits) for pair in forest.kept(i.tolist(), (j + len(x)).tolist())]
-                back = _rotated(np.concatenate([x, y]), 64 - turn * block_bits if turn else 0).view(np.int64)
-                if links:
-                    at = np.array(links)
-                    yield pd.DataFrame({"a": back[at[:, 0]], "b": back[at[:, 1]]})
+            for path, members in zip(frame["path"], frame["members"], strict=True):
+                values = np.frombuffer(b"".join(members), np.uint64)
+                values = values[np.argsort(gray_rank(values))]
+                links = connecting(values, path, level, max_bits)
+                yield pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
 
-    pairs = pairs.select("r1", "members1", "members2")
-    return pairs.repartition(F.xxhash64("members1", "members2")).mapInPandas(each, "a long, b long")
+    return parts.groupBy("path", "prefix").agg(F.collect_list("members").alias("members")).select("path", "members").mapInPandas(each, _LINKS)
 
 
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): links that connect all of the distinct numbers `p` that chains of at most `max_bits` differing bits connect."""
-    index = checkpointed(_index(prints, max_bits))
-    slices = index.where("a is null").select("r", "block", "node", "mask", "pattern", "members")
-    return index.where("a is not null").select("a", "b").union(_across(slices, max_bits))
+    found = []
+
+    def singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(0).to_numpy().tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([raw], pa.binary())], names=["path", "members"])
+
+    rows, level = prints.select("p").mapInArrow(singles, "path long, members binary"), 1
+    while True:
+        index = checkpointed(_index(_copies(rows, level, max_bits), level, max_bits))
+        found.append(index.where("a is not null").select("a", "b"))
+        parts = index.where("a is null").select("path", "prefix", F.pmod("part", F.lit(_SALTS)).alias("salt"), "n", "members")
+        large = parts.groupBy("path", "prefix").agg(F.sum("n").alias("n")).where(F.col("n") > NODE)
+        large = checkpointed(large.select("path", "prefix", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")))
+        found.append(_gathered(parts.join(large, ["path", "prefix", "salt"], "left_anti"), level, max_bits))
+        if large.isEmpty():
+            return reduce(DataFrame.union, found)
+        rows, level = parts.join(large, ["path", "prefix", "salt"], "left_semi"), level + 1
 
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, max_bits: int, shingle: int) -> tuple[DataFrame, DataFrame]:
