@@ -142,8 +142,8 @@ def _dropped(docs: DataFrame, doc_id: str, text: str, min_docs: int, min_values:
     return gone.groupBy("id", "th").agg(F.array_sort(F.collect_set("pos")).alias("places"))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, min_values: int = MIN_VALUES) -> DataFrame:
-    """`docs` with the dropped lines out of the text, and `n_dropped`."""
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, min_values: int = MIN_VALUES, counted: bool = True) -> DataFrame:
+    """`docs` with the dropped lines out of the text, and `n_dropped`; if not `counted`, the columns of `docs` alone."""
     gone = _dropped(docs, doc_id, text, min_docs, min_values).select(F.col("id").alias("of_id"), F.col("th").alias("of_th"), "places")
     # Packed, so that no column of `docs` meets a helper's name.
     rows, own = packed(docs, id=F.col(doc_id), th=F.xxhash64(F.coalesce(F.col(text), F.lit("")))), F.col(f"row.`{text}`")
@@ -156,6 +156,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs:
         lambda gap: F.slice("lines", gap["a"] + 2, gap["b"] - gap["a"] - 1),
     )
     left = F.when(F.col("places").isNotNull(), F.array_join(F.flatten(parts), "\n")).otherwise(own)
+    if not counted:
+        return unpacked(rows, docs.columns, **{text: left})
     n_dropped = F.coalesce(F.size("places"), F.lit(0)).cast("long")
     return unpacked(rows, [*[c for c in docs.columns if c != "n_dropped"], "n_dropped"], **{text: left, "n_dropped": n_dropped})
 
