@@ -1,7 +1,13 @@
 """A training-data pipeline: documents in, packed sequences out, one operator of `tickloom.llm` a stage.
 
 Each stage works on all that its predecessor kept, is written as Parquet to the shared folder and read again, so a lost
-executor repeats one stage at most. A null text is empty.
+executor repeats one stage at most.
+
+Defined results: a null text is empty; the quality rules reject it, as any text of fewer than 50 words. Texts are worked on
+whole, whatever their length. Rows that repeat an id and its text are decided alike by the first two stages; of them, as of
+all linked rows, the near-copy stage keeps one, that of the smallest id (nulls last). A null id is an id of its own. All
+stages but the last keep the columns of their input, whatever their names, and change none but `text` and `n_chars`. A
+table without rows gives none at each stage.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of recurring templates."""
-    out = line_templates.dedup(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    out = line_templates.dedup(docs, counted=False).withColumn("n_chars", F.char_length("text").cast("long"))
     return out.select(*docs.columns)
 
 
