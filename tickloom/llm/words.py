@@ -69,18 +69,22 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class PieceTable:
-    """Ids of pieces by their hash; `encode` gives flat ids and the number of each piece's."""
+    """Ids of pieces by their hash; `encode` gives flat ids and the number of each piece's.
+
+    The hashes are a sorted array, which takes a tenth of a dictionary's memory.
+    """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = TABLE_SIZE) -> None:
         self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
-        self.row: dict[int, int] = {}
+        self.known, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.at, self.size, self.rows = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), 0
 
-    def _add(self, hashes: list[int], pieces: list[str]) -> None:
+    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Sorted hashes that are not known yet, and their pieces."""
         ids, sizes = self.encode(pieces)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -89,7 +93,8 @@ class PieceTable:
         new = slice(self.rows, self.rows + len(sizes))
         self.flat[self.used : self.used + len(ids)] = ids
         self.at[new], self.size[new] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.row.update(zip(hashes, range(new.start, new.stop), strict=True))
+        place = np.searchsorted(self.known, hashes)
+        self.known, self.row = np.insert(self.known, place, hashes), np.insert(self.row, place, np.arange(new.start, new.stop))
         self.used, self.rows = self.used + len(ids), new.stop
 
     def ids_of(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -101,13 +106,13 @@ class PieceTable:
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if self.rows + len(distinct) > self.limit and self.rows:
             self.clear()
-        keys = distinct.tolist()
-        rows = list(map(self.row.get, keys))
-        if missing := [i for i, r in enumerate(rows) if r is None]:
+        place = np.searchsorted(self.known, distinct)
+        met = place < len(self.known)
+        met[met] = self.known[place[met]] == distinct[met]
+        if len(missing := np.flatnonzero(~met)):
             raw, at = data.tobytes(), first[missing]
-            self._add([keys[i] for i in missing], [raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
-            rows = list(map(self.row.__getitem__, keys))
-        row = np.array(rows, np.int64)[inverse]
+            self._add(distinct[missing], [raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
+        row = self.row[np.searchsorted(self.known, distinct)][inverse]
         size = self.size[row].astype(np.int64)
         per_text = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64), out=per_text[1:])
