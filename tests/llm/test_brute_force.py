@@ -1,9 +1,12 @@
 """Operators that SQL can't express, against plain Python, exact round trips and held-out labels."""
 
+import contextlib
 import hashlib
+import io
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -304,6 +307,67 @@ def test_minhash_dissimilar_members_of_a_bucket(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in found} == {i: min(j for j in range(60) if group[j] == group[i]) for i in range(60)}
 
 
+def families(n, rng):
+    """Texts of which many are about as alike as the threshold asks."""
+    base = rng.integers(0, 5000, 200)
+    texts = []
+    for _ in range(n):
+        words = base.copy()
+        words[rng.integers(0, 200, rng.integers(0, 8))] = rng.integers(0, 5000)
+        texts.append(" ".join(f"w{w}" for w in words))
+    return texts
+
+
+def test_minhash_keeps_little_on_disk(spark, monkeypatch):
+    """Bands are shuffled once, and neither the texts nor the signatures of all documents are written aside."""
+    written, real = [], minhash.checkpointed
+
+    def told(df):
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            df.explain()
+        out = real(df)
+        written.append((out.columns, out.count(), plan.getvalue().count("Exchange hashpartitioning(band")))
+        return out
+
+    monkeypatch.setattr(minhash, "checkpointed", told)
+    texts = families(40, np.random.default_rng(1)) + random_texts(400)
+    minhash.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [shuffles for columns, _, shuffles in written if columns == ["band", "rep", "key"]] == [1]
+    assert not any("t" in columns for columns, _, _ in written)
+    members = [n for columns, n, _ in written if columns == ["band", "key", "class"]][-1]
+    assert [n <= members for columns, n, _ in written if "sig" in columns] == [True]
+
+
+def test_minhash_many_texts_go_through_a_bitmap(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = families(40, rng) + random_texts(50) + ["", "   ", None, "two words"]
+    rows = [(i if i % 7 else None, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + rows[::3] + [(1000 + i, t) for i, t in enumerate(texts[::2])], "doc_id long, text string")
+    found = lambda: Counter(map(str, minhash.classes(docs).collect()))
+    want = found()
+    assert len(want) > 10
+    monkeypatch.setattr(minhash, "SENT_ROWS", 0)
+    for bits in (64, 1 << 12):
+        monkeypatch.setattr(minhash, "FILTER_BITS", bits)
+        assert found() == want
+
+
+@pytest.mark.parametrize("band", [0, 3, 12])
+def test_minhash_texts_left_out_of_a_cell_have_no_links(band):
+    rng = np.random.default_rng(3)
+    texts = [t for _ in range(4) for t in families(25, rng)]
+    keys = rng.permutation(len(texts)).astype(np.int64)
+    kinds, sides = keys // 3, keys % 2
+    sigs = minhash.signatures(utf8(pa.array(texts)))
+    sets = list(minhash._sets(texts))
+    for alone in (True, False):
+        met = np.flatnonzero(minhash._meeting(keys, kinds, sigs, sides, alone, band, minhash.NEAR))
+        whole = minhash._forest(keys, kinds, sigs, sets, sides, alone, band, 0.8, minhash.NEAR)
+        part = minhash._forest(keys[met], kinds[met], sigs[met], [sets[i] for i in met], sides[met], alone, band, 0.8, minhash.NEAR)
+        assert whole == part and (whole or band)
+
+
 # ---- lines, conversations, personal data
 
 

@@ -16,6 +16,10 @@ The neighbour of a document in the order of ids is found without one task for al
 quantiles that are ids themselves, and a range's first document is sent to the range before it as well. Texts are
 compressed for the one shuffle that moves them.
 
+What is written on the way stays on disk until Spark's cleaner finds it unused, so little is: bands are shuffled once and only
+those that texts share are kept, members of buckets are read from them, and of texts that are compared neither texts nor
+signatures are written but for the shuffles that bring them together.
+
 Defined results: a null text is empty; a text without words has a signature of its own and is near another only if that
 has none either; null ids come after all others in the descending order, equal ids in the order of their texts' hashes; repeated
 rows stay rows; an only document is its own neighbour; an empty table gives no rows.
@@ -24,11 +28,11 @@ rows stay rows; an only document is its own neighbour; an empty table gives no r
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
@@ -41,8 +45,10 @@ PERMUTATIONS = BANDS * ROWS
 THRESHOLD = 0.8
 #: Pairs of signatures that agree in at least this share are verified.
 NEAR = 0.66
-#: Keys and ids that may be sent to every task, 16 bytes each; more are joined by a shuffle.
+#: Keys and ids that may be sent to every task, 16 bytes each; more are joined by a shuffle, of what a bitmap lets through.
 SENT_ROWS = 100_000
+#: Bits of that bitmap.
+FILTER_BITS = 1 << 24
 #: Texts that a task remembers, so as to sign equal ones once.
 SEEN_KEYS = 1_000_000
 #: Texts of a bucket, and bytes of them, that one task compares with as many others.
@@ -54,6 +60,8 @@ FAMILY = 2048
 MOST_RANGES = 1 << 16
 #: Bytes of text that are hashed at a time.
 TEXT_BYTES = 1 << 19
+#: Higher levels take more time than the bytes that they save are worth.
+LEVEL = 6
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -112,9 +120,13 @@ def _sets(texts: list[str]) -> Iterator[np.ndarray]:
         yield from (np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True))
 
 
+def _signatures_of(texts: pa.Array) -> list[bytes]:
+    return [row.tobytes() for _, _, part in passes(texts, TEXT_BYTES) for row in signatures(part)]
+
+
 def _packed(text: str) -> bytes:
     raw = text.encode()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(raw, asbytes=True)
 
 
 def _unpacked(raw: bytes) -> str:
@@ -153,33 +165,59 @@ def _signed(docs: DataFrame, text: str) -> DataFrame:
                 seen.clear()
             if new:
                 taken = batch.take(pa.array(new))
-                made = [row.tobytes() for _, _, texts in passes(taken.column(1), TEXT_BYTES) for row in signatures(texts)]
-                yield pa.RecordBatch.from_arrays([taken.column(0), pa.array(made, pa.binary())], names=["key", "sig"])
+                yield pa.RecordBatch.from_arrays([taken.column(0), pa.array(_signatures_of(taken.column(1)), pa.binary())], names=["key", "sig"])
 
-    return checkpointed(docs.select(_key(text), text).mapInArrow(over, "key long, sig binary"))
+    return docs.select(_key(text), text).mapInArrow(over, "key long, sig binary")
 
 
 def _banded(signed: DataFrame) -> DataFrame:
+    """(key, band): a hash of each band, whose last five bits say which one it is."""
     size = 2 * ROWS
-    bands = F.array(*[F.xxhash64(F.substring("sig", 1 + i * size, size), F.lit(i)) for i in range(BANDS)])
-    return signed.select("key", F.posexplode(bands).alias("place", "band"))
+    bands = [F.shiftleft(F.xxhash64(F.substring("sig", 1 + i * size, size)), 5).bitwiseOR(F.lit(i).cast("long")) for i in range(BANDS)]
+    return signed.select("key", F.explode(F.array(*bands)).alias("band"))
+
+
+def _located(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(key, least, chars): the least id that has each of the given texts, and the text's length."""
+    ids = docs.select(_key(text), F.col(doc_id).alias("id"), F.length(text).alias("chars"))
+    ids = ids.groupBy("key").agg(F.min("id").alias("least"), F.coalesce(F.max("chars"), F.lit(0)).alias("chars"))
+    return checkpointed(keys.join(ids, "key"))
+
+
+def _marks(bits: DataFrame) -> np.ndarray:
+    """A bitmap of the numbers below `FILTER_BITS` in column `bit`."""
+    words = bits.groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toArrow()
+    marks = np.zeros(FILTER_BITS // 64, np.int64)
+    marks[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return marks.view(np.uint64)
 
 
-def _texts(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(key, t, bytes): the compressed texts of the given keys, each once unless rows repeat an id and its text."""
-    # Of equal texts the document of the least id is read.
-    ids = docs.select(_key(text), F.col(doc_id).alias("id")).groupBy("key").agg(F.min("id").alias("least"))
-    keys = checkpointed(keys.join(ids, "key"))
-    few = keys.limit(SENT_ROWS + 1).count() <= SENT_ROWS
-    keys = keys.withColumnRenamed("key", "k")
+def _made(docs: DataFrame, located: DataFrame, doc_id: str, text: str, make: Callable[[pa.Array], list[bytes]]) -> DataFrame:
+    """(key, made): what `make` gives for each of the located texts, and if they are many for some others, once each."""
+    wanted = located.select(F.col("key").alias("k"), "least")
+    match = (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("least"))
+    bit = lambda *names: F.pmod(F.xxhash64(*names), F.lit(FILTER_BITS)).alias("bit")
     rows = docs.select(_key(text), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("t"))
-    wanted = rows.join(F.broadcast(keys) if few else keys, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("least")), "left_semi").select("key", "t")
+    few = located.limit(SENT_ROWS + 1).count() <= SENT_ROWS
+    marks = None if few else _marks(located.select(bit("key", "least")))
+    rows = rows.join(F.broadcast(wanted), match, "left_semi") if few else rows
+    rows = rows.select("key", "t", bit("key", "id"))
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        if marks is not None:
+            at = batch.column(2).to_numpy().astype(np.uint64)
+            batch = batch.filter(pa.array(marks[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) == 1))
+        if not batch.num_rows:
+            return None
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(make(batch.column(1)), pa.binary())], names=["key", "made"])
+
+    # Rows may repeat an id and its text.
+    return map_batches(rows, each, "key long, made binary").groupBy("key").agg(F.first("made").alias("made"))
 
-    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).to_pylist()
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([_packed(t) for t in texts], pa.binary()), pa.array([len(t) for t in texts], pa.int64())], names=["key", "t", "bytes"])
 
-    return checkpointed(map_batches(wanted, pack, "key long, t binary, bytes long"))
+def _texts(docs: DataFrame, located: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(key, t): the located texts, compressed."""
+    return _made(docs, located, doc_id, text, lambda texts: [_packed(t) for t in texts.to_pylist()]).withColumnRenamed("made", "t")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
@@ -188,12 +226,12 @@ def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, thresho
     A text is sent once for each pair it is second in, and its first once for each `FAMILY` of its pairs.
     """
     pairs = checkpointed(pairs)
-    texts = _texts(docs, pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), doc_id, text).drop("bytes")
+    located = _located(docs, pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), doc_id, text)
     salts = pairs.groupBy("a").agg(F.expr(f"count(*) div {FAMILY} + 1").alias("salts"))
     pairs = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b")
-    second = pairs.join(texts.withColumnRenamed("key", "b"), "b").select("a", "salt", "b", "t")
-    first = pairs.select("a", "salt").distinct().join(texts.withColumnRenamed("key", "a"), "a")
-    rows = first.select("a", "salt", F.lit(None).cast("long").alias("b"), "t").unionByName(second)
+    second = pairs.select(F.col("b").alias("key"), "a", "salt", "b")
+    first = pairs.select("a", "salt").distinct().select(F.col("a").alias("key"), "a", "salt", F.lit(None).cast("long").alias("b"))
+    rows = first.union(second).join(_texts(docs, located, doc_id, text), "key").select("a", "salt", "b", "t")
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, np.zeros(0, np.uint64)
@@ -210,8 +248,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, thresho
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["a", "b", "near"])
 
     dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    # Rows that repeat an id and its text come more than once.
-    return checkpointed(dealt.mapInArrow(over, "a long, b long, near boolean").distinct())
+    return checkpointed(dealt.mapInArrow(over, "a long, b long, near boolean"))
 
 
 class _Labels:
@@ -224,6 +261,25 @@ class _Labels:
         self.of[self.of == self.of[j]] = self.of[i]
 
 
+def _likely(sigs: np.ndarray, i: int, other: np.ndarray, band: int, near: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of `other` whose signatures agree with i's in enough places, and no band before this one whole; and their likeness."""
+    equal = sigs[other] == sigs[i]
+    likeness_ = equal.mean(1)
+    earlier = equal.reshape(len(other), BANDS, ROWS).all(2)[:, :band].any(1)
+    good = (likeness_ >= near) & ~earlier
+    return other[good], likeness_[good]
+
+
+def _meeting(keys: np.ndarray, kinds: np.ndarray, sigs: np.ndarray, sides: np.ndarray, alone: bool, band: int, near: float) -> np.ndarray:
+    """Which texts of a cell are in a pair that `_forest` may verify."""
+    out = np.zeros(len(keys), bool)
+    for i in range(len(keys)):
+        other, _ = _likely(sigs, i, np.flatnonzero((kinds != kinds[i]) & (keys > keys[i]) & (alone | (sides != sides[i]))), band, near)
+        out[other] = True
+        out[i] |= len(other) > 0
+    return out
+
+
 def _forest(keys: np.ndarray, kinds: np.ndarray, sigs: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, alone: bool, band: int, threshold: float, near: float) -> list[tuple[int, int]]:
     """Links that connect all texts of different classes that are similar, of the pairs of one cell.
 
@@ -231,13 +287,9 @@ def _forest(keys: np.ndarray, kinds: np.ndarray, sigs: np.ndarray, sets: list[np
     """
     labels, out = _Labels(kinds), []
     for i in range(len(keys)):
-        # The signature agrees in enough places, and no band before this one agrees whole.
         other = np.flatnonzero((labels.of != labels.of[i]) & (keys > keys[i]) & (alone | (sides != sides[i])))
-        equal = sigs[other] == sigs[i]
-        likeness_ = equal.mean(1)
-        earlier = equal.reshape(len(other), BANDS, ROWS).all(2)[:, :band].any(1)
-        good = (likeness_ >= near) & ~earlier
-        other = other[good][np.argsort(-likeness_[good], kind="stable")]
+        other, likeness_ = _likely(sigs, i, other, band, near)
+        other = other[np.argsort(-likeness_, kind="stable")]
         for j in other.tolist():
             if labels.of[i] != labels.of[j] and jaccard(sets[i], sets[j]) >= threshold:
                 labels.link(i, j)
@@ -245,51 +297,68 @@ def _forest(keys: np.ndarray, kinds: np.ndarray, sigs: np.ndarray, sets: list[np
     return out
 
 
-def _across(docs: DataFrame, signed: DataFrame, banded: DataFrame, reps: DataFrame, tested: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
+def _cells(members: DataFrame, blocks: str) -> DataFrame:
+    """Members of a band dealt into `blocks` + 1 blocks; each two blocks meet once, in the cell of the lesser and the greater."""
+    size = members.groupBy("band").agg((F.expr(blocks) + 1).alias("blocks"))
+    cells = members.join(size, "band").withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return cells.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("blocks", "other")
+
+
+def _column(rows: pa.Table, name: str) -> pa.Array:
+    return rows.column(name).combine_chunks()
+
+
+def _cell(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool, int]:
+    """Keys, classes, signatures and blocks of a cell, whether that is a block with itself, and which band it is."""
+    sigs = np.stack([np.frombuffer(s, "<u2") for s in _column(rows, "sig").to_pylist()])
+    keys, kinds, own = (_column(rows, name).to_numpy() for name in ("key", "class", "own"))
+    low, high, band = (_column(rows, name)[0].as_py() for name in ("low", "high", "band"))
+    return keys, kinds, sigs, own, low == high, band & 31
+
+
+def _across(docs: DataFrame, reps: DataFrame, tested: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
     """Verified links between different classes that share a bucket with a failed comparison."""
     failed = tested.where("not near").select(F.col("a").alias("rep"), F.col("b").alias("key"))
     bands = checkpointed(reps.join(failed, ["rep", "key"], "left_semi").select("band").distinct())
     found = components(tested.where("near").select("a", "b"))
-    members = banded.join(bands, "band", "left_semi").distinct()
-    members = members.join(found, members["key"] == found["node"], "left").select("place", "band", "key", F.coalesce("root", "key").alias("class"))
+    shared = reps.join(bands, "band", "left_semi")
+    members = shared.select("band", "key").union(shared.select("band", F.col("rep").alias("key"))).distinct()
+    members = members.join(found, members["key"] == found["node"], "left").select("band", "key", F.coalesce("root", "key").alias("class"))
     members = checkpointed(members)
     # Most of these buckets hold one class by now, linked by other bands.
-    mixed = members.groupBy("band").agg(F.min("class").alias("one"), F.max("class").alias("two"), F.count("*").alias("n")).where("one <> two")
+    mixed = members.groupBy("band").agg(F.min("class").alias("one"), F.max("class").alias("two")).where("one <> two")
     members = checkpointed(members.join(mixed.select("band"), "band", "left_semi"))
-    keys = members.select("key").distinct()
-    sigs = signed.join(keys, "key", "left_semi").groupBy("key").agg(F.first("sig").alias("sig"))
-    texts = _texts(docs, keys, doc_id, text).groupBy("key").agg(F.first("t").alias("t"), F.first("bytes").alias("bytes"))
-    members = members.join(sigs, "key").join(texts, "key")
-    size = members.groupBy("band").agg(F.expr(f"greatest(count(*) div {BLOCK}, sum(bytes) div {BLOCK_BYTES}) + 1").alias("blocks"))
-    cells = members.join(size, "band").withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
-    # Each two blocks meet once, in the cell of the lesser and the greater.
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    cells = cells.select("place", "band", "key", "class", "sig", "t", "own", other)
-    cells = cells.select("place", "band", "key", "class", "sig", "t", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    located = _located(docs, members.select("key").distinct(), doc_id, text)
+    sigs = _made(docs, located, doc_id, text, _signatures_of).withColumnRenamed("made", "sig")
+
+    def meet(rows: pa.Table) -> pa.Table:
+        keys, kinds, sig, own, alone, band = _cell(rows)
+        return rows.filter(pa.array(_meeting(keys, kinds, sig, own, alone, band, NEAR))).select(["band", "key", "class", "sig"])
+
+    # Most members meet all their like in other bands; texts are sent for the others only.
+    met = _cells(members, f"count(*) div {BLOCK}").join(sigs, "key").groupBy("band", "low", "high").applyInArrow(meet, "band long, key long, class long, sig binary")
+    members = checkpointed(met.distinct())
+    located = located.join(members.select("key").distinct(), "key", "left_semi")
+    texts = _texts(docs, located, doc_id, text)
 
     def compare(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        column = lambda name: rows.column(name).combine_chunks()
-        sig = np.stack([np.frombuffer(s, "<u2") for s in column("sig").to_pylist()])
-        keys, kinds, own = (column(name).to_numpy() for name in ("key", "class", "own"))
-        sets = list(_sets_of_packed(column("t")))
-        alone = column("low")[0].as_py() == column("high")[0].as_py()
-        links = _forest(keys, kinds, sig, sets, own, alone, column("place")[0].as_py(), threshold, NEAR)
+        keys, kinds, sig, own, alone, band = _cell(rows)
+        links = _forest(keys, kinds, sig, list(_sets_of_packed(_column(rows, "t"))), own, alone, band, threshold, NEAR)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return cells.groupBy("band", "low", "high").applyInArrow(compare, "a long, b long")
+    cells = _cells(members.join(located.select("key", "chars"), "key"), f"greatest(count(*) div {BLOCK}, sum(chars) div {BLOCK_BYTES})")
+    return cells.join(texts, "key").groupBy("band", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(key, class) of each distinct text that is near another; key is the text's XXH64."""
-    signed = _signed(docs, text)
-    banded = _banded(signed)
-    least = banded.groupBy("band").agg(F.min("key").alias("rep"), F.max("key").alias("top")).where("rep < top").select("band", "rep")
-    reps = checkpointed(banded.join(least, "band").where("key <> rep").select("band", "rep", "key"))
+    least = F.min("key").over(Window.partitionBy("band")).alias("rep")
+    reps = checkpointed(_banded(_signed(docs, text)).select("band", least, "key").where("key <> rep"))
     tested = _verified(docs, reps.select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct(), doc_id, text, threshold)
     near = tested.where("near").select("a", "b")
     if tested.where("not near").limit(1).count():
-        near = near.union(_across(docs, signed, banded, reps, tested, doc_id, text, threshold))
+        near = near.union(_across(docs, reps, tested, doc_id, text, threshold))
     return checkpointed(components(near).select(F.col("node").alias("key"), F.col("root").alias("class")))
 
 
