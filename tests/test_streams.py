@@ -1,6 +1,7 @@
 """Landing in one query, cooldown in any order of arrival, keyed tables, late and repeated rows."""
 
 import json
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -165,6 +166,8 @@ def test_repeats_and_late_rows_are_counted(spark, tmp_path):
     lots = [[tick(0), tick(0), tick(60)], [tick(60), tick(61)], [tick(5), tick(61, 2)], [tick(7)]]
     for i, lot in enumerate(lots):
         (inbox / f"{i}.json").write_text("\n".join(map(json.dumps, lot)))
+        # Files of the same time are read in any order.
+        os.utime(inbox / f"{i}.json", (START.timestamp() + i,) * 2)
     source = spark.readStream.schema("symbol string, exchange string, time timestamp, price double, volume bigint").option("maxFilesPerTrigger", 1).json(str(inbox))
     log, path = progress.ProgressLog(), str(tmp_path / "out")
     spark.streams.addListener(log)
